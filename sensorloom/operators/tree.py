@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import chain, pose_matrix, rigid_inverse
+from sensorloom.operators.interp import interpolate
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
 
@@ -232,3 +233,23 @@ def apply_calibration(old: DataFrame, calib: DataFrame) -> DataFrame:
             "action",
         )
     )
+
+
+def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
+    """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every distinct query row.
+
+    ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
+    one.  Paths are resolved once per pair of frames and all stamps are interpolated in bulk.
+    Null where a frame is unconnected or has no pose within ``tol``.
+    """
+    pairs = queries.select("f1", "f2").distinct()
+    branches = branch_paths(pairs, paths)
+    asked = join_hot(queries.select("f1", "f2", "t").distinct(), branches, ["f1", "f2"], ["t"], "inner")
+    wanted = asked.select(F.explode(F.concat("up", "down")).alias("frame"), "t").distinct()
+    xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
+    moving = interpolate(wanted, samples, ["frame"], xyz, tol, quat).filter(F.col("x").isNotNull())
+    moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("matrix"))
+    fixed = join_hot(wanted, statics.select("frame", "matrix"), ["frame"], ["t"], "inner")
+    known = moving.unionByName(fixed.select("frame", "t", "matrix"))
+    connected = chain_transform(asked.filter(F.col("up").isNotNull()), known, ["f1", "f2", "t"])
+    return queries.join(connected, ["f1", "f2", "t"], "left")

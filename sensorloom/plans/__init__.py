@@ -1,6 +1,6 @@
 """Whole plans and the registered queries."""
 
-from sensorloom.plans import sync_queries  # noqa: F401
+from sensorloom.plans import cloud_queries, series_queries, sync_queries, tree_queries  # noqa: F401
 from sensorloom.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from sensorloom.functions.stamps import seconds_text
@@ -44,13 +45,13 @@ def write_poses(rows: DataFrame, path: str) -> None:
     rows.write.csv(path, sep=" ", header=True)
 
 
-@pandas_udf("int")
+@pandas_udf(T.IntegerType())
 def float16_bits(depth: pd.Series) -> pd.Series:
     """Bits of the value as half-precision float."""
     return pd.Series(depth.to_numpy(dtype="float32").astype(np.float16).view(np.uint16).astype("int32"))
 
 
-@pandas_udf("binary")
+@pandas_udf(T.BinaryType())
 def float32_bytes(values: pd.Series) -> pd.Series:
     """Little-endian float32 bytes of a number array."""
     return values.map(lambda v: np.asarray(v, dtype="<f4").tobytes())
