@@ -1,6 +1,13 @@
 """Whole plans and the registered queries."""
 
-from sensorloom.plans import cloud_queries, series_queries, sync_queries, tree_queries  # noqa: F401
+from sensorloom.plans import (  # noqa: F401
+    cloud_queries,
+    raster_queries,
+    series_queries,
+    sync_queries,
+    tree_queries,
+    type_queries,
+)
 from sensorloom.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
