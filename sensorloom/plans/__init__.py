@@ -1,9 +1,12 @@
 """Whole plans and the registered queries."""
 
 from sensorloom.plans import (  # noqa: F401
+    audit_queries,
     cloud_queries,
+    live_queries,
     raster_queries,
     series_queries,
+    storage_queries,
     sync_queries,
     tree_queries,
     type_queries,
