@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.operators.ordered import Scan, dense_index, running
+from sensorloom.operators.ordered import Scan, dense_index, running, split_points
 from sensorloom.operators.skew import join_hot
 
 GRID_BLOCK = 16384
@@ -122,6 +122,7 @@ def match_series(
     Returns ``keys, time, prev, next``; both are structs ``(t, s, payload...)`` or null.  Of
     several messages with one stamp the first in log order counts.
     """
+    splits = split_points(left.select(time).unionAll(right.select(time)), [time])
     message = F.struct(F.col(seq).alias("s"), F.col(time).alias("t"), *[F.col(c) for c in payload])
     stamps = (
         left.select(*keys, time, F.lit(True).alias("_want"))
@@ -134,6 +135,7 @@ def match_series(
         keys,
         [time],
         {"prev": Scan("last", "_msg"), "next": Scan("last", "_msg", reverse=True)},
+        splits=splits,
     )
     return scanned.filter("_want").select(*keys, time, "prev", "next")
 

@@ -22,14 +22,23 @@ def split_by_features(points: DataFrame, features: str = "features") -> tuple[Da
     return points.filter(F.col(features).isNotNull()), points.filter(F.col(features).isNull())
 
 
-def stack_frames(points: DataFrame, frame: str, k: int, existing: DataFrame) -> DataFrame:
+def stack_frames(points: DataFrame, frame: str, k: int, existing: DataFrame, spread: list[str]) -> DataFrame:
     """Union of clouds ``frame-k … frame+k`` per existing frame, as column ``stack``.
 
-    Every point is sent straight to the frames that stack it, so clouds are never joined
-    with each other; frames outside ``existing`` are dropped.
+    ``existing`` has one row per frame; its other columns are attached to the stacked points.
+    Each frame first gets the list of at most ``2k+1`` frames that stack it.  Points then meet
+    that small table once and are copied where they are, so clouds are never shuffled
+    against each other.
     """
-    spread = points.withColumn("stack", F.explode(F.sequence(F.col(frame) - k, F.col(frame) + k)))
-    return spread.join(existing.select(F.col(frame).alias("stack")).distinct(), "stack", "left_semi")
+    carried = [c for c in existing.columns if c != frame]
+    target = F.struct(F.col(frame).alias("stack"), *carried)
+    targets = (
+        existing.select(target.alias("_t"), F.explode(F.sequence(F.col(frame) - k, F.col(frame) + k)).alias(frame))
+        .groupBy(frame)
+        .agg(F.collect_list("_t").alias("_ts"))
+    )
+    joined = join_hot(points, targets, [frame], spread, "inner")
+    return joined.withColumn("_t", F.explode("_ts")).select(*points.columns, "_t.*")
 
 
 def in_view(points: DataFrame, width: int, height: int, fx: float, fy: float, cx: float, cy: float, max_depth: float | None) -> DataFrame:

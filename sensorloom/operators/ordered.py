@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import rows_per_block
 
-MAX_BLOCKS = 8192
-SAMPLES_PER_BLOCK = 20
+MAX_BLOCKS = 32768
+SAMPLES_PER_BLOCK = 10
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,8 @@ class Scan:
 def split_points(df: DataFrame, order: list[str]) -> list:
     """Boundaries that cut ``df`` into blocks of about equal size along ``order``.
 
-    Only the boundaries come from a sample; at most ``MAX_BLOCKS`` of them reach the driver,
+    Call it on a plain scan where possible: counting and sampling then read the ``order``
+    columns only, and nothing upstream is computed twice.  Only the boundaries come from a sample; at most ``MAX_BLOCKS`` of them reach the driver,
     whatever the size of ``df``.  An empty list means that one block is enough.
     """
     per_block = rows_per_block(df.sparkSession)
@@ -125,12 +126,15 @@ def running(
     order: list[str],
     outputs: dict[str, Scan],
     block: Column | None = None,
+    splits: list | None = None,
 ) -> DataFrame:
     """Add running values per key along ``order`` (which must be unique per key, non-null).
 
-    ``block`` may give a ready block number that does not decrease along ``order``.
+    ``block`` may give a ready block number that does not decrease along ``order``, and
+    ``splits`` ready boundaries, such as those of the raw table that ``df`` derives from.
     """
-    splits = split_points(df, order) if block is None else None
+    if block is None and splits is None:
+        splits = split_points(df, order)
     names = {f"_v{i}": (out, scan) for i, (out, scan) in enumerate(outputs.items())}
     base = df
     for tmp, (_, scan) in names.items():
@@ -179,9 +183,11 @@ def running(
     return out.drop("_blk", *extra)
 
 
-def index_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "idx") -> DataFrame:
+def index_rows(
+    df: DataFrame, keys: list[str], order: list[str], name: str = "idx", block: Column | None = None
+) -> DataFrame:
     """Contiguous 0-based position of every row along ``order`` within its key."""
-    numbered = running(df, keys, order, {name: Scan("count", F.lit(1))})
+    numbered = running(df, keys, order, {name: Scan("count", F.lit(1))}, block)
     return numbered.withColumn(name, F.col(name) - 1)
 
 
@@ -204,9 +210,11 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) ->
     Equal values are counted first, so a hot key shrinks before the shuffle, and ranks come
     from a block scan, so no key is sorted in one task.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    df = df.filter(F.col(value).isNotNull())
+    splits = split_points(df, [value])
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     total = counts.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    ranked = running(counts, keys, [value], {"_upto": Scan("sum", "_c")})
+    ranked = running(counts, keys, [value], {"_upto": Scan("sum", "_c")}, splits=splits)
     ranked = join_hot(ranked, total, keys, [value])
     return ranked.groupBy(*keys).agg(
         F.max("n").alias("n"),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.geometry import norm
 from sensorloom.operators.ordered import Scan, block_of, running, split_points
-from sensorloom.operators.skew import join_hot
+from sensorloom.operators.skew import join_skewed
 
 
 def strictly_increasing(df: DataFrame, keys: list[str], time: str = "t", seq: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -25,13 +25,13 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
     Only new maxima can be kept, so the series is first made strictly increasing.  What a
     block does then depends on the last stamp kept before it only, and that stamp selects
     one of few starting rows (those within ``gap`` of the block's first).  Each block lists
-    its final kept stamp per starting row; one pass over these lists gives the entry stamp of every
-    block, and the blocks are then filtered independently.
+    its final kept stamp per starting row, with equal ones merged; one pass over these lists
+    gives the entry stamp of every block, and the blocks are then filtered independently.
     """
     series = strictly_increasing(df, keys, time, seq)
     if gap <= 0:
         return series
-    splits = split_points(series, [time])
+    splits = split_points(df, [time])
     blocks = series.withColumn("_blk", block_of(series, [time], splits))
     by = [*keys, "_blk"]
     out_schema = T.StructType([f for f in series.schema.fields])
@@ -89,14 +89,19 @@ def _kept(t: np.ndarray, gap: int, last: int | None) -> np.ndarray:
 
 
 def _transitions(t: np.ndarray, gap: int) -> tuple[list[int], list[int]]:
-    """Starting stamps within ``gap`` of the first row and the last stamp kept from each."""
+    """Last stamp kept per starting stamp within ``gap`` of the first row.
+
+    Neighbouring starts with one outcome are merged into the largest of them.
+    """
     following = np.searchsorted(t, t + gap)
     final = t.copy()
     for i in range(len(t) - 1, -1, -1):
         if following[i] < len(t):
             final[i] = final[following[i]]
     near = int(np.searchsorted(t, t[0] + gap))
-    return t[:near].tolist(), final[:near].tolist()
+    start, final = t[:near], final[:near]
+    ends = np.append(final[1:] != final[:-1], True)
+    return start[ends].tolist(), final[ends].tolist()
 
 
 def path_length(df: DataFrame, keys: list[str], order: list[str], position: list[str], name: str = "length") -> DataFrame:
@@ -143,7 +148,7 @@ def first_parent(
 ) -> DataFrame:
     """Drop edges whose parent differs from the first one logged for the child."""
     first = edges.groupBy(child).agg(F.min_by(F.struct(parent, "is_static"), F.struct(*seq)).alias("_f"))
-    kept = join_hot(edges.drop("is_static"), first, [child], list(seq), "inner")
+    kept = join_skewed(edges.drop("is_static"), first, [child], list(seq), "inner")
     return (
         kept.filter(F.col(parent) == F.col(f"_f.{parent}"))
         .withColumn("is_static", F.col("_f.is_static"))
@@ -154,9 +159,10 @@ def first_parent(
 def condense_runs(df: DataFrame, keys: list[str], order: list[str], prefix: Column, meta: Column) -> DataFrame:
     """Runs of equal ``(prefix, meta)`` neighbours as ``run, prefix, meta, n``."""
     marked = df.withColumn("_prefix", prefix).withColumn("_meta", meta)
-    lagged = running(marked, keys, order, {"_lag": Scan("lag", F.struct("_prefix", "_meta"))})
+    splits = split_points(df, order)
+    lagged = running(marked, keys, order, {"_lag": Scan("lag", F.struct("_prefix", "_meta"))}, splits=splits)
     change = F.when(F.col("_lag").eqNullSafe(F.struct("_prefix", "_meta")), 0).otherwise(1).cast("bigint")
-    runs = running(lagged.withColumn("_change", change), keys, order, {"run": Scan("sum", "_change")})
+    runs = running(lagged.withColumn("_change", change), keys, order, {"run": Scan("sum", "_change")}, splits=splits)
     return runs.groupBy(*keys, "run", F.col("_prefix").alias("prefix"), F.col("_meta").alias("meta")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -21,3 +21,30 @@ def join_hot(big: DataFrame, per_key: DataFrame, on: list[str], spread: list[str
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
     right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+HOT_ROWS = 10_000_000
+
+
+def join_skewed(
+    big: DataFrame, per_key: DataFrame, on: list[str], spread: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Like ``join_hot`` for a ``per_key`` side too large to replicate as a whole.
+
+    Keys with more than ``hot_rows`` rows are counted first, on the key columns alone.  There
+    are at most ``rows / hot_rows`` of them, so their list is small enough to broadcast; only
+    their rows are salted and replicated.
+    """
+    n = salts(big.sparkSession)
+    hot = (
+        big.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > hot_rows)
+        .select(*on, F.lit(True).alias("_hot"))
+    )
+    hot = F.broadcast(hot)
+    spread_salt = F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int")
+    left = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread_salt).otherwise(F.lit(0)))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    right = per_key.join(hot, on, "left").withColumn("_salt", F.explode(copies))
+    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.operators.asof import match_nearest
+from sensorloom.operators.asof import GRID_BLOCK, match_nearest
 from sensorloom.operators.ordered import index_rows
 
 
@@ -37,7 +37,8 @@ def valid_steps(
 
 def compact(steps: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Keep valid steps and number them 0, 1, … in time order as ``frame``."""
-    return index_rows(steps.filter("valid"), list(keys), ["target"], "frame")
+    block = F.floor(F.col("idx") / GRID_BLOCK).cast("int")
+    return index_rows(steps.filter("valid"), list(keys), ["target"], "frame", block)
 
 
 def sync_report(matches: DataFrame, tol: int, keys: list[str] = ()) -> DataFrame:
@@ -63,11 +64,18 @@ def interval_edges(steps: DataFrame, t_min: Column, t_max: Column, keys: list[st
 
 
 def attach_payload(matches: DataFrame, messages: DataFrame, keys: list[str], payload: list[str], seq: str = "seq") -> DataFrame:
-    """Give every matched step the payload of its stamp; of equal stamps the last logged wins."""
-    last = messages.groupBy(*keys, F.col("t").alias("match")).agg(
-        F.max_by(F.struct(*payload), F.col(seq)).alias("_p")
-    )
-    return matches.filter(F.col("match").isNotNull()).join(last, [*keys, "match"]).select(
+    """Give every matched step the payload of its stamp; of equal stamps the last logged wins.
+
+    Winners are found on key columns alone.  Payloads are read last, and only those of
+    winning messages pass the join, so most of the log is never aggregated.
+    """
+    found = matches.filter(F.col("match").isNotNull())
+    stamps = messages.select(*keys, F.col("t").alias("match"), seq)
+    wanted = stamps.join(found.select(*keys, "match"), [*keys, "match"], "left_semi")
+    winners = wanted.groupBy(*keys, "match").agg(F.max(seq).alias("_win"))
+    content = messages.select(*keys, F.col("t").alias("match"), F.col(seq).alias("_win"), F.struct(*payload).alias("_p"))
+    last = content.join(winners, [*keys, "match", "_win"])
+    return found.join(last, [*keys, "match"]).select(
         *matches.columns, *[F.col("_p").getField(c).alias(c) for c in payload]
     )
 

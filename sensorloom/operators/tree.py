@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import chain, pose_matrix, rigid_inverse
 from sensorloom.operators.interp import interpolate
-from sensorloom.operators.skew import join_hot
+from sensorloom.operators.skew import join_hot, join_skewed
 from sensorloom.session import cut_lineage
 
 INF = float("inf")
@@ -38,9 +38,11 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     frame that is its own parent ends its branch.  Frames on or below a longer cycle have
     ``cyclic`` set, and null root and path.
     """
-    children = edges.select(F.col("child").alias("parent"), F.lit(True).alias("_inner"))
+    inner = edges.select("parent").distinct().join(
+        edges.select(F.col("child").alias("parent")), "parent", "left_semi"
+    )
     paths = (
-        join_hot(edges.select("child", "parent"), children, ["parent"], ["child"])
+        join_hot(edges.select("child", "parent"), inner.withColumn("_inner", F.lit(True)), ["parent"], ["child"])
         .select(
             F.col("child").alias("node"),
             F.col("parent").alias("top"),
@@ -51,13 +53,14 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     paths = cut_lineage(paths)
     reach = 1
     while reach < max_depth and not paths.filter(~F.col("done")).isEmpty():
+        pending = paths.filter(~F.col("done"))
         upper = paths.select(
             F.col("node").alias("top"),
             F.col("top").alias("_top"),
             F.col("path").alias("_path"),
             F.col("done").alias("_done"),
-        )
-        pending = join_hot(paths.filter(~F.col("done")), upper, ["top"], ["node"], "inner").select(
+        ).join(pending.select("top").distinct(), "top", "left_semi")
+        pending = join_hot(pending, upper, ["top"], ["node"], "inner").select(
             "node",
             F.col("_top").alias("top"),
             F.concat("_path", "path").alias("path"),
@@ -78,7 +81,7 @@ def depths(paths: DataFrame) -> DataFrame:
     return paths.select("node", "root", (F.size("path") - 1).alias("depth"))
 
 
-def branch_paths(pairs: DataFrame, paths: DataFrame, edges_roots: DataFrame | None = None) -> DataFrame:
+def branch_paths(pairs: DataFrame, paths: DataFrame) -> DataFrame:
     """For pairs ``(f1, f2)`` the nodes below their lowest common ancestor on either side.
 
     A frame without own path is taken as a root.  Pairs under different roots have null sides.
@@ -87,7 +90,7 @@ def branch_paths(pairs: DataFrame, paths: DataFrame, edges_roots: DataFrame | No
 
     def attach(df, f, n):
         p = side.select(F.col("node").alias(f), F.col("root").alias(f"_r{n}"), F.col("path").alias(f"_p{n}"))
-        return join_hot(df, p, [f], ["f1", "f2"])
+        return join_skewed(df, p, [f], ["f1", "f2"])
 
     both = attach(attach(pairs, "f1", 1), "f2", 2)
     empty = F.expr("cast(array() as array<string>)")
@@ -125,7 +128,7 @@ def path_interval(branches: DataFrame, bounds: DataFrame, pair: list[str]) -> Da
     ``bounds`` is keyed by the child frame in column ``frame``.
     """
     steps = branches.select(*pair, F.explode(F.concat("up", "down")).alias("frame"))
-    joined = join_hot(steps, bounds, ["frame"], pair, "inner")
+    joined = join_skewed(steps, bounds, ["frame"], pair, "inner")
     cut = joined.groupBy(*pair).agg(F.max("t_min").alias("t_min"), F.min("t_max").alias("t_max"))
     out = branches.select(*pair, F.col("up").isNotNull().alias("connected")).join(cut, pair, "left")
     return out.select(
@@ -155,7 +158,7 @@ def chain_transform(branches: DataFrame, transforms: DataFrame, key: list[str])
     steps = branches.select(*key, F.posexplode_outer(hops).alias("pos", "hop")).select(
         *key, "pos", F.col("hop.frame").alias("frame"), F.col("hop.up").alias("up")
     )
-    joined = join_hot(steps, transforms.select("frame", *shared, "matrix"), ["frame", *shared], [*key, "pos"])
+    joined = join_skewed(steps, transforms.select("frame", *shared, "matrix"), ["frame", *shared], [*key, "pos"])
     m = F.when(F.col("up"), rigid_inverse(F.col("matrix"))).otherwise(F.col("matrix"))
     ordered = joined.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.when(F.col("matrix").isNotNull(), F.struct("pos", m.alias("m"))))).alias("_m"),
@@ -244,12 +247,12 @@ def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, stati
     """
     pairs = queries.select("f1", "f2").distinct()
     branches = branch_paths(pairs, paths)
-    asked = join_hot(queries.select("f1", "f2", "t").distinct(), branches, ["f1", "f2"], ["t"], "inner")
+    asked = join_skewed(queries.select("f1", "f2", "t").distinct(), branches, ["f1", "f2"], ["t"], "inner")
     wanted = asked.select(F.explode(F.concat("up", "down")).alias("frame"), "t").distinct()
     xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
     moving = interpolate(wanted, samples, ["frame"], xyz, tol, quat).filter(F.col("x").isNotNull())
     moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("matrix"))
-    fixed = join_hot(wanted, statics.select("frame", "matrix"), ["frame"], ["t"], "inner")
+    fixed = join_skewed(wanted, statics.select("frame", "matrix"), ["frame"], ["t"], "inner")
     known = moving.unionByName(fixed.select("frame", "t", "matrix"))
     connected = chain_transform(asked.filter(F.col("up").isNotNull()), known, ["f1", "f2", "t"])
     return queries.join(connected, ["f1", "f2", "t"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions import stamps
 from sensorloom.operators import audit
 from sensorloom.operators.ordered import index_rows
-from sensorloom.operators.skew import join_hot
+from sensorloom.operators.skew import join_hot, join_skewed
 from sensorloom.plans.registry import HOUR, LOG, query
 from sensorloom.sources import readers, writers
 
@@ -117,7 +117,7 @@ def stamp_lookup(t):
         F.col("o_orderkey").alias("idx"), (stamps.micros("o_orderdate").cast("double") / 1e6).alias("stamp")
     )
     asked = t.lineitem.select(F.col("l_orderkey").alias("idx"), "l_linenumber", "l_partkey")
-    found = join_hot(asked, known, ["idx"], ["l_linenumber", "l_partkey"])
+    found = join_skewed(asked, known, ["idx"], ["l_linenumber", "l_partkey"])
     return found.withColumn("stamp", F.coalesce("stamp", F.lit(-1.0)))
 
 

@@ -49,7 +49,7 @@ SELECT CAST(stack AS INTEGER) AS stack, n, sum_x FROM c"""
 def frame_stack(t):
     """Union of each frame's cloud with those of two frames on either side."""
     pts = _points(t)
-    return cloud.stack_frames(pts, "label", 2, pts.select("label")).groupBy("stack").agg(
+    return cloud.stack_frames(pts, "label", 2, pts.select("label").distinct(), ["vec_id"]).groupBy("stack").agg(
         F.count(F.lit(1)).alias("n"), (F.round(F.sum("x"), 6) + 0.0).alias("sum_x")
     )
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import transform_point
 from sensorloom.operators import asof, cloud, sync
-from sensorloom.operators.skew import join_hot
 
 
 @dataclass(frozen=True)
@@ -63,8 +62,7 @@ def depth_frames(
     ``transforms`` has one ``matrix`` per frame from cloud to camera; frames without one, or
     without a visible point, have no depth map.
     """
-    stacked = cloud.stack_frames(points, frame, stack, transforms.select(frame))
-    placed = join_hot(stacked, transforms.select(F.col(frame).alias("stack"), "matrix"), ["stack"], spread, "inner")
+    placed = cloud.stack_frames(points, frame, stack, transforms.select(frame, "matrix"), spread)
     x, y, z = transform_point(F.col("matrix"), F.col("x"), F.col("y"), F.col("z"))
     seen = cloud.in_view(
         placed.select("stack", x.alias("x"), y.alias("y"), z.alias("z")), width, height, *camera, max_depth

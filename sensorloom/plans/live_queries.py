@@ -77,8 +77,7 @@ SELECT topic, seq, t FROM kept JOIN log USING (topic, t)"""
 )
 def stream_thin(t):
     """Minimum-gap thinning as messages arrive."""
-    out = live.run_available(live.thin_stream(_stream(t), "topic", HOUR), "thin", "append")
-    return t.spark.read.parquet(out).select("topic", "seq", "t")
+    return t.spark.read.parquet(live.thin_available(_stream(t), "topic", HOUR)).select("topic", "seq", "t")
 
 
 @query()

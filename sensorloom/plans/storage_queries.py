@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions import stamps
 from sensorloom.operators import audit
 from sensorloom.plans.registry import LOG, query
-from sensorloom.session import new_path
+from sensorloom.session import new_path, salts
 from sensorloom.sources import readers, writers
 
 
@@ -44,7 +44,8 @@ def scan_frames(t):
     lines = t.supplier.select(
         stamps.frame_name(F.col("s_nationkey")).alias("frame"), F.concat_ws(" ", "s_suppkey", "s_acctbal").alias("value")
     )
-    lines.repartition("frame").write.partitionBy("frame").text(path)
+    part = F.pmod(F.xxhash64("value"), F.lit(salts(t.spark)))
+    lines.repartition("frame", part).write.partitionBy("frame").option("maxRecordsPerFile", 100_000).text(path)
     files = readers.frame_files(t.spark, path, "*.txt")
     n = F.size(F.filter(F.split(F.col("content").cast("string"), "\n"), lambda l: l != ""))
     return files.select("idx", n.alias("n")).groupBy("idx").agg(F.sum("n").alias("n_lines"))

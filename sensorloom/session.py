@@ -37,7 +37,7 @@ def rows_per_block(spark: SparkSession) -> int:
 
 def salts(spark: SparkSession) -> int:
     """Replicas of the per-key side in a salted join."""
-    return int(spark.conf.get(SALTS, "16"))
+    return int(spark.conf.get(SALTS, "8"))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +62,8 @@ def matrix(spark: SparkSession, path: str, width: int) -> DataFrame:
     lines = lines.filter(F.trim("value") != "")
     starts = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"))
     before = running(starts, [], ["_file", "_start"], {"_before": Scan("sum", "_n", exclusive=True)})
-    inside = running(lines, ["_file", "_start"], ["_at"], {"_k": Scan("count", F.lit(1))})
+    # A file block is bounded by the split size of the scan, so it fits one window.
+    inside = lines.withColumn("_k", F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_at")))
     numbers = F.transform(F.split(F.trim("value"), r"\s+"), lambda s: s.cast("double"))
     return inside.join(before, ["_file", "_start"]).select(
         (F.coalesce("_before", F.lit(0)) + F.col("_k") - 1).cast("bigint").alias("idx"),

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sensorloom.operators.series import thin
+from sensorloom.operators.skew import join_hot
 from sensorloom.session import new_path
 
 
@@ -99,28 +101,30 @@ def newest_per_window(stream: DataFrame, time: str, dt: str, delay: str, keys: l
     return newest.select(F.col("w.start").alias("start"), *keys, "_l.*")
 
 
-def thin_stream(stream: DataFrame, key: str, gap: int, key_type: str = "string") -> DataFrame:
-    """Greedy minimum-gap thinning across micro-batches; the state is the last kept stamp."""
+def thin_available(stream: DataFrame, key: str, gap: int, name: str = "thin") -> str:
+    """Greedy minimum-gap thinning across micro-batches; returns the folder of kept rows.
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("seq")
-        keep = []
-        for seq, t in zip(rows["seq"], rows["t"]):
-            if last is None or t - last >= gap:
-                last = int(t)
-                keep.append((k[0], int(seq), last))
+    Every micro-batch runs the batch operator on the rows at least ``gap`` after the last kept
+    stamp of their key, so a hot key is thinned by many tasks.  The last stamps are stored per
+    micro-batch, and a repeated batch starts again from the state before it.
+    """
+    spark = stream.sparkSession
+    states = new_path(spark, f"{name}-state")
+
+    def write(batch: DataFrame, batch_id: int, target: str) -> None:
+        rows = batch.select(key, "seq", "t")
+        last = None
+        if batch_id > 0:
+            last = spark.read.parquet(f"{states}/{batch_id - 1}")
+            rows = join_hot(rows, last, [key], ["seq"])
+            rows = rows.filter(F.col("last").isNull() | (F.col("t") >= F.col("last") + gap)).drop("last")
+        thin(rows, [key], gap).write.mode("overwrite").parquet(target)
+        kept = spark.read.parquet(target).groupBy(key).agg(F.max("t").alias("last"))
         if last is not None:
-            state.update((last,))
-        yield pd.DataFrame(keep, columns=[key, "seq", "t"])
+            kept = kept.unionByName(last).groupBy(key).agg(F.max("last").alias("last"))
+        kept.write.mode("overwrite").parquet(f"{states}/{batch_id}")
 
-    return (
-        stream.select(key, "seq", "t")
-        .groupBy(key)
-        .applyInPandasWithState(
-            step, f"{key} {key_type}, seq bigint, t bigint", "last bigint", "append", GroupStateTimeout.NoTimeout
-        )
-    )
+    return run_available(stream, name, "append", write)
 
 
 def approximate_sync_stream(
