@@ -132,8 +132,8 @@ def camera_parameters(k: Column) -> list[Column]:
     return [F.get(k, F.lit(i)) for i in (0, 4, 2, 5)]
 
 
-def slerp(a: list[Column], b: list[Column], w: Column) -> list[Column]:
-    """Shortest-arc interpolation of unit quaternions, with ``w`` component not negative."""
+def slerp_weights(a: list[Column], b: list[Column], w: Column) -> tuple[Column, Column]:
+    """Factors of two unit quaternions for shortest-arc interpolation at fraction ``w``."""
     dot = a[0] * b[0] + a[1] * b[1] + a[2] * b[2] + a[3] * b[3]
     sign = F.when(dot < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     d = F.least(F.lit(1.0), F.abs(dot))
@@ -141,10 +141,19 @@ def slerp(a: list[Column], b: list[Column], w: Column) -> list[Column]:
     close = d > 0.9995
     wa = F.when(close, F.lit(1.0) - w).otherwise(F.sin((F.lit(1.0) - w) * theta) / F.sin(theta))
     wb = F.when(close, w).otherwise(F.sin(w * theta) / F.sin(theta)) * sign
-    mixed = [wa * p + wb * q for p, q in zip(a, b)]
-    length = norm(*mixed)
-    flip = F.when(mixed[3] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return [m * flip / length for m in mixed]
+    return wa, wb
+
+
+def canonical(*q: Column) -> list[Column]:
+    """Unit quaternion with ``w`` not negative."""
+    flip = F.when(q[3] < 0, F.lit(-1.0)).otherwise(F.lit(1.0)) / norm(*q)
+    return [c * flip for c in q]
+
+
+def slerp(a: list[Column], b: list[Column], w: Column) -> list[Column]:
+    """Shortest-arc interpolation of unit quaternions."""
+    wa, wb = slerp_weights(a, b, w)
+    return canonical(*[wa * p + wb * q for p, q in zip(a, b)])
 
 
 def euler_quaternion(roll: Column, pitch: Column, yaw: Column) -> list[Column]:

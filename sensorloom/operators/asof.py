@@ -64,7 +64,7 @@ def match_grid(
     if keys:
         placed = join_hot(wanted, bounds, keys, [time, seq], "inner")
     else:
-        placed = _with_single(wanted, bounds)
+        placed = with_single(wanted, bounds)
     offset = F.col(time) - F.col("start")
     by = [*keys, "topic"]
     late = F.struct(F.col(time).alias("t"), (-F.col(seq)).alias("s")) if nearest else F.col(time)
@@ -98,10 +98,10 @@ def match_grid(
     )
 
 
-def _with_single(messages: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Attach the single bounds row of a log without run key."""
-    one = bounds.withColumn("_one", F.lit(1))
-    return messages.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
+def with_single(df: DataFrame, single: DataFrame) -> DataFrame:
+    """Attach the one row of a global aggregate to every row; only that row is broadcast."""
+    one = single.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
 
 
 def _candidate(target: Column, t: Column, s: Column) -> Column:
@@ -116,13 +116,16 @@ def match_series(
     time: str = "t",
     seq: str = "seq",
     payload: list[str] = (),
+    splits: list | None = None,
 ) -> DataFrame:
     """Previous and next ``right`` row (stamp inclusive) for every distinct stamp of ``left``.
 
-    Returns ``keys, time, prev, next``; both are structs ``(t, s, payload...)`` or null.  Of
-    several messages with one stamp the first in log order counts.
+    Returns ``keys, time, prev, next``; the latter are structs ``(t, s, payload...)`` or null.  Of
+    several messages with one stamp the first in log order counts.  ``splits`` may give block
+    boundaries when the inputs are costly to read twice.
     """
-    splits = split_points(left.select(time).unionAll(right.select(time)), [time])
+    if splits is None:
+        splits = split_points(left.select(time).unionAll(right.select(time)), [time])
     message = F.struct(F.col(seq).alias("s"), F.col(time).alias("t"), *[F.col(c) for c in payload])
     stamps = (
         left.select(*keys, time, F.lit(True).alias("_want"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.operators.asof import GRID_BLOCK, match_nearest
+from sensorloom.operators.asof import GRID_BLOCK, match_nearest, with_single
 from sensorloom.operators.ordered import index_rows
 
 
@@ -51,8 +51,7 @@ def sync_report(matches: DataFrame, tol: int, keys: list[str] = ()) -> DataFrame
     )
     if keys:
         return bad.join(total, keys)
-    one = total.withColumn("_one", F.lit(1))
-    return bad.withColumn("_one", F.lit(1)).join(one, "_one").drop("_one")
+    return with_single(bad, total)
 
 
 def interval_edges(steps: DataFrame, t_min: Column, t_max: Column, keys: list[str] = ()) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.functions.geometry import chain, pose_matrix, rigid_inverse
+from sensorloom.functions.geometry import CAMERA_TO_NED, chain, pose_matrix, rigid_inverse
+from sensorloom.operators.asof import with_single
 from sensorloom.operators.interp import interpolate
-from sensorloom.operators.skew import join_hot, join_skewed
+from sensorloom.operators.ordered import split_points
+from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
 
 INF = float("inf")
@@ -90,7 +92,7 @@ def branch_paths(pairs: DataFrame, paths: DataFrame) -> DataFrame:
 
     def attach(df, f, n):
         p = side.select(F.col("node").alias(f), F.col("root").alias(f"_r{n}"), F.col("path").alias(f"_p{n}"))
-        return join_skewed(df, p, [f], ["f1", "f2"])
+        return join_hot(df, p, [f], ["f1", "f2"])
 
     both = attach(attach(pairs, "f1", 1), "f2", 2)
     empty = F.expr("cast(array() as array<string>)")
@@ -128,7 +130,7 @@ def path_interval(branches: DataFrame, bounds: DataFrame, pair: list[str]) -> Da
     ``bounds`` is keyed by the child frame in column ``frame``.
     """
     steps = branches.select(*pair, F.explode(F.concat("up", "down")).alias("frame"))
-    joined = join_skewed(steps, bounds, ["frame"], pair, "inner")
+    joined = join_hot(steps, bounds, ["frame"], pair, "inner")
     cut = joined.groupBy(*pair).agg(F.max("t_min").alias("t_min"), F.min("t_max").alias("t_max"))
     out = branches.select(*pair, F.col("up").isNotNull().alias("connected")).join(cut, pair, "left")
     return out.select(
@@ -138,29 +140,40 @@ def path_interval(branches: DataFrame, bounds: DataFrame, pair: list[str]) -> Da
     )
 
 
+def frames_interval(asked: DataFrame, edges: DataFrame, paths: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Interval in which all asked frames can be related, as one row; unknown frames are ignored."""
+    known = asked.select("frame").distinct().join(frames(edges), "frame", "left_semi")
+    pairs = with_single(known, known.agg(F.min("frame").alias("f2"))).withColumnRenamed("frame", "f1")
+    cut = path_interval(branch_paths(pairs, paths), bounds, ["f1", "f2"])
+    return cut.agg(
+        F.coalesce(F.max("t_min"), F.lit(-INF)).alias("t_min"), F.coalesce(F.min("t_max"), F.lit(INF)).alias("t_max")
+    )
+
+
 def can_transform(t: Column, t_min: Column, t_max: Column) -> Column:
     """Inclusive bounds."""
     return t.between(t_min, t_max)
 
 
-def chain_transform(branches: DataFrame, transforms: DataFrame, key: list[str]) -> DataFrame:
-    """Matrix from ``f1`` to ``f2``: inverses up to the common ancestor, then down.
+def path_steps(branches: DataFrame, key: list[str]) -> DataFrame:
+    """The edges between two frames in order, as ``key, pos, frame, up``.
 
-    ``branches`` has ``key, up, down``; ``transforms`` has a ``matrix`` per ``frame`` and for
-    every further column it shares with ``key`` (such as a stamp).  Null when an edge lacks
-    a transform.  At most a tree branch is gathered per key.
+    ``pos`` is null for a pair without edges, that is for one and the same frame.
     """
-    shared = [c for c in key if c in transforms.columns]
     hops = F.concat(
         F.transform(F.reverse("up"), lambda f: F.struct(f.alias("frame"), F.lit(True).alias("up"))),
         F.transform("down", lambda f: F.struct(f.alias("frame"), F.lit(False).alias("up"))),
     )
-    steps = branches.select(*key, F.posexplode_outer(hops).alias("pos", "hop")).select(
-        *key, "pos", F.col("hop.frame").alias("frame"), F.col("hop.up").alias("up")
-    )
-    joined = join_skewed(steps, transforms.select("frame", *shared, "matrix"), ["frame", *shared], [*key, "pos"])
+    return branches.select(*key, F.posexplode_outer(hops).alias("pos", "hop")).select(*key, "pos", "hop.frame", "hop.up")
+
+
+def compose_steps(steps: DataFrame, key: list[str]) -> DataFrame:
+    """Product of the ``matrix`` of every step per key; null when a step lacks one.
+
+    Edges on the way up count inversely.  At most one tree branch per side is gathered.
+    """
     m = F.when(F.col("up"), rigid_inverse(F.col("matrix"))).otherwise(F.col("matrix"))
-    ordered = joined.groupBy(*key).agg(
+    ordered = steps.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.when(F.col("matrix").isNotNull(), F.struct("pos", m.alias("m"))))).alias("_m"),
         F.count("pos").alias("_hops"),
     )
@@ -168,6 +181,13 @@ def chain_transform(branches: DataFrame, transforms: DataFrame, key: list[str])
     return ordered.select(*key, F.when(F.size("_m") == F.col("_hops"), product).alias("matrix"))
 
 
+def chain_transform(branches: DataFrame, statics: DataFrame, key: list[str]) -> DataFrame:
+    """Matrix from ``f1`` to ``f2`` over static edges: up to the common ancestor, then down."""
+    steps = path_steps(branches.filter(F.col("up").isNotNull()), key)
+    joined = join_hot(steps, statics.select("frame", "matrix"), ["frame"], [*key, "pos"])
+    return compose_steps(joined, key)
+
+
 def static_matrices(edges: DataFrame, frame: str = "child") -> DataFrame:
     """Matrix per edge of a table with pose columns."""
     pose = [F.col(c) for c in ("x", "y", "z", "qx", "qy", "qz", "qw")]
@@ -205,6 +225,14 @@ def upsert_edges(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def camera_ned_edge(edges: DataFrame, camera: str) -> DataFrame:
+    """Edges with a static ``<camera>_ned`` frame, the camera turned to north-east-down axes."""
+    pose = dict(zip(("x", "y", "z", "qx", "qy", "qz", "qw"), (0.0, 0.0, 0.0, *CAMERA_TO_NED)))
+    row = [(f"{camera}_ned", camera, True, *pose.values())]
+    schema = "child string, parent string, is_static boolean, " + ", ".join(f"{c} double" for c in pose)
+    return edges.unionByName(edges.sparkSession.createDataFrame(row, schema), allowMissingColumns=True)
+
+
 # Fixed value: the parent name that marks an unattached frame.
 UNATTACHED = "/ROOT"
 
@@ -239,20 +267,23 @@ def apply_calibration(old: DataFrame, calib: DataFrame) -> DataFrame:
 
 
 def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
-    """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every distinct query row.
+    """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every query row.
 
     ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
     one.  Paths are resolved once per pair of frames and all stamps are interpolated in bulk.
     Null where a frame is unconnected or has no pose within ``tol``.
     """
-    pairs = queries.select("f1", "f2").distinct()
-    branches = branch_paths(pairs, paths)
-    asked = join_skewed(queries.select("f1", "f2", "t").distinct(), branches, ["f1", "f2"], ["t"], "inner")
-    wanted = asked.select(F.explode(F.concat("up", "down")).alias("frame"), "t").distinct()
+    branches = cut_lineage(branch_paths(queries.select("f1", "f2").distinct(), paths))
+    connected = branches.filter(F.col("up").isNotNull())
+    asked = join_hot(queries.select("f1", "f2", "t").distinct(), connected, ["f1", "f2"], ["t"], "inner")
+    steps = path_steps(asked, ["f1", "f2", "t"])
+    wanted = steps.filter(F.col("frame").isNotNull()).select("frame", "t").distinct()
+    moving_only = wanted.join(statics.select("frame"), "frame", "left_anti")
     xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
-    moving = interpolate(wanted, samples, ["frame"], xyz, tol, quat).filter(F.col("x").isNotNull())
-    moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("matrix"))
-    fixed = join_skewed(wanted, statics.select("frame", "matrix"), ["frame"], ["t"], "inner")
-    known = moving.unionByName(fixed.select("frame", "t", "matrix"))
-    connected = chain_transform(asked.filter(F.col("up").isNotNull()), known, ["f1", "f2", "t"])
-    return queries.join(connected, ["f1", "f2", "t"], "left")
+    splits = split_points(queries.select("t").unionAll(samples.select("t")), ["t"])
+    moving = interpolate(moving_only, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
+    moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("_moving"))
+    fixed = statics.select("frame", F.col("matrix").alias("_fixed"))
+    placed = join_hot(steps, fixed, ["frame"], ["t", "f1", "f2"]).join(moving, ["frame", "t"], "left")
+    product = compose_steps(placed.withColumn("matrix", F.coalesce("_fixed", "_moving")), ["f1", "f2", "t"])
+    return queries.join(product, ["f1", "f2", "t"], "left")

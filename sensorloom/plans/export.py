@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import transform_point
 from sensorloom.operators import asof, cloud, sync
+from sensorloom.operators.skew import join_hot
 
 
 @dataclass(frozen=True)
@@ -30,18 +31,23 @@ def synchronise(
     tol: int,
     nearest: bool = False,
     keys: list[str] = (),
-    t_min: Column | None = None,
-    t_max: Column | None = None,
+    interval: DataFrame | None = None,
     whole_log: DataFrame | None = None,
 ) -> Synchronised:
     """Put topics on a common grid and keep the steps at which all of them are valid.
 
-    The grid spans the whole log, not only the selected topics.
+    The grid spans the whole log, not only the selected topics.  ``interval`` holds the
+    ``t_min`` and ``t_max`` per run (one row without run keys) that matched stamps must lie
+    strictly between; all frames of the log can be related there.
     """
     keys = list(keys)
     bounds = asof.grid_bounds(messages if whole_log is None else whole_log, keys, "t", dt)
     matches = asof.match_grid(messages, bounds, topics, dt, keys, nearest=nearest)
-    frames = sync.compact(sync.valid_steps(matches, tol, keys, t_min, t_max), keys)
+    bounded, t_min, t_max = matches, None, None
+    if interval is not None:
+        t_min, t_max = F.col("t_min"), F.col("t_max")
+        bounded = join_hot(matches, interval, keys, ["idx"], "inner") if keys else asof.with_single(matches, interval)
+    frames = sync.compact(sync.valid_steps(bounded, tol, keys, t_min, t_max), keys)
     return Synchronised(matches, frames)
 
 

@@ -54,8 +54,8 @@ class Tables:
 
     def vectors(self, n: int = 64) -> DataFrame:
         """embeddings with the first components as double columns ``e0 …``."""
-        return self.embeddings.select(
-            "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(n)]
+        return self.embeddings.selectExpr(
+            "vec_id", "label", *[f"cast(embedding[{i}] as double) as e{i}" for i in range(n)]
         )
 
     def edges(self) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import euler_quaternion, matrix_position, matrix_quaternion
 from sensorloom.operators import tree
-from sensorloom.plans.registry import EDGES, LOG, SECOND, query
+from sensorloom.plans.export import synchronise
+from sensorloom.plans.registry import EDGES, HOUR, LOG, SECOND, TOPIC_ROWS, TOPICS, query
 
 HALF_SECOND = SECOND // 2
 
@@ -189,6 +190,33 @@ def tf_interval(t):
     return tree.path_interval(branches, _sensor_bounds(t), ["f1", "f2"])
 
 
+@query(f"WITH {BOUNDS} SELECT max(lo) AS t_min, min(hi) AS t_max FROM bd")
+def tf_interval_list(t):
+    """Interval in which all sensors can be related; unknown frames do not count."""
+    edges = _sensor_edges(t)
+    asked = edges.select(F.col("child").alias("frame")).union(t.region.select("r_name"))
+    return tree.frames_interval(asked, edges, tree.root_paths(edges), _sensor_bounds(t))
+
+
+@query(
+    f"""WITH {BOUNDS}, iv AS (SELECT max(lo) AS t_min, min(hi) AS t_max FROM bd),
+b AS (SELECT min(t) AS s, max(t) AS e FROM log),
+steps AS (SELECT s, unnest(range(0, CAST((e - s + {HOUR - 1}) // {HOUR} AS BIGINT))) AS idx FROM b),
+tg AS (SELECT topic, idx, s + idx * {HOUR} AS target FROM steps CROSS JOIN {TOPIC_ROWS}),
+m AS (SELECT tg.topic, idx, target, log.t AS match, target - log.t AS err FROM tg ASOF LEFT JOIN log ON tg.topic = log.topic AND log.t <= tg.target),
+k AS (SELECT idx, target FROM m, iv GROUP BY idx, target HAVING bool_and(coalesce(err < {12 * HOUR} AND match > t_min AND match < t_max, false)))
+SELECT idx, target, row_number() OVER (ORDER BY target) - 1 AS frame FROM k"""
+)
+def export_frames(t):
+    """Frames of a synchronised export: topics in tolerance while all sensors can be related."""
+    edges = _sensor_edges(t)
+    interval = tree.frames_interval(
+        edges.select(F.col("child").alias("frame")), edges, tree.root_paths(edges), _sensor_bounds(t)
+    )
+    done = synchronise(t.log(), TOPICS, HOUR, 12 * HOUR, interval=interval)
+    return done.frames.select("idx", "target", "frame")
+
+
 @query(
     f"""WITH {BOUNDS}
 SELECT seq, coalesce(t BETWEEN lo AND hi, false) AS ok FROM log LEFT JOIN bd ON bd.run = log.run + 1"""

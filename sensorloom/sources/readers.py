@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,8 +74,12 @@ def matrix(spark: SparkSession, path: str, width: int) -> DataFrame:
     )
 
 
+# Fixed value: first bytes of a numpy array file.
+NUMPY_MAGIC = b"\x93NUMPY"
+
+
 def decode_points(files: DataFrame, key: str, content: str, dim: int = 4) -> DataFrame:
-    """Little-endian float32 rows of ``dim`` numbers as points ``key, pt, x, y, z``."""
+    """Little-endian float32 rows of ``dim`` numbers, or array files, as points ``key, pt, x, y, z``."""
     schema = T.StructType(
         [files.schema[key], T.StructField("pt", T.IntegerType()), *[T.StructField(c, T.FloatType()) for c in "xyz"]]
     )
@@ -82,15 +87,20 @@ def decode_points(files: DataFrame, key: str, content: str, dim: int = 4) -> Dat
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for k, raw in zip(batch[key], batch[content]):
-                pts = np.frombuffer(raw, dtype="<f4").reshape(-1, dim)
+                if raw[:6] == NUMPY_MAGIC:
+                    pts = np.load(io.BytesIO(raw))
+                else:
+                    pts = np.frombuffer(raw, dtype="<f4").reshape(-1, dim)
                 yield pd.DataFrame({key: k, "pt": np.arange(len(pts), dtype="int32"), **{c: pts[:, i] for i, c in enumerate("xyz")}})
 
     return files.select(key, content).mapInPandas(decode, schema)
 
 
-def points(spark: SparkSession, root: str, dim: int = 4) -> DataFrame:
-    """Points of binary frame files (``.bin``), one row per point."""
-    return decode_points(frame_files(spark, root, "*.bin"), "idx", "content", dim)
+def points(spark: SparkSession, root: str, kind: str = "bin", dim: int = 4) -> DataFrame:
+    """Points of binary frame files (``bin`` or ``npy``), one row per point."""
+    if kind not in ("bin", "npy"):
+        raise ValueError(f"unsupported point format {kind}")
+    return decode_points(frame_files(spark, root, f"*.{kind}"), "idx", "content", dim)
 
 
 POSE_SCHEMA = "timestamp double, x double, y double, z double, qx double, qy double, qz double, qw double"

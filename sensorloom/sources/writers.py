@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from sensorloom.functions.stamps import seconds_text
+from sensorloom.operators.skew import join_hot
+from sensorloom.operators.tree import edge_directory
 
 
 def write_dataset(records: DataFrame, path: str, partitions=("run", "group", "name"), mode: str = "errorifexists") -> None:
@@ -40,6 +42,39 @@ def write_matrix(rows: DataFrame, path: str, order: str, values: list[str], part
     rows.repartitionByRange(parts, order).sortWithinPartitions(order).select(line.alias("value")).write.text(path)
 
 
+def write_stamps(frame_matches: DataFrame, path: str) -> None:
+    """Matched stamps and errors per topic as text in frame order; unmatched are -1 and inf."""
+    line = F.concat_ws(
+        " ",
+        F.coalesce(F.format_string("%.6f", F.col("match") / 1e6), F.lit("-1")),
+        F.coalesce(F.format_string("%.6f", F.col("err") / 1e6), F.lit("inf")),
+    )
+    (
+        frame_matches.select("topic", "frame", line.alias("value"))
+        .repartitionByRange("topic", "frame")
+        .sortWithinPartitions("topic", "frame")
+        .select("topic", "value")
+        .write.partitionBy("topic")
+        .text(path)
+    )
+
+
+def write_tree(edges: DataFrame, samples: DataFrame, path: str) -> None:
+    """Frame tree as an edge table and the stamped poses, one folder per edge."""
+    folder = edge_directory(F.col("parent"), F.col("child"))
+    edges.write.parquet(f"{path}/edges")
+    parents = edges.select("child", "parent")
+    placed = join_hot(samples, parents, ["child"], ["t"], "inner").withColumn("edge", folder)
+    placed.repartition("edge", F.floor(F.col("t") / 3_600_000_000)).sortWithinPartitions("edge", "t").write.partitionBy(
+        "edge"
+    ).parquet(f"{path}/samples")
+
+
+def read_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Edges and samples of a written frame tree."""
+    return spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/samples").drop("edge", "parent")
+
+
 def write_poses(rows: DataFrame, path: str) -> None:
     """Space-delimited pose table with header."""
     rows.write.csv(path, sep=" ", header=True)
