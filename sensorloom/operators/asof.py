@@ -99,9 +99,8 @@ def match_grid(
 
 
 def with_single(df: DataFrame, single: DataFrame) -> DataFrame:
-    """Attach the one row of a global aggregate to every row; only that row is broadcast."""
-    one = single.withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
+    """Attach the one row of a global aggregate to every row, as scalar subqueries."""
+    return df.withColumns({c: single.select(c).scalar() for c in single.columns})
 
 
 def _candidate(target: Column, t: Column, s: Column) -> Column:

@@ -133,14 +133,9 @@ def scatter_by_mask(points: DataFrame, features: DataFrame, keys: list[str], mas
 def every_nth(df: DataFrame, idx: str, parts: int = 10) -> DataFrame:
     """Every ``max(1, n div parts)``-th row of a 0-based index."""
     total = df.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.greatest(F.lit(1), F.floor(F.col("_n") / parts)).alias("_stride"), F.lit(1).alias("_one")
-    )
-    return (
-        df.withColumn("_one", F.lit(1))
-        .join(F.broadcast(total), "_one")
-        .filter(F.col(idx) % F.col("_stride") == 0)
-        .drop("_one", "_stride")
+        F.greatest(F.lit(1), F.floor(F.col("_n") / parts)).alias("_stride")
     )
+    return df.filter(F.col(idx) % total.scalar() == 0)
 
 
 def first_parent(

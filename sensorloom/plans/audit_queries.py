@@ -159,9 +159,8 @@ SELECT run, idx, coalesce(value, -1.0) AS value FROM d LEFT JOIN w USING (run, i
 def dense_fill(t):
     """Last written value for every index, gaps filled with -1."""
     log = t.log()
-    start = log.agg(F.min("t").alias("_s")).withColumn("_one", F.lit(1))
-    rows = log.withColumn("_one", F.lit(1)).join(F.broadcast(start), "_one")
-    rows = rows.withColumn("idx", F.floor((F.col("t") - F.col("_s")) / (24 * HOUR)))
+    start = log.agg(F.min("t")).scalar()
+    rows = log.withColumn("idx", F.floor((F.col("t") - start) / (24 * HOUR)))
     return audit.last_write_dense(rows, ["run"], "idx", "value", "seq", -1.0)
 
 

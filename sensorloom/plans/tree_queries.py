@@ -8,6 +8,7 @@ from sensorloom.functions.geometry import euler_quaternion, matrix_position, mat
 from sensorloom.operators import tree
 from sensorloom.plans.export import synchronise
 from sensorloom.plans.registry import EDGES, HOUR, LOG, SECOND, TOPIC_ROWS, TOPICS, query
+from sensorloom.session import cut_lineage
 
 HALF_SECOND = SECOND // 2
 
@@ -155,7 +156,7 @@ def _sensor_edges(t):
     runs = t.log().select("run").distinct()
     users = runs.select(_user(F.col("run")).alias("child"), _group(F.col("run")).alias("parent"))
     groups = users.select(F.col("parent").alias("child")).distinct().withColumn("parent", F.lit("map"))
-    return users.unionByName(groups)
+    return cut_lineage(users.unionByName(groups))
 
 
 def _sensor_bounds(t):
@@ -163,9 +164,8 @@ def _sensor_bounds(t):
         _user(F.col("run")).alias("frame"), "t_min", "t_max"
     )
     fixed = t.log().select(_group(F.col("run")).alias("frame")).distinct()
-    return moving.unionByName(
-        fixed.select("frame", F.lit(-tree.INF).alias("t_min"), F.lit(tree.INF).alias("t_max"))
-    )
+    fixed = fixed.select("frame", F.lit(-tree.INF).alias("t_min"), F.lit(tree.INF).alias("t_max"))
+    return cut_lineage(moving.unionByName(fixed))
 
 
 def _sensor_pairs(t):
