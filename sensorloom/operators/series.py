@@ -24,7 +24,7 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
 
     Only new maxima can be kept, so the series is first made strictly increasing.  What a
     block does then depends on the last stamp kept before it only, and that stamp selects
-    one of few starting rows (those within ``gap`` of the block's first).  Each block lists
+    one of few starting rows (those up to the first at least ``gap`` after the block's first).  Each block lists
     its final kept stamp per starting row, with equal ones merged; one pass over these lists
     gives the entry stamp of every block, and the blocks are then filtered independently.
     """
@@ -89,7 +89,7 @@ def _kept(t: np.ndarray, gap: int, last: int | None) -> np.ndarray:
 
 
 def _transitions(t: np.ndarray, gap: int) -> tuple[list[int], list[int]]:
-    """Last stamp kept per starting stamp within ``gap`` of the first row.
+    """Last stamp kept per possible starting stamp: those within ``gap`` of the first row, and the next.
 
     Neighbouring starts with one outcome are merged into the largest of them.
     """
@@ -98,7 +98,7 @@ def _transitions(t: np.ndarray, gap: int) -> tuple[list[int], list[int]]:
     for i in range(len(t) - 1, -1, -1):
         if following[i] < len(t):
             final[i] = final[following[i]]
-    near = int(np.searchsorted(t, t[0] + gap))
+    near = int(np.searchsorted(t, t[0] + gap)) + 1
     start, final = t[:near], final[:near]
     ends = np.append(final[1:] != final[:-1], True)
     return start[ends].tolist(), final[ends].tolist()
