@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -30,12 +30,6 @@ def write_dataset(records: DataFrame, path: str, partitions=("run", "group", "na
     )
 
 
-def read_dataset(spark: SparkSession, path: str, idx: int | None = None) -> DataFrame:
-    """Whole dataset or one frame."""
-    data = spark.read.parquet(path)
-    return data if idx is None else data.filter(F.col("idx") == idx)
-
-
 def write_matrix(rows: DataFrame, path: str, order: str, values: list[str], parts: int = 8) -> None:
     """Text matrix in index order: ordered files of ordered lines."""
     line = F.concat_ws(" ", *[F.col(c).cast("string") for c in values])
@@ -46,8 +40,8 @@ def write_stamps(frame_matches: DataFrame, path: str) -> None:
     """Matched stamps and errors per topic as text in frame order; unmatched are -1 and inf."""
     line = F.concat_ws(
         " ",
-        F.coalesce(F.format_string("%.6f", F.col("match") / 1e6), F.lit("-1")),
-        F.coalesce(F.format_string("%.6f", F.col("err") / 1e6), F.lit("inf")),
+        F.when(F.col("match").isNull(), "-1").otherwise(F.format_string("%.6f", F.col("match") / 1e6)),
+        F.when(F.col("err").isNull(), "inf").otherwise(F.format_string("%.6f", F.col("err") / 1e6)),
     )
     (
         frame_matches.select("topic", "frame", line.alias("value"))
@@ -70,11 +64,6 @@ def write_tree(edges: DataFrame, samples: DataFrame, path: str) -> None:
     ).parquet(f"{path}/samples")
 
 
-def read_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Edges and samples of a written frame tree."""
-    return spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/samples").drop("edge", "parent")
-
-
 def write_poses(rows: DataFrame, path: str) -> None:
     """Space-delimited pose table with header."""
     rows.write.csv(path, sep=" ", header=True)
