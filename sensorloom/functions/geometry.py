@@ -83,12 +83,16 @@ def matrix_position(m: Column) -> list[Column]:
 
 
 def matmul(a: Column, b: Column) -> Column:
-    """Product of two 4×4 matrices."""
+    """Product of two rotation-translation matrices."""
+    x = [F.get(a, F.lit(i)) for i in range(12)]
+    y = [F.get(b, F.lit(i)) for i in range(12)]
+
     def cell(i, j):
-        parts = [F.get(a, F.lit(4 * i + k)) * F.get(b, F.lit(4 * k + j)) for k in range(4)]
-        return parts[0] + parts[1] + parts[2] + parts[3]
+        turned = x[4 * i] * y[j] + x[4 * i + 1] * y[4 + j] + x[4 * i + 2] * y[8 + j]
+        return turned + x[4 * i + 3] if j == 3 else turned
 
-    return F.array(*[cell(i, j) for i in range(4) for j in range(4)])
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return F.array(*[cell(i, j) for i in range(3) for j in range(4)], zero, zero, zero, one)
 
 
 def rigid_inverse(m: Column) -> Column:

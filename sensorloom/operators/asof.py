@@ -125,12 +125,17 @@ def match_series(
     """
     if splits is None:
         splits = split_points(left.select(time).unionAll(right.select(time)), [time])
-    message = F.struct(F.col(seq).alias("s"), F.col(time).alias("t"), *[F.col(c) for c in payload])
+    carried = {f"_p{i}": c for i, c in enumerate(payload)}
+    message = F.struct(F.col("_s").alias("s"), F.col(time).alias("t"), *[F.col(p).alias(c) for p, c in carried.items()])
     stamps = (
         left.select(*keys, time, F.lit(True).alias("_want"))
-        .unionByName(right.select(*keys, time, message.alias("_msg")), allowMissingColumns=True)
+        .unionByName(
+            right.select(*keys, time, F.col(seq).alias("_s"), *[F.col(c).alias(p) for p, c in carried.items()]),
+            allowMissingColumns=True,
+        )
         .groupBy(*keys, time)
-        .agg(F.max("_want").alias("_want"), F.min("_msg").alias("_msg"))
+        .agg(F.max("_want").alias("_want"), *[F.min_by(p, "_s").alias(p) for p in carried], F.min("_s").alias("_s"))
+        .select(*keys, time, "_want", F.when(F.col("_s").isNotNull(), message).alias("_msg"))
     )
     scanned = running(
         stamps,
@@ -148,12 +153,12 @@ def match_backward(left, right, keys, time="t", seq="seq", payload=()):
     return m.withColumn("match", F.col("prev")).withColumn("err", F.col(time) - F.col("prev.t")).drop("prev", "next")
 
 
-def match_nearest(left, right, keys, time="t", seq="seq", payload=(), cutoff: int | None = None):
+def match_nearest(left, right, keys, time="t", seq="seq", payload=(), cutoff: int | None = None, splits=None):
     """Nearest right row on either side; equal errors go to the smaller ``seq``.
 
     ``cutoff`` is inclusive: a match exactly that far away is kept.
     """
-    m = match_series(left, right, keys, time, seq, payload)
+    m = match_series(left, right, keys, time, seq, payload, splits)
 
     def cand(side: str) -> Column:
         c = F.col(side)

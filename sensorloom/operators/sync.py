@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.asof import GRID_BLOCK, match_nearest, with_single
-from sensorloom.operators.ordered import index_rows
+from sensorloom.operators.ordered import index_rows, split_points
 
 
 def choose_stamp(log_time: str, stamp: str, use_log_time: bool = False) -> Column:
@@ -85,9 +85,9 @@ def fan_out(messages: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def latest_per_key(messages: DataFrame, keys: list[str], payload: list[str], seq: str = "seq") -> DataFrame:
-    """The last logged payload per key."""
-    latest = messages.groupBy(*keys).agg(F.max_by(F.struct(seq, *payload), F.col(seq)).alias("_l"))
-    return latest.select(*keys, "_l.*")
+    """The last logged payload per key; payloads are read for the winners only."""
+    last = messages.groupBy(*keys).agg(F.max(seq).alias(seq))
+    return messages.select(*keys, seq, *payload).join(last, [*keys, seq])
 
 
 def camera_info_topic(topic: Column) -> Column:
@@ -98,7 +98,7 @@ def camera_info_topic(topic: Column) -> Column:
     return F.concat(topic, F.lit("/camera_info"))
 
 
-def mutual_pairs(pivot: DataFrame, other: DataFrame, keys: list[str], slop: int) -> DataFrame:
+def mutual_pairs(pivot: DataFrame, other: DataFrame, keys: list[str], slop: int, splits: list | None = None) -> DataFrame:
     """Pairs of pivot and other messages that are each other's nearest within ``slop``.
 
     Returns ``keys, t, seq, o_t, o_seq``.  Stamps count once per side (first in log order).
@@ -107,10 +107,10 @@ def mutual_pairs(pivot: DataFrame, other: DataFrame, keys: list[str], slop: int)
         return df.groupBy(*keys, "t").agg(F.min("seq").alias("seq"))
 
     p, o = firsts(pivot), firsts(other)
-    to_other = match_nearest(p, o, keys, cutoff=slop).select(
+    to_other = match_nearest(p, o, keys, cutoff=slop, splits=splits).select(
         *keys, "t", F.col("match.t").alias("o_t"), F.col("match.s").alias("o_seq")
     )
-    to_pivot = match_nearest(o, p, keys, cutoff=slop).select(
+    to_pivot = match_nearest(o, p, keys, cutoff=slop, splits=splits).select(
         *keys, F.col("match.t").alias("t"), F.col("t").alias("o_t"), F.col("match.s").alias("seq")
     )
     return to_other.join(to_pivot, [*keys, "t", "o_t"]).select(*keys, "t", "seq", "o_t", "o_seq")
@@ -124,10 +124,11 @@ def approximate_sync(messages: DataFrame, keys: list[str], topics: list[str], sl
     """
     pivot_topic, *others = topics
     pivot = messages.filter(F.col("topic") == pivot_topic)
+    splits = split_points(messages, ["t"])
     out = None
     lo, hi = F.col("t"), F.col("t")
     for i, topic in enumerate(others, 1):
-        pairs = mutual_pairs(pivot, messages.filter(F.col("topic") == topic), keys, slop)
+        pairs = mutual_pairs(pivot, messages.filter(F.col("topic") == topic), keys, slop, splits)
         pairs = pairs.select(*keys, "t", "seq", F.col("o_t").alias(f"t_{i}"), F.col("o_seq").alias(f"seq_{i}"))
         out = pairs if out is None else out.join(pairs, [*keys, "t", "seq"])
         lo, hi = F.least(lo, F.col(f"t_{i}")), F.greatest(hi, F.col(f"t_{i}"))

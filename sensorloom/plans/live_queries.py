@@ -36,7 +36,7 @@ def stream_latest(t):
 def _status(t):
     """Status of the configured topics at the end of the log; half an hour counts as fresh."""
     catalog = t.spark.createDataFrame([(x, HOUR // 2) for x in TOPICS], "topic string, max_age bigint")
-    now = t.log().agg(F.max("t")).first()[0]
+    now = t.log().agg(F.max("t")).scalar()
     return live.topic_status(catalog, _latest(t), now)
 
 

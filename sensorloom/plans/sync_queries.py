@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.model import REGISTRY, registry_table
 from sensorloom.operators import asof, audit, interp, sync
-from sensorloom.operators.ordered import index_rows
+from sensorloom.operators.ordered import index_rows, split_points
 from sensorloom.operators.skew import join_hot
 from sensorloom.plans.export import synchronise
 from sensorloom.plans.registry import HOUR, LOG, SECOND, TOPIC_ROWS, TOPICS, query
@@ -267,7 +267,8 @@ def interp_linear(t):
     log = t.log()
     bounds = asof.grid_bounds(log, [], "t", HOUR)
     targets = asof.topic_grid(bounds, [], TOPICS, HOUR).select("topic", F.col("target").alias("t"))
-    out = interp.interpolate(targets, log, ["topic"], ["value"], 2 * HOUR)
+    splits = split_points(log.select("t"), ["t"])
+    out = interp.interpolate(targets, log, ["topic"], ["value"], 2 * HOUR, splits=splits)
     return out.select("topic", "t", F.round("value", 6).alias("value"))
 
 

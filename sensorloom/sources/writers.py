@@ -30,10 +30,11 @@ def write_dataset(records: DataFrame, path: str, partitions=("run", "group", "na
     )
 
 
-def write_matrix(rows: DataFrame, path: str, order: str, values: list[str], parts: int = 8) -> None:
+def write_matrix(rows: DataFrame, path: str, order: str, values: list[str], parts: int | None = None) -> None:
     """Text matrix in index order: ordered files of ordered lines."""
     line = F.concat_ws(" ", *[F.col(c).cast("string") for c in values])
-    rows.repartitionByRange(parts, order).sortWithinPartitions(order).select(line.alias("value")).write.text(path)
+    ranged = rows.repartitionByRange(order) if parts is None else rows.repartitionByRange(parts, order)
+    ranged.sortWithinPartitions(order).select(line.alias("value")).write.text(path)
 
 
 def write_stamps(frame_matches: DataFrame, path: str) -> None:

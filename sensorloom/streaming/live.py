@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -68,9 +68,9 @@ def read_updates(spark: SparkSession, path: str, keys: list[str], columns: list[
     return newest.select(*keys, "_l.*")
 
 
-def topic_status(catalog: DataFrame, latest_rows: DataFrame, now) -> DataFrame:
-    """Per configured topic whether data exists, its age, and whether it is fresh (inclusive)."""
-    age = F.lit(now) - F.col("t") if not isinstance(now, str) else F.col(now) - F.col("t")
+def topic_status(catalog: DataFrame, latest_rows: DataFrame, now: Column | int) -> DataFrame:
+    """Per configured topic whether data exists, its age at ``now``, and whether it is fresh (inclusive)."""
+    age = (now if isinstance(now, Column) else F.lit(now)) - F.col("t")
     return catalog.join(latest_rows, "topic", "left").select(
         *catalog.columns,
         F.col("t").isNotNull().alias("seen"),
