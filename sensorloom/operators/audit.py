@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.ordered import dense_index
+from sensorloom.operators.skew import join_hot
 
 
 def absent(wanted: DataFrame, present: DataFrame, on: str) -> DataFrame:
     """Distinct wanted keys that do not occur."""
-    return wanted.select(on).distinct().join(present.select(on), on, "left_anti")
+    return wanted.select(on).distinct().join(present.select(on).distinct(), on, "left_anti")
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,9 +68,16 @@ def upsert_with_conflict(old: DataFrame, new: DataFrame, key: str, value: str) -
     )
 
 
-def lookup(df: DataFrame, info: DataFrame, key: str, value: str, default, strict: bool = False) -> DataFrame:
+def read_indices(df: DataFrame, indices: DataFrame, on: list[str]) -> DataFrame:
+    """Records of the listed indices, however often they are listed."""
+    return df.join(indices.select(*on).distinct(), on, "left_semi")
+
+
+def lookup(
+    df: DataFrame, info: DataFrame, key: str, value: str, default, spread: list[str], strict: bool = False
+) -> DataFrame:
     """Value of ``key`` or the default; ``strict`` fails on a missing key instead."""
-    found = df.join(info.select(key, value), key, "left")
+    found = join_hot(df, info.select(key, value), [key], spread)
     if strict:
         message = F.concat(F.lit("missing key "), F.col(key).cast("string"))
         return found.withColumn(value, F.coalesce(F.col(value), F.raise_error(message)))
@@ -86,7 +94,7 @@ def last_write_dense(df: DataFrame, keys: list[str], idx: str, value: str, seq:
 
 def not_yet_written(df: DataFrame, written: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose index has no output yet."""
-    return df.join(written.select(*on), on, "left_anti")
+    return df.join(written.select(*on).distinct(), on, "left_anti")
 
 
 def difference(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators.asof import GRID_BLOCK, match_nearest, with_single
 from sensorloom.operators.ordered import index_rows, split_points
+from sensorloom.operators.skew import join_skewed
 
 
 def choose_stamp(log_time: str, stamp: str, use_log_time: bool = False) -> Column:
@@ -70,11 +71,12 @@ def attach_payload(matches: DataFrame, messages: DataFrame, keys: list[str], pay
     """
     found = matches.filter(F.col("match").isNotNull())
     stamps = messages.select(*keys, F.col("t").alias("match"), seq)
-    wanted = stamps.join(found.select(*keys, "match"), [*keys, "match"], "left_semi")
+    wanted = stamps.join(found.select(*keys, "match").distinct(), [*keys, "match"], "left_semi")
     winners = wanted.groupBy(*keys, "match").agg(F.max(seq).alias("_win"))
     content = messages.select(*keys, F.col("t").alias("match"), F.col(seq).alias("_win"), F.struct(*payload).alias("_p"))
     last = content.join(winners, [*keys, "match", "_win"])
-    return found.join(last, [*keys, "match"]).select(
+    # A topic that falls silent leaves one stamp matched by all later steps.
+    return join_skewed(found, last, [*keys, "match"], ["idx"], "inner").select(
         *matches.columns, *[F.col("_p").getField(c).alias(c) for c in payload]
     )
 

@@ -104,7 +104,7 @@ def info_lookup(t):
     """Metadata value of a key, ``NULL`` text when absent."""
     info = t.nation.filter(F.col("n_regionkey") != 1).select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value"))
     asked = t.customer.select("c_custkey", F.col("c_nationkey").alias("key"))
-    return audit.lookup(asked, info, "key", "value", "NULL").select("c_custkey", "key", "value")
+    return audit.lookup(asked, info, "key", "value", "NULL", ["c_custkey"]).select("c_custkey", "key", "value")
 
 
 @query(
@@ -193,7 +193,7 @@ def resume_anti(t):
 def read_multi_idx(t):
     """Records of a list of indices."""
     idxs = t.lineitem.filter(F.col("l_quantity") == 50).select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey", "o_totalprice").join(idxs, "o_orderkey", "left_semi")
+    return audit.read_indices(t.orders.select("o_orderkey", "o_totalprice"), idxs, ["o_orderkey"])
 
 
 @query(

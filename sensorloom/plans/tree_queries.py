@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import euler_quaternion, matrix_position, matrix_quaternion
-from sensorloom.operators import tree
+from sensorloom.operators import asof, sync, tree
 from sensorloom.plans.export import synchronise
 from sensorloom.plans.registry import EDGES, HOUR, LOG, SECOND, TOPIC_ROWS, TOPICS, query
 from sensorloom.session import cut_lineage
@@ -217,6 +217,22 @@ def export_frames(t):
     return done.frames.select("idx", "target", "frame")
 
 
+@query(
+    f"""WITH {BOUNDS}, iv AS (SELECT max(lo) AS t_min, min(hi) AS t_max FROM bd),
+b AS (SELECT min(t) AS s, max(t) AS e FROM log),
+steps AS (SELECT s, unnest(range(0, CAST((e - s + {HOUR - 1}) // {HOUR} AS BIGINT))) AS idx FROM b)
+SELECT min(idx) FILTER (WHERE s + idx * {HOUR} > t_min) AS first_idx, max(idx) FILTER (WHERE s + idx * {HOUR} < t_max) AS last_idx FROM steps, iv"""
+)
+def interval_marks(t):
+    """First and last grid step inside the interval in which all sensors can be related."""
+    edges = _sensor_edges(t)
+    interval = tree.frames_interval(
+        edges.select(F.col("child").alias("frame")), edges, tree.root_paths(edges), _sensor_bounds(t)
+    )
+    grid = asof.time_grid(asof.grid_bounds(t.log(), [], "t", HOUR), [], HOUR)
+    return sync.interval_edges(asof.with_single(grid, interval), F.col("t_min"), F.col("t_max"))
+
+
 @query(
     f"""WITH {BOUNDS}
 SELECT seq, coalesce(t BETWEEN lo AND hi, false) AS ok FROM log LEFT JOIN bd ON bd.run = log.run + 1"""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.functions.geometry import camera_parameters
+from sensorloom.functions.geometry import camera_matrix, camera_parameters
 from sensorloom.operators.ordered import Scan, running
 
 
@@ -135,6 +135,24 @@ def calibration(text: Column, camera: str = "cam0") -> Column:
     )
 
 
+def stereo_calibration(text: Column, left: str = "cam0", right: str = "cam1") -> Column:
+    """Camera matrices, distortions and right-to-left matrix of a JSON stereo calibration."""
+    def numbers(path: str) -> Column:
+        return F.from_json(F.get_json_object(text, path), "array<double>")
+
+    def matrix_of(camera: str) -> Column:
+        values = numbers(f"$.{camera}.intrinsics")
+        return camera_matrix(*[F.get(values, F.lit(i)) for i in range(4)])
+
+    return F.struct(
+        matrix_of(left).alias("k_left"),
+        numbers(f"$.{left}.distortion_coeffs").alias("d_left"),
+        matrix_of(right).alias("k_right"),
+        numbers(f"$.{right}.distortion_coeffs").alias("d_right"),
+        numbers(f"$.{right}.T_cn_cnm1").alias("right_to_left"),
+    )
+
+
 def catalog(spark: SparkSession, *lists: list[dict]) -> DataFrame:
     """Topic catalogue from one or more included lists; the group defaults to an empty name."""
     rows = [

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sensorloom.operators.series import thin
@@ -35,13 +36,19 @@ def latest(stream: DataFrame, keys: list[str], payload: list[str], seq: str = "s
     return newest.select(*keys, "_l.*")
 
 
-def run_available(df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None] | None = None) -> str:
-    """Process what is available now and return the folder with one table per micro-batch.
+def start(
+    df: DataFrame,
+    name: str,
+    mode: str,
+    write: Callable[[DataFrame, int, str], None] | None = None,
+    every: str | None = None,
+) -> tuple[StreamingQuery, str]:
+    """Start a stream that writes one table per micro-batch below the returned folder.
 
-    A batch that is run again after a failure overwrites its own folder, so results stay exact.
+    It polls ``every`` interval, or stops after what is available now.  A batch that is run
+    again after a failure overwrites its own folder, so results stay exact.
     """
-    spark = df.sparkSession
-    out, checkpoint = new_path(spark, name), new_path(spark, f"{name}-offsets")
+    out, checkpoint = new_path(df.sparkSession, name), new_path(df.sparkSession, f"{name}-offsets")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         target = f"{out}/batch={batch_id}"
@@ -50,13 +57,14 @@ def run_available(df: DataFrame, name: str, mode: str, write: Callable[[DataFram
         else:
             write(batch, batch_id, target)
 
-    query = (
-        df.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(save)
-        .start()
-    )
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start(), out
+
+
+def run_available(df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None] | None = None) -> str:
+    """Process what is available now and return the output folder."""
+    query, out = start(df, name, mode, write)
     query.awaitTermination()
     return out
 

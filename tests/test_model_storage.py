@@ -93,12 +93,19 @@ def test_calibration_layouts(spark):
         spark.createDataFrame([("{}",)], "t string").select(readers.calibration(F.col("t"))).collect()
 
 
+def test_stereo_calibration(spark):
+    text = '{"cam0":{"intrinsics":[1,2,3,4],"distortion_coeffs":[0.1,0.2]},"cam1":{"intrinsics":[5,6,7,8],"distortion_coeffs":[0.3],"T_cn_cnm1":[1,0,0,9,0,1,0,0,0,0,1,0,0,0,0,1]}}'
+    row = spark.createDataFrame([(text,)], "t string").select(readers.stereo_calibration(F.col("t")).alias("c")).select("c.*").first()
+    assert row.k_left == [1, 0, 3, 0, 2, 4, 0, 0, 1] and row.k_right == [5, 0, 7, 0, 6, 8, 0, 0, 1]
+    assert (row.d_left, row.d_right, row.right_to_left[3]) == ([0.1, 0.2], [0.3], 9.0)
+
+
 def test_lookup_modes(spark):
     df = spark.createDataFrame([(1,), (2,)], "k int")
     info = spark.createDataFrame([(1, "x")], "k int, v string")
-    assert {r.k: r.v for r in audit.lookup(df, info, "k", "v", "NULL").collect()} == {1: "x", 2: "NULL"}
+    assert {r.k: r.v for r in audit.lookup(df, info, "k", "v", "NULL", ["k"]).collect()} == {1: "x", 2: "NULL"}
     with pytest.raises(Exception, match="missing key 2"):
-        audit.lookup(df, info, "k", "v", None, strict=True).collect()
+        audit.lookup(df, info, "k", "v", None, ["k"], strict=True).collect()
 
 
 def test_half_precision_bits(spark):

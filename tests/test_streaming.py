@@ -32,6 +32,16 @@ def test_latest_is_by_arrival(spark, stream):
     assert spark.read.parquet(out).select("batch").distinct().count() == 3
 
 
+def test_periodic_polling(spark, stream):
+    query, out = live.start(live.latest(stream, ["topic"], ["t"]), "poll", "update", every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = {r.topic: r.seq for r in live.read_updates(spark, out, ["topic"], ["seq", "t"]).collect()}
+    assert got == {topic: s for topic, s, _, _ in rows()}
+
+
 def test_thinning_over_batches_equals_the_sequential_rule(spark, stream, small_blocks):
     got = {tuple(r) for r in spark.read.parquet(live.thin_available(stream, "topic", 10)).select("topic", "seq", "t").collect()}
     last, want = {}, set()
