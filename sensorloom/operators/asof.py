@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators.ordered import Scan, dense_index, running, split_points
 from sensorloom.operators.skew import join_hot
+from sensorloom.session import cut_lineage
 
 GRID_BLOCK = 16384
 
@@ -22,12 +23,13 @@ def floor_div(a: Column, b: int) -> Column:
 
 
 def grid_bounds(messages: DataFrame, keys: list[str], time: str, dt: int) -> DataFrame:
-    """Start, end and number of grid steps per run; the end itself is excluded."""
-    return (
-        messages.groupBy(*keys)
-        .agg(F.min(time).alias("start"), F.max(time).alias("stop"))
-        .withColumn("n_steps", -floor_div(F.col("start") - F.col("stop"), dt))
-    )
+    """Start, end and number of grid steps per run; the end itself is excluded.
+
+    The log is read once for it: the one row per run is stored, since grid and messages both
+    need it.
+    """
+    spans = messages.groupBy(*keys).agg(F.min(time).alias("start"), F.max(time).alias("stop"))
+    return cut_lineage(spans.withColumn("n_steps", -floor_div(F.col("start") - F.col("stop"), dt)))
 
 
 def time_grid(bounds: DataFrame, keys: list[str], dt: int) -> DataFrame:

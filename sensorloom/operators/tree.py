@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import CAMERA_TO_NED, chain, pose_matrix, rigid_inverse
@@ -52,9 +52,9 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             (F.col("_inner").isNull() | (F.col("child") == F.col("parent"))).alias("done"),
         )
     )
-    paths = cut_lineage(paths)
+    paths, n_open = _settle(paths)
     reach = 1
-    while reach < max_depth and not paths.filter(~F.col("done")).isEmpty():
+    while reach < max_depth and n_open:
         pending = paths.filter(~F.col("done"))
         upper = paths.select(
             F.col("node").alias("top"),
@@ -68,7 +68,7 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             F.concat("_path", "path").alias("path"),
             F.col("_done").alias("done"),
         )
-        paths = cut_lineage(paths.filter("done").unionByName(pending))
+        paths, n_open = _settle(paths.filter("done").unionByName(pending))
         reach *= 2
     return paths.select(
         "node",
@@ -78,6 +78,13 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     )
 
 
+def _settle(paths: DataFrame) -> tuple[DataFrame, int]:
+    """Store the paths and count the unfinished ones in the same job."""
+    seen = Observation()
+    stored = cut_lineage(paths.observe(seen, F.count_if(~F.col("done")).alias("n_open")))
+    return stored, seen.get["n_open"]
+
+
 def depths(paths: DataFrame) -> DataFrame:
     """Depth of every node below its root, 0-based."""
     return paths.select("node", "root", (F.size("path") - 1).alias("depth"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import stamps
 from sensorloom.operators import audit
-from sensorloom.operators.ordered import index_rows
+from sensorloom.operators.ordered import dense_index, index_rows
 from sensorloom.operators.skew import join_hot, join_skewed
 from sensorloom.plans.registry import HOUR, LOG, query
 from sensorloom.sources import readers, writers
@@ -96,29 +96,29 @@ def upsert_conflict(t):
     return audit.upsert_with_conflict(old, new, "key", "value")
 
 
-@query(
-    """SELECT c_custkey, n_nationkey AS key, coalesce(n_name, 'NULL') AS value
-FROM (SELECT c_custkey, c_nationkey AS n_nationkey FROM customer) c LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 1) n USING (n_nationkey)"""
-)
+@query("SELECT doc_id AS key, n_chars, coalesce(CAST(quality AS VARCHAR), 'NULL') AS value FROM documents LEFT JOIN labels USING (doc_id)")
 def info_lookup(t):
     """Metadata value of a key, ``NULL`` text when absent."""
-    info = t.nation.filter(F.col("n_regionkey") != 1).select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value"))
-    asked = t.customer.select("c_custkey", F.col("c_nationkey").alias("key"))
-    return audit.lookup(asked, info, "key", "value", "NULL", ["c_custkey"]).select("c_custkey", "key", "value")
+    info = t.labels.select(F.col("doc_id").alias("key"), F.col("quality").cast("string").alias("value"))
+    asked = t.documents.select(F.col("doc_id").alias("key"), "n_chars")
+    return audit.lookup(asked, info, "key", "value", "NULL", ["n_chars"]).select("key", "n_chars", "value")
 
 
-@query(
-    """SELECT l_orderkey AS idx, l_linenumber, l_partkey, coalesce(o.t, -1.0) AS stamp FROM lineitem LEFT JOIN
-(SELECT o_orderkey, CAST(epoch_us(o_orderdate) AS DOUBLE) / 1e6 AS t FROM orders WHERE o_orderstatus = 'F') o ON l_orderkey = o_orderkey"""
-)
+SHIPPED = "s AS (SELECT l_orderkey, CAST(min(epoch_us(l_shipdate)) AS DOUBLE) / 1e6 AS t FROM lineitem GROUP BY l_orderkey)"
+
+
+def _shipped(t):
+    """First stamp per index; some indices have none."""
+    first = t.lineitem.groupBy(F.col("l_orderkey").alias("idx")).agg(F.min(stamps.micros("l_shipdate")).alias("t"))
+    return first.select("idx", (F.col("t").cast("double") / 1e6).alias("stamp"))
+
+
+@query(f"WITH {SHIPPED} SELECT o_orderkey AS idx, o_totalprice, coalesce(s.t, -1.0) AS stamp FROM orders LEFT JOIN s ON l_orderkey = o_orderkey")
 def stamp_lookup(t):
     """Stamp of a frame index, -1 when absent."""
-    known = t.orders.filter(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("idx"), (stamps.micros("o_orderdate").cast("double") / 1e6).alias("stamp")
-    )
-    asked = t.lineitem.select(F.col("l_orderkey").alias("idx"), "l_linenumber", "l_partkey")
-    found = join_skewed(asked, known, ["idx"], ["l_linenumber", "l_partkey"])
-    return found.withColumn("stamp", F.coalesce("stamp", F.lit(-1.0)))
+    asked = t.orders.select(F.col("o_orderkey").alias("idx"), "o_totalprice")
+    found = join_skewed(asked, _shipped(t), ["idx"], ["o_totalprice"])
+    return found.select("idx", "o_totalprice", F.coalesce("stamp", F.lit(-1.0)).alias("stamp"))
 
 
 @query(
@@ -143,10 +143,10 @@ def backfill_columns(t):
     return readers.with_missing_columns(old, new, {"first_update": -1})
 
 
-@query("SELECT s_nationkey AS nation FROM supplier INTERSECT SELECT n_nationkey FROM nation WHERE n_regionkey < 3")
+@query("SELECT s_nationkey AS nation FROM supplier INTERSECT SELECT c_nationkey FROM customer")
 def modalities_present(t):
     """Configured modalities that exist."""
-    wanted = t.nation.filter(F.col("n_regionkey") < 3).select(F.col("n_nationkey").alias("nation"))
+    wanted = t.customer.select(F.col("c_nationkey").alias("nation"))
     return wanted.intersect(t.supplier.select(F.col("s_nationkey").alias("nation")))
 
 
@@ -165,19 +165,14 @@ def dense_fill(t):
 
 
 @query(
-    """WITH d AS (SELECT unnest(range(0, max(o_orderkey) + 1)) AS idx FROM orders)
-SELECT idx, CASE WHEN o_orderkey IS NULL THEN 'nan' ELSE printf('%.9f', CAST(epoch_us(o_orderdate) AS DOUBLE) / 1e6) END AS stamp_text, isnan(coalesce(o_totalprice, 'nan'::DOUBLE)) AS lost
-FROM d LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON idx = o_orderkey"""
+    f"""WITH {SHIPPED}, d AS (SELECT unnest(range(0, max(l_orderkey) + 1)) AS idx FROM lineitem)
+SELECT idx, CASE WHEN s.t IS NULL THEN 'nan' ELSE printf('%.9f', s.t) END AS stamp_text, isnan(coalesce(s.t, 'nan'::DOUBLE)) AS lost FROM d LEFT JOIN s ON idx = l_orderkey"""
 )
 def pose_export(t):
     """Stamps with nine decimals and poses for every index; missing ones are nan."""
-    from sensorloom.operators.ordered import dense_index
-
-    top = t.orders.agg(F.max("o_orderkey").alias("_hi")).withColumn("_lo", F.lit(0))
+    known = _shipped(t).withColumn("x", F.col("stamp"))
+    top = t.lineitem.agg(F.max("l_orderkey").alias("_hi")).withColumn("_lo", F.lit(0))
     dense = dense_index(top, [], "_lo", "_hi").select("idx")
-    known = t.orders.filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("idx"), (stamps.micros("o_orderdate").cast("double") / 1e6).alias("stamp"), F.col("o_totalprice").alias("x")
-    )
     lines = writers.pose_lines(dense.join(known, "idx", "left"), "stamp", ["x"])
     return lines.select("idx", "stamp_text", F.isnan("x").alias("lost"))
 
