@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.operators.skew import join_hot
-from sensorloom.session import rows_per_block
+from sensorloom.session import cut_lineage, rows_per_block
 
 MAX_BLOCKS = 32768
 SAMPLES_PER_BLOCK = 10
@@ -133,7 +133,8 @@ def running(
     ``block`` may give a ready block number that does not decrease along ``order``, and
     ``splits`` ready boundaries, such as those of the raw table that ``df`` derives from.
     """
-    if block is None and splits is None:
+    plain = block is None and splits is None
+    if plain:
         splits = split_points(df, order)
     names = {f"_v{i}": (out, scan) for i, (out, scan) in enumerate(outputs.items())}
     base = df
@@ -170,6 +171,10 @@ def running(
         "_blk",
         *[_carried(s, F.col(tmp), over_blocks[s.reverse]).alias(f"_c{tmp}") for tmp, (_, s) in names.items()],
     )
+    if plain:
+        # Of a plain scan nothing is shared with the detail rows, so the few carries are stored
+        # first; a derived input is better read by one query that reuses its exchanges.
+        carry = cut_lineage(carry)
     w = windows([*keys, "_blk"])
     local = base.withColumns({f"_l{tmp}": _local(s, F.col(tmp), w[s.reverse]) for tmp, (_, s) in names.items()})
     joined = local.join(carry, [*keys, "_blk"], "left")

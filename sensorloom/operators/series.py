@@ -81,10 +81,11 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
 def _kept(t: np.ndarray, gap: int, last: int | None) -> np.ndarray:
     """Mask of kept rows of a strictly increasing series."""
     mask = np.zeros(len(t), dtype=bool)
+    following = np.searchsorted(t, t + gap).tolist()
     at = 0 if last is None else int(np.searchsorted(t, last + gap))
     while at < len(t):
         mask[at] = True
-        at = int(np.searchsorted(t, t[at] + gap))
+        at = following[at]
     return mask
 
 
@@ -93,15 +94,16 @@ def _transitions(t: np.ndarray, gap: int) -> tuple[list[int], list[int]]:
 
     Neighbouring starts with one outcome are merged into the largest of them.
     """
+    n = len(t)
+    near = min(n, int(np.searchsorted(t, t[0] + gap)) + 1)
     following = np.searchsorted(t, t + gap)
-    final = t.copy()
-    for i in range(len(t) - 1, -1, -1):
-        if following[i] < len(t):
-            final[i] = final[following[i]]
-    near = int(np.searchsorted(t, t[0] + gap)) + 1
-    start, final = t[:near], final[:near]
-    ends = np.append(final[1:] != final[:-1], True)
-    return start[ends].tolist(), final[ends].tolist()
+    final = np.where(following < n, following, np.arange(n))
+    # Follow all chains at once, doubling the stride until every row points at its last kept one.
+    while not np.array_equal(further := final[final], final):
+        final = further
+    start, end = t[:near], t[final[:near]]
+    ends = np.append(end[1:] != end[:-1], True)
+    return start[ends].tolist(), end[ends].tolist()
 
 
 def path_length(df: DataFrame, keys: list[str], order: list[str], position: list[str], name: str = "length") -> DataFrame:
