@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions.geometry import norm
 from sensorloom.operators.ordered import Scan, block_of, running, split_points
 from sensorloom.operators.skew import join_skewed
+from sensorloom.session import cut_lineage
 
 
 def strictly_increasing(df: DataFrame, keys: list[str], time: str = "t", seq: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -22,40 +23,38 @@ def strictly_increasing(df: DataFrame, keys: list[str], time: str = "t", seq: tu
 def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Keep a row when it is at least ``gap`` after the last kept row of its key, in log order.
 
-    Only new maxima can be kept, so the series is first made strictly increasing.  What a
-    block does then depends on the last stamp kept before it only, and that stamp selects
-    one of few starting rows (those up to the first at least ``gap`` after the block's first).  Each block lists
-    its final kept stamp per starting row, with equal ones merged; one pass over these lists
-    gives the entry stamp of every block, and the blocks are then filtered independently.
+    Only new maxima can be kept, and the last kept stamp is always within ``gap`` of the
+    maximum so far.  So what a block of the log does depends on few possible starting rows:
+    new maxima up to the first one ``gap`` above the maximum before the block.  Each block
+    lists its final kept stamp per starting row, with equal ones merged; one pass over these
+    lists gives the entry stamp of every block, and the blocks are then filtered independently.
     """
-    series = strictly_increasing(df, keys, time, seq)
     if gap <= 0:
-        return series
-    splits = split_points(df, [time])
-    blocks = series.withColumn("_blk", block_of(series, [time], splits))
-    by = [*keys, "_blk"]
-    out_schema = T.StructType([f for f in series.schema.fields])
+        return strictly_increasing(df, keys, time, seq)
+    order = list(seq)
+    splits = split_points(df, order)
     if not splits:
         def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(time)
-            return pdf[_kept(pdf[time].to_numpy(), gap, None)]
+            pdf = pdf.sort_values(order)
+            return pdf.iloc[_kept(pdf[time].to_numpy(), gap, None)]
 
-        return series.groupBy(*keys).applyInPandas(whole, out_schema)
+        return df.groupBy(*keys).applyInPandas(whole, df.schema)
 
-    key_fields = [series.schema[k] for k in keys]
-    step_schema = T.StructType(
-        [*key_fields, T.StructField("_blk", T.IntegerType()),
-         T.StructField("start", T.ArrayType(T.LongType())), T.StructField("final", T.ArrayType(T.LongType()))]
-    )
+    by, columns = [*keys, "_blk"], df.columns
+    blocks = df.withColumn("_blk", block_of(df, order, splits))
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.groupBy(*by).agg(F.max(time).alias("_max")).select(*by, F.max("_max").over(earlier).alias("_before"))
+    before = cut_lineage(before)
+
+    key_fields = [df.schema[k] for k in keys] + [T.StructField("_blk", T.IntegerType())]
+    stamps = T.ArrayType(T.LongType())
 
     def outcomes(pdf: pd.DataFrame) -> pd.DataFrame:
-        start, final = _transitions(np.sort(pdf[time].to_numpy()), gap)
+        t = pdf.sort_values(order)[time].to_numpy()
+        top = pdf["_before"].iloc[0]
+        start, final = _transitions(t[_maxima(t)], gap, None if pd.isna(top) else int(top))
         return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in by}, "start": [start], "final": [final]})
 
-    entry_schema = T.StructType(
-        [*key_fields, T.StructField("_blk", T.IntegerType()), T.StructField("_entry", T.LongType())]
-    )
-
     def entries(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_blk")
         last, seen = None, []
@@ -66,43 +65,58 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
                 last = int(final[at])
         return pdf[by].assign(_entry=pd.array(seen, dtype="Int64"))
 
-    steps = blocks.select(*by, time).groupBy(*by).applyInPandas(outcomes, step_schema)
-    entry = steps.groupBy(*keys).applyInPandas(entries, entry_schema)
+    steps = blocks.select(*by, *order, time).join(before, by).groupBy(*by).applyInPandas(
+        outcomes, T.StructType([*key_fields, T.StructField("start", stamps), T.StructField("final", stamps)])
+    )
+    entry = steps.groupBy(*keys).applyInPandas(
+        entries, T.StructType([*key_fields, T.StructField("_entry", T.LongType())])
+    )
 
     def select(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time)
+        pdf = pdf.sort_values(order)
         last = pdf["_entry"].iloc[0]
         keep = _kept(pdf[time].to_numpy(), gap, None if pd.isna(last) else int(last))
-        return pdf.loc[keep, out_schema.names]
+        return pdf.iloc[keep][columns]
+
+    return blocks.join(entry, by).groupBy(*by).applyInPandas(select, df.schema)
+
 
-    return blocks.join(entry, by).groupBy(*by).applyInPandas(select, out_schema)
+def _maxima(t: np.ndarray) -> np.ndarray:
+    """Positions of values above all earlier ones."""
+    top = np.maximum.accumulate(t)
+    return np.flatnonzero(np.append(True, top[1:] > top[:-1]))
 
 
 def _kept(t: np.ndarray, gap: int, last: int | None) -> np.ndarray:
-    """Mask of kept rows of a strictly increasing series."""
-    mask = np.zeros(len(t), dtype=bool)
-    following = np.searchsorted(t, t + gap).tolist()
-    at = 0 if last is None else int(np.searchsorted(t, last + gap))
-    while at < len(t):
-        mask[at] = True
+    """Positions of kept rows of a series in log order."""
+    rows = _maxima(t)
+    r = t[rows]
+    following = np.searchsorted(r, r + gap).tolist()
+    at = 0 if last is None else int(np.searchsorted(r, last + gap))
+    kept = []
+    while at < len(r):
+        kept.append(at)
         at = following[at]
-    return mask
+    return rows[kept]
 
 
-def _transitions(t: np.ndarray, gap: int) -> tuple[list[int], list[int]]:
-    """Last stamp kept per possible starting stamp: those within ``gap`` of the first row, and the next.
+def _transitions(t: np.ndarray, gap: int, before: int | None) -> tuple[list[int], list[int]]:
+    """Last stamp kept per possible starting stamp of an increasing series.
 
-    Neighbouring starts with one outcome are merged into the largest of them.
+    Starts are the stamps above ``before`` up to the first one ``gap`` above it; without
+    ``before`` only the first stamp is one.  Neighbouring starts with one outcome are merged
+    into the largest of them.
     """
     n = len(t)
-    near = min(n, int(np.searchsorted(t, t[0] + gap)) + 1)
     following = np.searchsorted(t, t + gap)
     final = np.where(following < n, following, np.arange(n))
     # Follow all chains at once, doubling the stride until every row points at its last kept one.
     while not np.array_equal(further := final[final], final):
         final = further
-    start, end = t[:near], t[final[:near]]
-    ends = np.append(end[1:] != end[:-1], True)
+    first = 0 if before is None else int(np.searchsorted(t, before, side="right"))
+    stop = 1 if before is None else min(n, int(np.searchsorted(t, before + gap)) + 1)
+    start, end = t[first:stop], t[final[first:stop]]
+    ends = np.append(end[1:] != end[:-1], True)[: len(end)]
     return start[ends].tolist(), end[ends].tolist()
 
 

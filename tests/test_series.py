@@ -39,8 +39,10 @@ def test_transitions_merge_equal_outcomes():
     import numpy as np
 
     t = np.array([0, 1, 2, 20, 21, 40])
-    start, final = series._transitions(t, 10)
-    assert (start, final) == ([20], [40])
+    assert series._transitions(t, 10, None) == ([0], [40])
+    assert series._transitions(t, 10, -1) == ([20], [40])
+    assert series._transitions(np.array([0, 5, 10, 16]), 10, -1) == ([0, 5, 10], [10, 16, 10])
+    assert series._transitions(t, 10, 50) == ([], [])
 
 
 def test_strictly_increasing(spark, small_blocks):
