@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import (
-    camera_matrix,
     matrix_position,
     matrix_quaternion,
     matrix_to_affine,
@@ -361,7 +360,3 @@ def same_records(a: DataFrame, b: DataFrame, type_name: str) -> Column | DataFra
     joined = left.join(right, key, "full_outer")
     return joined.filter(~F.coalesce(ok, F.lit(False)))
 
-
-def intrinsics_from(values: Column) -> Column:
-    """Camera matrix of an array ``fx, fy, cx, cy``."""
-    return camera_matrix(*[F.get(values, F.lit(i)) for i in range(4)])

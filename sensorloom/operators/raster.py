@@ -29,8 +29,8 @@ def rank_bounds(pixels: DataFrame, frame: list[str], value: str) -> DataFrame:
     return order_statistics(pixels, frame, value, {"lower": rank(0.01), "upper": lambda n: rank(0.99)(n) - 1})
 
 
-# Normalisation modes and the brightness below which the second one stretches.
-MINMAX, ADAPTIVE, RANKED = "minmax", "firestereo", "firestereo_v2"
+# Normalisation modes; fixed value: the brightness below which the adaptive one stretches whole images.
+MINMAX, ADAPTIVE, RANKED = "minmax", "adaptive", "ranked"
 ADAPTIVE_LIMIT = 35000
 
 

@@ -72,14 +72,14 @@ def test_first_parent_wins(spark):
 
 
 def test_key_list_operations(spark):
-    df = spark.createDataFrame([(["vis_0", "vis_1", "vis_2", "height", "vis_3"], ["dino", "dino", "ros", "geo", "dino"])], "l array<string>, m array<string>")
+    df = spark.createDataFrame([(["vis_0", "vis_1", "vis_2", "height", "vis_3"], ["emb", "emb", "raw", "geo", "emb"])], "l array<string>, m array<string>")
     keys = k.key_list(F.col("l"), F.col("m"))
     row = df.select(
-        k.condense(keys).alias("text"), k.index(keys, "height").alias("i"), k.index_pair(keys, "vis_2", "ros").alias("p"),
-        k.index_metainfo(keys, F.lit("dino")).alias("d"), k.length(k.part(keys, 1, 3)).alias("n"),
+        k.condense(keys).alias("text"), k.index(keys, "height").alias("i"), k.index_pair(keys, "vis_2", "raw").alias("p"),
+        k.index_metainfo(keys, F.lit("emb")).alias("d"), k.length(k.part(keys, 1, 3)).alias("n"),
         k.condense(k.part(keys, 0, 0)).alias("empty"), k.prefix(F.lit("a_b_12")).alias("pre"), k.prefix(F.lit("ab_x")).alias("raw"),
     ).first()
-    assert row.text == "vis (dino) x2, vis (ros) x1, height (geo) x1, vis (dino) x1"
+    assert row.text == "vis (emb) x2, vis (raw) x1, height (geo) x1, vis (emb) x1"
     assert (row.i, row.p, row.d, row.n, row.empty, row.pre, row.raw) == (3, 2, [0, 1, 4], 2, "", "a_b", "ab_x")
 
 

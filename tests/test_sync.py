@@ -88,6 +88,13 @@ def test_nearest_cutoff_is_inclusive(spark):
     assert got == {0: 1, 100: 2}
 
 
+def test_backward_series_match(spark):
+    left = spark.createDataFrame([("k", 5), ("k", 10), ("k", 17)], "k string, t bigint")
+    right = spark.createDataFrame([("k", 1, 10, 1.0), ("k", 2, 10, 2.0), ("k", 3, 15, 3.0)], "k string, seq bigint, t bigint, v double")
+    got = {r.t: (r.match and r.match.v, r.err) for r in asof.match_backward(left, right, ["k"], payload=["v"]).collect()}
+    assert got == {5: (None, None), 10: (1.0, 0), 17: (3.0, 2)}
+
+
 def test_payload_of_equal_stamps_is_the_last_logged(spark):
     log = spark.createDataFrame([("a", 1, 100, 1.0), ("a", 2, 100, 2.0), ("a", 3, 200, 3.0)], LOG)
     m = asof.match_grid(log, asof.grid_bounds(log, [], "t", 50), ["a"], 50)
