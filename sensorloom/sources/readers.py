@@ -40,9 +40,10 @@ def runs(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
 
 
 def frame_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """Frame files as ``idx, content``; the index is the 8-digit part of the path."""
+    """Frame files as ``idx, content``; the index is the zero-padded number in the path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-    digits = F.regexp_extract("path", r"(\d{8})[^0-9]", 1)
+    # The last path part that is a number as a whole; run folders may hold digits, too.
+    digits = F.regexp_extract("path", r"^.*[/=](\d{8,})[/.]", 1)
     return files.select("path", digits.alias("_d"), "content").filter(F.col("_d") != "").select(
         "path", F.col("_d").cast("bigint").alias("idx"), "content"
     )

@@ -51,6 +51,8 @@ def test_rotated_grid_is_rejected(spark):
 
 
 def test_point_files(spark, tmp_path):
+    tmp_path = tmp_path / "run-12345678-9" / "a00000001b"
+    tmp_path.mkdir(parents=True)
     pts = np.random.default_rng(1).normal(size=(7, 4)).astype("<f4")
     pts.tofile(tmp_path / "00000003.bin")
     np.save(tmp_path / "00000004.npy", pts[:2, :3])
