@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash, token_file, toxicity
+from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash, token_file, toxicity, weighted
 from sensorloom.llm.common import stored
 from sensorloom.llm.registry import query, table
 from sensorloom.session import new_path
@@ -72,3 +72,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs.filter("not held_out").join(labels, "doc_id"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, with their likeness and that of the next document."""
+    return weighted.fingerprint_with_edits(table(spark, sf_dir, "documents"))
