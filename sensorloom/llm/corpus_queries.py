@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash, token_file, toxicity, weighted
+from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash, surrogates, token_file, toxicity, weighted
 from sensorloom.llm.common import stored
 from sensorloom.llm.registry import query, table
 from sensorloom.session import new_path
 
+# A secret in production; fixed here so that reruns agree.
+SURROGATE_KEY = b"registered query"
+
 
 @query()
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,3 +81,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, with their likeness and that of the next document."""
     return weighted.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of all documents with surrogates for personal data."""
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=SURROGATE_KEY)
