@@ -18,8 +18,11 @@ from sensorloom.llm.common import located, stored
 from sensorloom.session import new_path
 
 BLANKS = r"[\x20\x09-\x0D]"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Settings of the state: on disk, without space allocated ahead for stores that hold little.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -50,12 +53,14 @@ def keyed_state(stream: DataFrame) -> DataFrame:
 
 @contextmanager
 def _on_disk(spark: SparkSession):
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_stream(spark: SparkSession, log: str, schema, checkpoint: str, **options: str) -> DataFrame:
