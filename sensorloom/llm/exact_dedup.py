@@ -92,14 +92,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     else:
         state = stored(run_stream(spark, path[0].rsplit("/", 1)[0], log.schema, new_path(spark, "state")), "state")
     # Full bytes of the hits: a digest's smallest and largest text are one text, or the digest fails.
-    hit = state.filter("n > 1").select("digest")
-    texts = place.select(F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"), normalised(F.col(text_col)).alias("text"), "_file", "_row")
-    spans = texts.join(hit, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    # Hits are found on narrow rows, and their texts by place, so that no digest gathers texts.
+    texts = place.select(normalised(F.col(text_col)).alias("text"), "_file", "_row")
+    hits = log.join(state.filter("n > 1").select("digest"), "digest", "left_semi").select("digest", "_file", "_row")
+    spans = texts.join(hits, ["_file", "_row"]).groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
     false = stored(spans.filter("low <> high").select("digest"), "false-hits")
     groups = log.join(state, "digest")
     if not false.isEmpty():
-        split = texts.join(false, "digest", "left_semi").select("text", "_file", "_row")
-        apart = log.join(split, ["_file", "_row"])
+        apart = texts.join(log.join(false, "digest", "left_semi"), ["_file", "_row"])
         kept = apart.groupBy("digest", "text").agg(F.min(_rank()).alias("keep"), F.count(F.lit(1)).alias("n"))
         groups = groups.join(false, "digest", "left_anti").unionByName(apart.join(kept, ["digest", "text"]).drop("text"))
     return groups.select(
