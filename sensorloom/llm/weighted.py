@@ -21,6 +21,8 @@ from sensorloom.operators.ordered import block_of
 
 SAMPLES = 64
 LANE = 8
+# A document's terms take several times the space of its text; tasks are that much smaller.
+TASKS = 4
 
 
 def _uniform(term: Column, sample: Column, number: int) -> Column:
@@ -84,7 +86,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     document of all.  So neighbours always share a block.  Rows with one id are ordered by text.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = 4 * partitions(docs.sparkSession)
+    tasks = TASKS * partitions(docs.sparkSession)
+    n = 4 * tasks
     quantiles = F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), F.lit(10 * n))
     low, nulls, points = rows.select("doc_id").agg(F.min("doc_id"), F.count_if(F.col("doc_id").isNull()), quantiles).first()
     splits = sorted(set(points or []) - ({low} if not nulls else set()))
@@ -100,7 +103,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         ),
         lambda s: s.isNotNull(),
     )
-    dealt = rows.withColumn("seat", F.explode(seats)).select("seat.block", "seat.guest", "doc_id", "text").repartition(partitions(docs.sparkSession), "block")
+    dealt = rows.withColumn("seat", F.explode(seats)).select("seat.block", "seat.guest", "doc_id", "text").repartition(tasks, "block")
     along = Window.partitionBy("block").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
     return dealt.select("block", F.row_number().over(along).cast("long").alias("no"), "guest", "doc_id", "text", F.lead("text").over(along).alias("next_text"))
 
