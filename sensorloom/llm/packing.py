@@ -201,7 +201,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
 def checksums(placed: DataFrame, pieces: DataFrame) -> DataFrame:
     """Fill in the checksums of cut remainders from their ids; others are stored with the pieces."""
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    cut = placed.filter("ids_crc32 is null").drop("ids_crc32").join(pieces.select("part", "row", "ids"), ["part", "row"])
+    # Stored first, as their size tells whether the ids need to be shuffled for them.
+    cut = stored(placed.filter("ids_crc32 is null").drop("ids_crc32"), "pack-cut").join(pieces.select("part", "row", "ids"), ["part", "row"])
     cut = cut.withColumn("ids_crc32", F.crc32(F.substring(F.col("ids"), F.col("cut") * 4 + 1, F.col("length") * 4)))
     return placed.filter("ids_crc32 is not null").select(*out).unionByName(cut.select(*out))
 

@@ -3,9 +3,10 @@
 A document's logit is a bias plus the weights of the features it has: its words, and the first
 four to six letters of its words, which tell compounds and inflected forms.  Weights are learnt
 by proximal gradient steps under an L1 penalty, so words without bearing keep weight 0 and long
-texts gather no noise.  For every labelled text that names a group of people, a twin is made in
-which the identity term is swapped for another of the same kind; the squared difference between
-both logits is penalised, so a neutral mention of a group can't carry weight of its own.
+texts gather no noise.  Every labelled text that names a group of people gets two twins: in one
+the identity term is swapped for another of the same kind, in the other for none.  The squared
+differences between their logits are penalised: groups are scored alike, and a neutral mention
+of any of them can't carry weight of its own.
 """
 
 from __future__ import annotations
@@ -76,10 +77,10 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def twin(words: set[str]) -> set[str] | None:
-    """The words with every identity term swapped; none if there is no such term."""
+def twins_of(words: set[str]) -> list[set[str]]:
+    """Counterfactuals: the words with all identity terms swapped, and without them; none if there are none."""
     named = words & SWAPS.keys()
-    return (words - named) | {SWAPS[w] for w in named} if named else None
+    return [(words - named) | {SWAPS[w] for w in named}, words - named] if named else []
 
 
 @dataclass
@@ -157,20 +158,17 @@ def sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            sets = [words_of(t) for t in frame["text"]]
-            twins = [twin(s) for s in sets]
-            yield pd.DataFrame({"words": [sorted(s) for s in sets], "twin": [None if t is None else sorted(t) for t in twins], "label": frame["label"]})
-
-    got = chosen.mapInPandas(found, "words array<string>, twin array<string>, label int").collect()
-    got = sorted(got, key=lambda r: (r["label"], r["words"]))
-    texts = [features(set(r["words"])) for r in got]
-    twins = [(i, features(set(r["twin"]))) for i, r in enumerate(got) if r["twin"] is not None]
+            yield pd.DataFrame({"words": [sorted(words_of(t)) for t in frame["text"]], "label": frame["label"]})
+
+    got = sorted((r["label"], r["words"]) for r in chosen.mapInPandas(found, "words array<string>, label int").collect())
+    texts = [features(set(words)) for _, words in got]
+    twins = [(i, features(t)) for i, (_, words) in enumerate(got) for t in twins_of(set(words))]
     often: dict[str, int] = {}
     for t in texts:
         for f in t:
             often[f] = often.get(f, 0) + 1
     kept = {f for f, n in often.items() if n >= LEAST_DOCUMENTS}
-    return [t & kept for t in texts], [(i, t & kept) for i, t in twins], np.array([r["label"] for r in got], float)
+    return [t & kept for t in texts], [(i, t & kept) for i, t in twins], np.array([label for label, _ in got], float)
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
