@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 
 
@@ -7,7 +9,7 @@ def documents(spark, tmp_path):
 
     def make(rows, files=3):
         schema = "doc_id long, text string, lang string, source string, copies int, fp string"
-        path = str(tmp_path / "docs.parquet")
+        path = str(tmp_path / f"docs-{uuid.uuid4().hex}.parquet")
         full = [(r + (None,) * 4)[:4] + (7, "x") for r in rows]
         spark.createDataFrame(full, schema).repartition(files).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
