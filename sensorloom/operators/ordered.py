@@ -40,7 +40,8 @@ def split_points(df: DataFrame, order: list[str]) -> list:
     """Boundaries that cut ``df`` into blocks of about equal size along ``order``.
 
     Call it on a plain scan where possible: counting and sampling then read the ``order``
-    columns only, and nothing upstream is computed twice.  Only the boundaries come from a sample; at most ``MAX_BLOCKS`` of them reach the driver,
+    columns only, and nothing upstream is computed twice.  About ``SAMPLES_PER_BLOCK`` sampled
+    rows of the ``order`` columns per block reach the driver, for at most ``MAX_BLOCKS`` blocks,
     whatever the size of ``df``.  An empty list means that one block is enough.
     """
     per_block = rows_per_block(df.sparkSession)
@@ -58,7 +59,12 @@ def split_points(df: DataFrame, order: list[str]) -> list:
 def _literal(value, data_type: T.DataType) -> str:
     if isinstance(data_type, T.StringType):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"CAST('{value!r}' AS {data_type.simpleString()})"
+    if isinstance(data_type, T.TimestampType):
+        # Rows reach Python as local wall-clock time; this is its inverse in any session time zone.
+        return f"timestamp_micros({(int(value.replace(microsecond=0).timestamp())) * 1_000_000 + value.microsecond})"
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return f"CAST('{value!r}' AS {data_type.simpleString()})"
+    return f"CAST('{value}' AS {data_type.simpleString()})"
 
 
 def block_of(df: DataFrame, order: list[str], splits: list) -> Column:
@@ -158,16 +164,19 @@ def running(
         )
         return out.drop(*names)
 
+    # Keys are compared as one struct, in which null equals null, so that windows and join share a partitioning.
+    by_key = ["_key"] if keys else []
     base = base.withColumn("_blk", block_of(df, order, splits) if block is None else block)
-    summary = base.groupBy(*keys, "_blk").agg(
+    base = base.withColumn("_key", F.struct(*keys)) if keys else base
+    summary = base.groupBy(*by_key, "_blk").agg(
         *[_reduced(s, F.col(tmp), order).alias(tmp) for tmp, (_, s) in names.items()]
     )
     over_blocks = {
-        False: Window.partitionBy(*keys).orderBy("_blk"),
-        True: Window.partitionBy(*keys).orderBy(F.col("_blk").desc()),
+        False: Window.partitionBy(*by_key).orderBy("_blk"),
+        True: Window.partitionBy(*by_key).orderBy(F.col("_blk").desc()),
     }
     carry = summary.select(
-        *keys,
+        *by_key,
         "_blk",
         *[_carried(s, F.col(tmp), over_blocks[s.reverse]).alias(f"_c{tmp}") for tmp, (_, s) in names.items()],
     )
@@ -175,9 +184,9 @@ def running(
         # Of a plain scan nothing is shared with the detail rows, so the few carries are stored
         # first; a derived input is better read by one query that reuses its exchanges.
         carry = cut_lineage(carry)
-    w = windows([*keys, "_blk"])
+    w = windows([*by_key, "_blk"])
     local = base.withColumns({f"_l{tmp}": _local(s, F.col(tmp), w[s.reverse]) for tmp, (_, s) in names.items()})
-    joined = local.join(carry, [*keys, "_blk"], "left")
+    joined = local.join(carry, [*by_key, "_blk"], "left")
     out = joined.withColumns(
         {
             o: unwrap(s, _combined(s, F.col(f"_l{tmp}"), F.col(f"_c{tmp}")))
@@ -185,7 +194,7 @@ def running(
         }
     )
     extra = [c for tmp in names for c in (tmp, f"_l{tmp}", f"_c{tmp}")]
-    return out.drop("_blk", *extra)
+    return out.drop("_blk", "_key", *extra)
 
 
 def index_rows(
@@ -220,7 +229,7 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) ->
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     total = counts.groupBy(*keys).agg(F.sum("_c").alias("n"))
     ranked = running(counts, keys, [value], {"_upto": Scan("sum", "_c")}, splits=splits)
-    ranked = join_hot(ranked, total, keys, [value])
+    ranked = join_hot(ranked, total, keys, [value], null_safe=True)
     return ranked.groupBy(*keys).agg(
         F.max("n").alias("n"),
         *[

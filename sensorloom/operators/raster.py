@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.ordered import order_statistics
-from sensorloom.operators.skew import join_hot
+from sensorloom.operators.skew import join_hot, join_null_safe
 
 
 def extrema(pixels: DataFrame, frame: list[str], value: str) -> DataFrame:
@@ -30,18 +30,20 @@ def rank_bounds(pixels: DataFrame, frame: list[str], value: str) -> DataFrame:
 
 
 # Normalisation modes; fixed value: the brightness below which the adaptive one stretches whole images.
-MINMAX, ADAPTIVE, RANKED = "minmax", "adaptive", "ranked"
+MINMAX, ADAPTIVE, RANKED, PLAIN = "minmax", "adaptive", "ranked", "plain"
 ADAPTIVE_LIMIT = 35000
 
 
 def normalise(pixels: DataFrame, frame: list[str], value: str, spread: list[str], mode: str) -> DataFrame:
-    """8-bit level per pixel in column ``level``."""
-    if mode not in (MINMAX, ADAPTIVE, RANKED):
+    """8-bit level per pixel in column ``level``; ``plain`` divides by 255, an unknown mode is an error."""
+    if mode not in (MINMAX, ADAPTIVE, RANKED, PLAIN):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == PLAIN:
         return pixels.withColumn("level", (F.col(value) / 255).cast("int"))
     limits = extrema(pixels, frame, value)
     if mode != MINMAX:
-        limits = limits.join(rank_bounds(pixels, frame, value), frame)
-    full = join_hot(pixels, limits, frame, spread, "inner")
+        limits = join_null_safe(limits, rank_bounds(pixels, frame, value), frame)
+    full = join_hot(pixels, limits, frame, spread, "inner", null_safe=True)
     plain = stretch(F.col(value), F.col("lo"), F.col("hi"))
     if mode == MINMAX:
         return full.withColumn("level", plain).drop("lo", "hi")

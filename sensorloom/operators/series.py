@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.geometry import norm
 from sensorloom.operators.ordered import Scan, block_of, running, split_points
-from sensorloom.operators.skew import join_skewed
+from sensorloom.operators.skew import join_null_safe, join_skewed
 from sensorloom.session import cut_lineage
 
 
@@ -65,7 +65,7 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
                 last = int(final[at])
         return pdf[by].assign(_entry=pd.array(seen, dtype="Int64"))
 
-    steps = blocks.select(*by, *order, time).join(before, by).groupBy(*by).applyInPandas(
+    steps = join_null_safe(blocks.select(*by, *order, time), before, by).groupBy(*by).applyInPandas(
         outcomes, T.StructType([*key_fields, T.StructField("start", stamps), T.StructField("final", stamps)])
     )
     entry = steps.groupBy(*keys).applyInPandas(
@@ -78,7 +78,7 @@ def thin(df: DataFrame, keys: list[str], gap: int, time: str = "t", seq: tuple[s
         keep = _kept(pdf[time].to_numpy(), gap, None if pd.isna(last) else int(last))
         return pdf.iloc[keep][columns]
 
-    return blocks.join(entry, by).groupBy(*by).applyInPandas(select, df.schema)
+    return join_null_safe(blocks, entry, by).groupBy(*by).applyInPandas(select, df.schema)
 
 
 def _maxima(t: np.ndarray) -> np.ndarray:

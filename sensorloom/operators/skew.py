@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.session import salts
 
 
-def join_hot(big: DataFrame, per_key: DataFrame, on: list[str], spread: list[str], how: str = "left") -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join in which null keys match null keys; the columns are those of ``left``, then the others of ``right``."""
+    renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return left.join(renamed, same, how).drop(*[f"_on_{c}" for c in on])
+
+
+def join_hot(big: DataFrame, per_key: DataFrame, on: list[str], spread: list[str], how: str = "left", null_safe: bool = False) -> DataFrame:
     """Join ``big`` with ``per_key`` (few rows per ``on`` value) without one task per hot key.
 
     Rows of ``big`` are spread over salts by a hash of the ``spread`` columns and ``per_key``
@@ -16,11 +26,12 @@ def join_hot(big: DataFrame, per_key: DataFrame, on: list[str], spread: list[str
     still broadcast by Catalyst under its own size check.
     """
     n = salts(big.sparkSession)
+    join = join_null_safe if null_safe else DataFrame.join
     if n <= 1:
-        return big.join(per_key, on, how)
+        return join(big, per_key, on, how)
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
     right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
 HOT_ROWS = 10_000_000

@@ -13,7 +13,8 @@ from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
 
 INF = float("inf")
-MAX_DEPTH = 128
+# Parts of a sort key are joined by a character below all others, so that a frame comes right before its children.
+BELOW_ALL = "\x01"
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -33,11 +34,12 @@ def has_frame(queried: DataFrame, edges: DataFrame) -> DataFrame:
     return queried.join(known, "frame", "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def root_paths(edges: DataFrame) -> DataFrame:
     """``node, root, path, cyclic`` with ``path`` from below the root down to the node.
 
-    Paths are doubled per round, so the number of joins is the logarithm of the depth.  A
-    frame that is its own parent ends its branch.  Frames on or below a longer cycle have
+    Paths are doubled per round, so the number of joins is the logarithm of the depth, which
+    has no limit.  A frame that is its own parent ends its branch.  Depths have no gaps, so a
+    round that settles no frame leaves only those on or below a longer cycle; they have
     ``cyclic`` set, and null root and path.
     """
     inner = edges.select("parent").distinct().join(
@@ -53,8 +55,8 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         )
     )
     paths, n_open = _settle(paths)
-    reach = 1
-    while reach < max_depth and n_open:
+    before = None
+    while n_open and n_open != before:
         pending = paths.filter(~F.col("done"))
         upper = paths.select(
             F.col("node").alias("top"),
@@ -68,8 +70,8 @@ def root_paths(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             F.concat("_path", "path").alias("path"),
             F.col("_done").alias("done"),
         )
+        before = n_open
         paths, n_open = _settle(paths.filter("done").unionByName(pending))
-        reach *= 2
     return paths.select(
         "node",
         F.when(F.col("done"), F.col("top")).alias("root"),
@@ -207,7 +209,7 @@ def render(paths: DataFrame) -> DataFrame:
         F.col("root").alias("node"), F.col("root").alias("sort_key"), F.lit(0).alias("level")
     )
     rest = paths.select(
-        "node", F.concat_ws("/", "root", "path").alias("sort_key"), F.size("path").alias("level")
+        "node", F.concat_ws(BELOW_ALL, "root", "path").alias("sort_key"), F.size("path").alias("level")
     )
     return top.unionByName(rest).withColumn(
         "line", F.concat(F.expr("repeat('- ', level)"), F.col("node"))

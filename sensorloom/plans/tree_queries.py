@@ -51,7 +51,7 @@ def tree_lca(t):
 
 @query(
     f"""WITH {PATHS}
-SELECT array_to_string(list_concat(['map'], path), '/') AS sort_key, repeat('- ', len(path)) || node AS line FROM paths
+SELECT array_to_string(list_concat(['map'], path), chr(1)) AS sort_key, repeat('- ', len(path)) || node AS line FROM paths
 UNION ALL SELECT 'map', 'map'"""
 )
 def tree_render(t):

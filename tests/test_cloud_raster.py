@@ -59,7 +59,7 @@ def test_rank_bounds(spark, small_blocks, n):
     assert (r.lower, r.upper) == (srt[round(n * 0.01)], srt[round(n * 0.99) - 1])
 
 
-@pytest.mark.parametrize("mode,top", [(raster.MINMAX, 50000), (raster.ADAPTIVE, 50000), (raster.ADAPTIVE, 100), (raster.RANKED, 100), ("other", 100)])
+@pytest.mark.parametrize("mode,top", [(raster.MINMAX, 50000), (raster.ADAPTIVE, 50000), (raster.ADAPTIVE, 100), (raster.RANKED, 100), (raster.PLAIN, 100)])
 def test_normalise_matches_numpy(spark, small_blocks, mode, top):
     img = np.random.default_rng(1).integers(0, top, 300).astype(float)
     df = spark.createDataFrame([("f", i, float(v)) for i, v in enumerate(img)], "f string, i int, x double")
@@ -70,6 +70,8 @@ def test_normalise_matches_numpy(spark, small_blocks, mode, top):
     ranked = (np.clip(img, lo, hi) - lo) / (hi - lo) * 255
     want = {raster.MINMAX: plain, raster.RANKED: ranked, raster.ADAPTIVE: plain if img.max() < 35000 else ranked}.get(mode, img / 255)
     assert got == want.astype(np.uint8).tolist()
+    with pytest.raises(ValueError):
+        raster.normalise(df, ["f"], "x", ["i"], "other")
 
 
 def test_constant_image_has_no_level(spark):

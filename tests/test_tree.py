@@ -34,7 +34,7 @@ def test_long_chain(spark):
 
 def test_cycles_and_self_loops(spark):
     e = spark.createDataFrame([("p", "q"), ("q", "r"), ("r", "p"), ("t", "p"), ("z", "z"), ("w", "z")], "child string, parent string")
-    got = {r.node: (r.root, r.path, r.cyclic) for r in tree.root_paths(e, 16).collect()}
+    got = {r.node: (r.root, r.path, r.cyclic) for r in tree.root_paths(e).collect()}
     assert all(got[n] == (None, None, True) for n in "pqrt")
     assert got["z"] == ("z", ["z"], False) and got["w"] == ("z", ["z", "w"], False)
 
