@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import stored
+
 SAMPLE_PER_LABEL = 3000
 SAMPLE_CHARS = 20_000
 LEAST_DOCUMENTS = 4
@@ -107,33 +109,42 @@ class Classifier:
         return logit
 
 
-def train(texts: list[set[str]], twins: list[tuple[int, set[str]]], labels: np.ndarray, penalty: float = PENALTY, steps: int = 400, l1: float = 2e-4) -> Classifier:
-    """Fit on feature sets; ``twins`` has, for rows that name a group, the features of their counterfactual.
+def train(texts: list[set[str]], twins: list[tuple[int, set[str]]], labels: np.ndarray, **options) -> Classifier:
+    """Fit on feature sets; ``twins`` has, for rows that name a group, the features of a counterfactual."""
+    names = sorted(set().union(*texts, *[t for _, t in twins]))
+    place = {f: i for i, f in enumerate(names)}
+    number = lambda t: np.array(sorted(place[f] for f in t), np.int64)
+    return descend(names, [number(t) for t in texts], [(i, number(t)) for i, t in twins], labels, **options)
+
+
+def descend(
+    names: list[str], rows: list[np.ndarray], twins: list[tuple[int, np.ndarray]], labels: np.ndarray, penalty: float = PENALTY, steps: int = 400, l1: float = 2e-4
+) -> Classifier:
+    """Fit on rows of feature numbers by proximal steps of adapted length, both labels weighing alike.
 
     With one label only, the classifier gives every text that label's rate, smoothed.
     """
-    names = sorted(set().union(*texts, *[t for _, t in twins]))
-    place = {f: i for i, f in enumerate(names)}
-    n, d = len(texts), len(names)
+    n, d = len(rows), len(names)
     rate = (labels.sum() + 1) / (n + 2)
     bias, w = float(np.log(rate / (1 - rate))), np.zeros(d)
     if n == 0 or labels.min() == labels.max():
         return Classifier(bias, {})
-    rows = [np.array(sorted(place[f] for f in t), np.int64) for t in texts]
-    sizes = np.array([len(r) for r in rows])
-    owner, flat = np.repeat(np.arange(n), sizes), np.concatenate(rows)
-    # A twin's rows: features that its swap takes away (+1) and brings (-1).
-    pairs = [(k, place[f], s) for k, (i, other) in enumerate(twins) for s, some in ((1.0, texts[i] - other), (-1.0, other - texts[i])) for f in some]
-    pk, pf, ps = (np.array(c) for c in zip(*pairs)) if pairs else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    owner, flat = np.repeat(np.arange(n), [len(r) for r in rows]), np.concatenate(rows)
+    # What a twin lacks (+1) and has more (-1).
+    apart = [(k, sign, some) for k, (i, other) in enumerate(twins) for sign, some in ((1.0, np.setdiff1d(rows[i], other)), (-1.0, np.setdiff1d(other, rows[i])))]
+    sizes = [len(some) for _, _, some in apart]
+    pair = np.repeat(np.array([k for k, _, _ in apart], np.int64), sizes)
+    sign = np.repeat(np.array([x for _, x, _ in apart]), sizes)
+    place = np.concatenate([np.zeros(0, np.int64), *[some for _, _, some in apart]])
     weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (n - labels.sum()))
-    v, seen, lift = w.copy(), np.zeros(d), 0.0
+    seen, lift = np.zeros(d), 0.0
     for _ in range(steps):
         logits = bias + np.bincount(owner, w[flat], n)
         error = weight * (1 / (1 + np.exp(-logits)) - labels)
         g = np.bincount(flat, error[owner], d)
-        if len(pk):
-            change = np.bincount(pk, ps * w[pf], len(twins))
-            g += 2 * penalty / len(twins) * np.bincount(pf, ps * change[pk], d)
+        if len(pair):
+            change = np.bincount(pair, sign * w[place], len(twins))
+            g += 2 * penalty / len(twins) * np.bincount(place, sign * change[pair], d)
         seen += g * g
         pace = 0.3 / (np.sqrt(seen) + 1e-4)
         v = w - pace * g
@@ -143,37 +154,49 @@ def train(texts: list[set[str]], twins: list[tuple[int, set[str]]], labels: np.n
     return Classifier(float(bias), {names[i]: float(w[i]) for i in np.flatnonzero(w)})
 
 
-def sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int = SAMPLE_PER_LABEL) -> tuple[list[set[str]], list[tuple[int, set[str]]], np.ndarray]:
-    """Features of about ``per_label`` texts of each label, chosen by a hash of the id.
+def sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int = SAMPLE_PER_LABEL) -> tuple:
+    """Arguments of ``descend``: about ``per_label`` texts of each label, chosen by a hash of the id.
 
     Only texts of at most ``SAMPLE_CHARS`` characters are learnt from, and only features that at
-    least ``LEAST_DOCUMENTS`` of the chosen texts have.
+    least ``LEAST_DOCUMENTS`` of the chosen texts have; only their numbers reach the driver.
     """
     rows = labelled.filter(F.col(label_col).isin(0, 1) & (F.length(F.coalesce(F.col(text_col), F.lit(""))) <= SAMPLE_CHARS))
     counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = [min(1.0, per_label / max(1, counts.get(k, 0))) for k in (0, 1)]
     chosen = rows.filter(draw < F.when(F.col(label_col) == 1, share[1]).otherwise(share[0]))
-    chosen = chosen.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
-
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            yield pd.DataFrame({"words": [sorted(words_of(t)) for t in frame["text"]], "label": frame["label"]})
-
-    got = sorted((r["label"], r["words"]) for r in chosen.mapInPandas(found, "words array<string>, label int").collect())
-    texts = [features(set(words)) for _, words in got]
-    twins = [(i, features(t)) for i, (_, words) in enumerate(got) for t in twins_of(set(words))]
-    often: dict[str, int] = {}
-    for t in texts:
-        for f in t:
-            often[f] = often.get(f, 0) + 1
-    kept = {f for f, n in often.items() if n >= LEAST_DOCUMENTS}
-    return [t & kept for t in texts], [(i, t & kept) for i, t in twins], np.array([label for label, _ in got], float)
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    chosen = stored(chosen.select(key.alias("key"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")), "toxic-sample")
+
+    def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row per text and per twin (version above 0), with hashed features."""
+        for frame in frames:
+            for at in range(0, len(frame), 256):
+                out: list[tuple] = []
+                for row in frame.iloc[at : at + 256].itertuples():
+                    words = words_of(row.text)
+                    out += [(row.key, i, row.label, sorted(features(v))) for i, v in enumerate((words, *twins_of(words)))]
+                yield pd.DataFrame(out, columns=["key", "version", "label", "features"])
+
+    every = stored(chosen.mapInPandas(found, "key long, version int, label int, features array<string>"), "toxic-features")
+    often = every.filter("version = 0").select(F.explode("features").alias("name")).groupBy("name").count().filter(F.col("count") >= LEAST_DOCUMENTS)
+    often = stored(often.select("name", F.xxhash64("name").alias("number")), "toxic-names")
+    named = often.toArrow().sort_by([("number", "ascending")])
+    numbers, names = named["number"].to_numpy(), named["name"].to_pylist()
+    flat = every.select("key", "version", "label", F.explode("features").alias("name")).join(often, "name")
+    lists = flat.groupBy("key", "version").agg(F.collect_set("number").alias("numbers"))
+    got = every.select("key", "version", "label").distinct().join(lists, ["key", "version"], "left").toArrow().sort_by([("version", "ascending"), ("key", "ascending")])
+    found_rows = [np.searchsorted(numbers, np.sort(np.array([] if r is None else r.values.to_numpy(), np.int64))) for r in (x if x.is_valid else None for x in got["numbers"])]
+    keys, versions = got["key"].to_pylist(), got["version"].to_pylist()
+    texts = [r for r, v in zip(found_rows, versions) if v == 0]
+    place = {k: i for i, k in enumerate(keys[: len(texts)])}
+    twins = [(place[k], r) for k, v, r in zip(keys, versions, found_rows) if v]
+    return names, texts, twins, np.array(got["label"].to_pylist()[: len(texts)], float)
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
     """Learn from a bounded sample of the rows with label 0 or 1; other labels, and null, are not learnt from."""
-    return train(*sample(labelled, id_col, text_col, label_col))
+    return descend(*sample(labelled, id_col, text_col, label_col))
 
 
 def score(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
