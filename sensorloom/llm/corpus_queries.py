@@ -72,7 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out())
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.filter("not held_out").join(labels, "doc_id"))
+    model = toxicity.fit(docs.filter("not held_out"), labels=labels)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -154,17 +154,24 @@ def descend(
     return Classifier(float(bias), {names[i]: float(w[i]) for i in np.flatnonzero(w)})
 
 
-def sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int = SAMPLE_PER_LABEL) -> tuple:
+def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int = SAMPLE_PER_LABEL, labels: DataFrame | None = None) -> tuple:
     """Arguments of ``descend``: about ``per_label`` texts of each label, chosen by a hash of the id.
 
     Only texts of at most ``SAMPLE_CHARS`` characters are learnt from, and only features that at
     least ``LEAST_DOCUMENTS`` of the chosen texts have; only their numbers reach the driver.
+    ``labels`` has ids and labels, if ``docs`` has no label; ids are drawn from it first, so that
+    only texts of drawn ids are moved.
     """
-    rows = labelled.filter(F.col(label_col).isin(0, 1) & (F.length(F.coalesce(F.col(text_col), F.lit(""))) <= SAMPLE_CHARS))
-    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
+    rows = docs.filter(F.length(F.coalesce(F.col(text_col), F.lit(""))) <= SAMPLE_CHARS)
+    marks = (rows if labels is None else labels).filter(F.col(label_col).isin(0, 1))
+    known = marks if labels is None else marks.join(rows.select(id_col), id_col)
+    counts = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = [min(1.0, per_label / max(1, counts.get(k, 0))) for k in (0, 1)]
-    chosen = rows.filter(draw < F.when(F.col(label_col) == 1, share[1]).otherwise(share[0]))
+    chosen = marks.filter(draw < F.when(F.col(label_col) == 1, share[1]).otherwise(share[0]))
+    if labels is not None:
+        drawn = stored(chosen.select(id_col, label_col).join(rows.select(id_col), id_col, "left_semi"), "toxic-drawn")
+        chosen = rows.select(id_col, text_col).join(drawn, id_col)
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
     chosen = stored(chosen.select(key.alias("key"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")), "toxic-sample")
 
@@ -194,9 +201,12 @@ def sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_
     return names, texts, twins, np.array(got["label"].to_pylist()[: len(texts)], float)
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
-    """Learn from a bounded sample of the rows with label 0 or 1; other labels, and null, are not learnt from."""
-    return descend(*sample(labelled, id_col, text_col, label_col))
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", labels: DataFrame | None = None) -> Classifier:
+    """Learn from a bounded sample of the rows with label 0 or 1; other labels, and null, are not learnt from.
+
+    Labels are a column of ``docs``, or a table ``labels`` with the ids of documents.
+    """
+    return descend(*sample(docs, id_col, text_col, label_col, labels=labels))
 
 
 def score(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:

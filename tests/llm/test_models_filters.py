@@ -72,6 +72,7 @@ def test_toxicity(documents):
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert all((got[i] >= 0.5) == (i % 3 == 0) for i in range(300)) and got[None] > 0.5
     assert all(0 <= got[i] < 0.5 for i in (900, 901, 902))
+    assert toxicity.fit(docs.filter(~toxicity.held_out()), labels=labels) == model
     nothing = toxicity.fit(docs.join(labels, "doc_id").filter("toxic = 0"))
     assert all(r.score < 0.5 for r in toxicity.score(docs, nothing).collect())
 
