@@ -50,6 +50,7 @@ class TypeSpec:
     random: tuple[str, ...] = ()
     elements: int = 1
     expressions: dict = field(default_factory=dict)
+    child: bool = False
 
     @property
     def column_names(self) -> list[str]:
@@ -134,6 +135,7 @@ _COLOUR_FLAT = (
     "cast(px[1] / 255D as float) as g",
     "cast(px[2] / 255D as float) as r",
 )
+_CHILD = "concat('child_', cast(idx as string)) as child_frame_id"
 _PIXEL = "cast(e div 16 as int) as v, cast(e % 16 as int) as u"
 
 
@@ -206,20 +208,21 @@ TYPES = [
              random=("cast(e as int) as pt", *[f"cast(rand({{seed}}+{i}) as float) as {c}" for i, c in enumerate("xyz")],
                      "if(rand({seed}+3) < 0.5, transform(sequence(0,4), i -> cast(i * rand({seed}+4) as float)), null) as features",
                      "transform(sequence(0,4), i -> named_struct('label', concat('feat_', i), 'metainfo', 'rand')) as keys")),
-    TypeSpec("Transform", INTERP, "m array<double>", f"struct<translation:{XYZ},rotation:{QUAT}>",
-             expressions={"m": ("payload.translation", "payload.rotation")}, nest="transform",
-             random=("array(1D,0D,0D,rand({seed}),0D,1D,0D,rand({seed}+1),0D,0D,1D,rand({seed}+2)) as m",)),
-    TypeSpec("OdomTransform", INTERP, "m array<double>", ODOM,
-             expressions={"m": ("payload.pose.position", "payload.pose.orientation")}, nest="odom_transform",
-             random=("array(1D,0D,0D,rand({seed}),0D,1D,0D,rand({seed}+1),0D,0D,1D,rand({seed}+2)) as m",)),
+    TypeSpec("Transform", INTERP, "m array<double>, child_frame_id string", f"struct<translation:{XYZ},rotation:{QUAT}>",
+             expressions={"m": ("payload.translation", "payload.rotation")}, nest="transform", child=True,
+             random=("array(1D,0D,0D,rand({seed}),0D,1D,0D,rand({seed}+1),0D,0D,1D,rand({seed}+2)) as m", _CHILD)),
+    TypeSpec("OdomTransform", INTERP, "m array<double>, child_frame_id string", ODOM,
+             expressions={"m": ("payload.pose.position", "payload.pose.orientation")}, nest="odom_transform", child=True,
+             random=("array(1D,0D,0D,rand({seed}),0D,1D,0D,rand({seed}+1),0D,0D,1D,rand({seed}+2)) as m", _CHILD)),
     TypeSpec("OdomRBState", INTERP,
-             _POSE_COLUMNS + ", vx double, vy double, vz double, wx double, wy double, wz double", ODOM,
+             _POSE_COLUMNS + ", vx double, vy double, vz double, wx double, wy double, wz double, child_frame_id string", ODOM,
+             child=True,
              flat=(*_xyz("payload.pose.position"), *_quat("payload.pose.orientation"),
                    *_xyz("payload.twist.linear", "vx vy vz"), *_xyz("payload.twist.angular", "wx wy wz")),
              nest=f"named_struct('pose',{_NEST_POSE},'twist',named_struct('linear',{_nest_xyz('vx vy vz')},'angular',{_nest_xyz('wx wy wz')}))",
              vectors=("x", "y", "z", "vx", "vy", "vz", "wx", "wy", "wz"), quaternion=("qx", "qy", "qz", "qw"),
              random=(*_uniform("x", "y", "z"), *_unit_quaternion(),
-                     *[f"rand({{seed}}+{30 + i}) as {c}" for i, c in enumerate(("vx", "vy", "vz", "wx", "wy", "wz"))])),
+                     *[f"rand({{seed}}+{30 + i}) as {c}" for i, c in enumerate(("vx", "vy", "vz", "wx", "wy", "wz"))], _CHILD)),
     TypeSpec("GoalArray", SYNC, "goals array<struct<x:double,y:double,z:double>>", f"struct<poses:array<{POSE}>>",
              flat=("transform(payload.poses, p -> p.position) as goals",),
              nest=f"named_struct('poses', transform(goals, g -> named_struct('position', g, 'orientation', {_IDENTITY_QUAT})))",
@@ -286,14 +289,20 @@ def flatten(messages: DataFrame, type_name: str, keep: list[str], use_p: bool =
         raise ValueError(f"{type_name} has no message form")
     if spec.explode == "grid":
         return _flatten_grid(messages, spec, keep, list(layers))
+    own = _child(spec, keep)
     if spec.expressions:
         position, orientation = spec.expressions["m"]
         m = pose_matrix(*[F.col(f"{position}.{a}") for a in "xyz"], *[F.col(f"{orientation}.{a}") for a in "xyzw"])
-        return messages.select(*keep, matrix_to_affine(m).alias("m"))
+        return messages.select(*keep, matrix_to_affine(m).alias("m"), *own)
     if type_name == "Intrinsics" and not use_p:
         return messages.select(*keep, F.col("payload.k").alias("k"))
     rows = messages.selectExpr("*", spec.explode) if spec.explode else messages
-    return rows.selectExpr(*keep, *spec.flat)
+    return rows.selectExpr(*keep, *spec.flat, *own)
+
+
+def _child(spec: TypeSpec, keep: list[str]) -> list[str]:
+    """The child frame of types that have one, unless it is carried along anyway."""
+    return ["child_frame_id"] if spec.child and "child_frame_id" not in keep else []
 
 
 def _flatten_grid(messages: DataFrame, spec: TypeSpec, keep: list[str], layers: list[str]) -> DataFrame:
@@ -309,10 +318,11 @@ def _flatten_grid(messages: DataFrame, spec: TypeSpec, keep: list[str], layers:
 
 
 def nest(flat: DataFrame, type_name: str, keep: list[str]) -> DataFrame:
-    """Message payloads from flat records of one row per datum."""
+    """Message payloads, and the child frame of types that have one, from flat records of one row per datum."""
     spec = REGISTRY[type_name]
     if spec.nest is None:
         raise ValueError(f"{type_name} is stored in several rows per message")
+    keep = [*keep, *_child(spec, keep)]
     if not spec.expressions:
         return flat.select(*keep, F.expr(spec.nest).alias("payload"))
     position = F.struct(*[c.alias(a) for c, a in zip(matrix_position(F.col("m")), "xyz")])

@@ -93,7 +93,11 @@ def mask_region(t):
     return cloud.mask_region(cloud.depth_map(_seen(t), ["label"]), mask, ["u", "v"], ["label"])
 
 
-@query()
+@query(
+    f"""WITH {SEEN}, d AS (SELECT label, u, v, CAST(CAST(min(z) AS FLOAT) AS DOUBLE) AS x FROM seen GROUP BY label, u, v),
+e AS (SELECT *, greatest(-14, floor(log2(x))) AS e FROM d)
+SELECT label, u, v, CAST(CASE WHEN x >= 65520 THEN 31744 ELSE (e + 14) * 1024 + round_even(x / pow(2.0::DOUBLE, e - 10), 0) END AS INTEGER) AS bits FROM e"""
+)
 def depth_f16(t):
     """Depth maps as half-precision bits."""
     depth = cloud.depth_map(_seen(t), ["label"])

@@ -30,9 +30,13 @@ def _twist(i: int) -> str:
 ODOM = f"named_struct('pose', {_pose(0)}, 'twist', {_twist(7)})"
 
 
+# Frames of the messages, in SQL of both engines.
+FRAME, CHILD = "'frame_' || label", "'body_' || vec_id"
+
+
 def _messages(t, payload: str, n: int = 64) -> DataFrame:
     """Vectors packed into message payloads."""
-    return t.vectors(n).select("vec_id", "label", F.expr(payload).alias("payload"))
+    return t.vectors(n).select("vec_id", "label", F.expr(FRAME).alias("frame_id"), F.expr(CHILD).alias("child_frame_id"), F.expr(payload).alias("payload"))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -46,35 +50,35 @@ def _columns(names: str, start: int = 0) -> str:
 V = f"WITH {vectors_sql(64)} "
 
 
-@query(V + f"SELECT vec_id, {_columns('x y z qx qy qz qw vx vy vz wx wy wz')} FROM v")
+@query(V + f"SELECT vec_id, {FRAME} AS frame_id, {CHILD} AS child_frame_id, {_columns('x y z qx qy qz qw vx vy vz wx wy wz')} FROM v")
 def flatten_odom(t):
     """Odometry to 13 state values."""
-    return model.flatten(_messages(t, ODOM), "OdomRBState", ["vec_id"])
+    return model.flatten(_messages(t, ODOM), "OdomRBState", ["vec_id", "frame_id"])
 
 
 NORM2 = "(e3 * e3 + e4 * e4 + e5 * e5 + e6 * e6)"
 TF_SQL = V + f"""SELECT vec_id, round(1 - 2 * (e4 * e4 + e5 * e5) / {NORM2}, 6) + 0.0 AS m00, round(2 * (e3 * e4 - e5 * e6) / {NORM2}, 6) + 0.0 AS m01,
-round(2 * (e4 * e5 + e3 * e6) / {NORM2}, 6) + 0.0 AS m21, round(e0, 6) + 0.0 AS x, round(e2, 6) + 0.0 AS z, 12 AS n FROM v"""
+round(2 * (e4 * e5 + e3 * e6) / {NORM2}, 6) + 0.0 AS m21, round(e0, 6) + 0.0 AS x, round(e2, 6) + 0.0 AS z, 12 AS n, {FRAME} AS frame_id, {CHILD} AS child_frame_id FROM v"""
 
 
 def _affine(df: DataFrame) -> DataFrame:
     cells = {"m00": 0, "m01": 1, "m21": 9, "x": 3, "z": 11}
     return df.select(
-        "vec_id", *[(F.round(F.get("m", F.lit(i)), 6) + 0.0).alias(n) for n, i in cells.items()], F.size("m").alias("n")
+        "vec_id", *[(F.round(F.get("m", F.lit(i)), 6) + 0.0).alias(n) for n, i in cells.items()], F.size("m").alias("n"), "frame_id", "child_frame_id"
     )
 
 
 @query(TF_SQL)
 def flatten_odom_tf(t):
     """Odometry to a transform matrix."""
-    return _affine(model.flatten(_messages(t, ODOM), "OdomTransform", ["vec_id"]))
+    return _affine(model.flatten(_messages(t, ODOM), "OdomTransform", ["vec_id", "frame_id"]))
 
 
 @query(TF_SQL)
 def flatten_tf(t):
     """Translation and rotation to a transform matrix."""
     payload = f"named_struct('translation', {_xyz(0)}, 'rotation', {_quat(3)})"
-    return _affine(model.flatten(_messages(t, payload), "Transform", ["vec_id"]))
+    return _affine(model.flatten(_messages(t, payload), "Transform", ["vec_id", "frame_id"]))
 
 
 @query(V + "SELECT vec_id, e0 AS vx, e5 AS wz FROM v")
@@ -162,10 +166,10 @@ CAMERA = (
 def flatten_intrinsics(t):
     """3×3 camera matrix, from the projection or from the raw matrix."""
     m = _messages(t, CAMERA)
-    p = model.flatten(m, "Intrinsics", ["vec_id"])
-    k = model.flatten(m, "Intrinsics", ["vec_id"], use_p=False).select("vec_id", F.col("k").alias("raw"))
+    raw = model.flatten(m, "Intrinsics", ["vec_id", "payload"], use_p=False).withColumnRenamed("k", "raw")
+    both = model.flatten(raw, "Intrinsics", ["vec_id", "raw"])
     cells = {"k00": 0, "k02": 2, "k10": 3, "k22": 8}
-    return p.join(k, "vec_id").select(
+    return both.select(
         "vec_id", *[F.get("k", F.lit(i)).alias(n) for n, i in cells.items()],
         F.get("raw", F.lit(0)).alias("raw00"), F.get("raw", F.lit(8)).alias("raw22"),
     )
@@ -283,38 +287,27 @@ def grid_origin(t):
 
 
 @query(
-    V + """SELECT vec_id, e0 AS odom_x, e6 AS odom_qw, e12 AS odom_wz, e0 AS goal_x, 1.0::DOUBLE AS goal_qw, e13 AS path_qw, e5 AS command_wz, 0.0::DOUBLE AS command_vy,
+    V + f"""SELECT vec_id, {CHILD} AS child_frame_id, e0 AS odom_x, e6 AS odom_qw, e12 AS odom_wz, e0 AS goal_x, 1.0::DOUBLE AS goal_qw, e13 AS path_qw, e5 AS command_wz, 0.0::DOUBLE AS command_vy,
 e8 AS imu_ay, 36 AS n_covariance, e20 AS p00, 0.0::DOUBLE AS p03, e30 AS p22, label % 2 = 1 AS flag FROM v"""
 )
 def renest(t):
     """Flat records encoded as messages of eight types again."""
-    def back(payload, name):
-        flat = model.flatten(_messages(t, payload), name, ["vec_id"])
-        return model.nest(flat, name, ["vec_id"])
-
-    odom = back(ODOM, "OdomRBState").select(
-        "vec_id", F.col("payload.pose.position.x").alias("odom_x"), F.col("payload.pose.orientation.w").alias("odom_qw"),
-        F.col("payload.twist.angular.z").alias("odom_wz"),
-    )
-    goal = back(PATH, "GoalArray").select(
-        "vec_id", F.col("payload.poses")[0]["position"]["x"].alias("goal_x"), F.col("payload.poses")[2]["orientation"]["w"].alias("goal_qw")
-    )
-    path = back(PATH, "Path").select("vec_id", F.col("payload.poses")[1]["orientation"]["w"].alias("path_qw"))
-    command = back(_twist(0), "Command").select(
-        "vec_id", F.col("payload.angular.z").alias("command_wz"), F.col("payload.linear.y").alias("command_vy")
-    )
-    imu = back(IMU, "Imu").select("vec_id", F.col("payload.linear_acceleration.y").alias("imu_ay"))
-    pose = back(f"named_struct('pose', {_pose(0)}, 'covariance', array(e8, e9))", "PoseWithCovarianceStamped").select(
-        "vec_id", F.size("payload.covariance").alias("n_covariance")
-    )
-    camera = back(CAMERA, "Intrinsics").select(
-        "vec_id", *[F.col("payload.p")[i].alias(n) for n, i in {"p00": 0, "p03": 3, "p22": 10}.items()]
+    messages = {
+        "odom": (ODOM, "OdomRBState"), "goal": (PATH, "GoalArray"), "path": (PATH, "Path"), "command": (_twist(0), "Command"), "imu": (IMU, "Imu"),
+        "pose": (f"named_struct('pose', {_pose(0)}, 'covariance', array(e8, e9))", "PoseWithCovarianceStamped"),
+        "camera": (CAMERA, "Intrinsics"), "status": ("named_struct('data', label % 2 = 1)", "FFCStatus"),
+    }
+    rows = t.vectors(64).select("vec_id", F.expr(CHILD).alias("child_frame_id"), *[F.expr(payload).alias(f"_{n}") for n, (payload, _) in messages.items()])
+    for n, (_, name) in messages.items():
+        keep = [c for c in rows.columns if c != f"_{n}"]
+        flat = model.flatten(rows.withColumnRenamed(f"_{n}", "payload"), name, keep)
+        rows = model.nest(flat, name, keep).withColumnRenamed("payload", f"_{n}")
+    return rows.selectExpr(
+        "vec_id", "child_frame_id", "_odom.pose.position.x as odom_x", "_odom.pose.orientation.w as odom_qw", "_odom.twist.angular.z as odom_wz",
+        "_goal.poses[0].position.x as goal_x", "_goal.poses[2].orientation.w as goal_qw", "_path.poses[1].orientation.w as path_qw",
+        "_command.angular.z as command_wz", "_command.linear.y as command_vy", "_imu.linear_acceleration.y as imu_ay",
+        "size(_pose.covariance) as n_covariance", "_camera.p[0] as p00", "_camera.p[3] as p03", "_camera.p[10] as p22", "_status.data as flag",
     )
-    flag = back("named_struct('data', label % 2 = 1)", "FFCStatus").select("vec_id", F.col("payload.data").alias("flag"))
-    out = odom
-    for other in (goal, path, command, imu, pose, camera, flag):
-        out = out.join(other, "vec_id")
-    return out
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(1 AS INTEGER) AS n_args FROM events")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -70,10 +70,18 @@ def write_poses(rows: DataFrame, path: str) -> None:
     rows.write.csv(path, sep=" ", header=True)
 
 
-@pandas_udf(T.IntegerType())
-def float16_bits(depth: pd.Series) -> pd.Series:
-    """Bits of the value as half-precision float."""
-    return pd.Series(depth.to_numpy(dtype="float32").astype(np.float16).view(np.uint16).astype("int32"))
+def float16_bits(depth: Column) -> Column:
+    """Bits of the nearest half-precision float, ties to even; infinite beyond its range.
+
+    Negative zero counts as zero; null stays null.
+    """
+    size = F.abs(depth.cast("double"))
+    finite = F.when(size < 65520, size).otherwise(F.when(size.isNotNull(), 1.0))
+    # The exponent of normal numbers; smaller ones share that of the smallest.
+    exponent = F.greatest(F.lit(-14), F.coalesce(F.floor(F.log2(finite)), F.lit(-14)))
+    steps = F.rint(finite / F.pow(F.lit(2.0), exponent - 10))
+    bits = F.when(F.isnan(size), 32256).when(size >= 65520, 31744).otherwise((exponent + 14) * 1024 + steps)
+    return (bits + F.when(depth < 0, 32768).otherwise(0)).cast("int")
 
 
 @pandas_udf(T.BinaryType())

@@ -147,17 +147,17 @@ def approximate_sync_stream(
     columns = [c for i in range(n) for c in (f"t_{i}", f"seq_{i}")]
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queues = [dict() for _ in range(n)]
+        queues = [set() for _ in range(n)]
         if state.exists:
             for i, t, s in zip(*state.get):
-                queues[i][t] = s
+                queues[i].add((t, s))
         rows = pd.concat(list(batches)).sort_values("seq")
         sets = []
         for topic, t, seq in zip(rows["topic"], rows["t"], rows["seq"]):
             match = arrive(queues, topics.index(topic), int(t), int(seq), slop, queue_size)
             if match:
                 sets.append((k[0], *match))
-        left = [(i, t, s) for i, q in enumerate(queues) for t, s in sorted(q.items())]
+        left = [(i, t, s) for i, q in enumerate(queues) for t, s in sorted(q)]
         state.update(tuple([list(c) for c in zip(*left)] if left else [[], [], []]))
         yield pd.DataFrame(sets, columns=[key, *columns])
 
@@ -172,18 +172,17 @@ def approximate_sync_stream(
     )
 
 
-def arrive(queues: list[dict], topic: int, t: int, seq: int, slop: int, queue_size: int) -> list[int] | None:
-    """Queue one message and return the set it completes, if any."""
-    queues[topic][t] = seq
+def arrive(queues: list[set], topic: int, t: int, seq: int, slop: int, queue_size: int) -> list[int] | None:
+    """Queue one message, by stamp and arrival, and return the set it completes, if any."""
+    own = (t, seq)
+    queues[topic].add(own)
     while len(queues[topic]) > queue_size:
-        del queues[topic][min(queues[topic])]
-    if t not in queues[topic]:
+        queues[topic].remove(min(queues[topic]))
+    if own not in queues[topic] or not all(queues):
         return None
-    chosen = []
-    for i, q in enumerate(queues):
-        if not q:
-            return None
-        chosen.append(t if i == topic else min(q, key=lambda c: (abs(c - t), c)))
-    if max(chosen) - min(chosen) > slop:
+    chosen = [own if i == topic else min(q, key=lambda c: (abs(c[0] - t), c)) for i, q in enumerate(queues)]
+    if max(chosen)[0] - min(chosen)[0] > slop:
         return None
-    return [v for i, c in enumerate(chosen) for v in (c, queues[i].pop(c))]
+    for q, c in zip(queues, chosen):
+        q.remove(c)
+    return [v for c in chosen for v in c]

@@ -25,6 +25,8 @@ def test_round_trip_of_every_type(spark, tmp_path, name):
     assert readers.read_dataset(spark, out, idx=3).select("idx").distinct().count() == 1
     moved = b.withColumn("stamp", F.when(F.col("idx") == 2, F.col("stamp") + 1e-6).otherwise(F.col("stamp")))
     assert model.same_records(a, moved, name).select("idx").distinct().count() == 1
+    if model.REGISTRY[name].child:
+        assert model.same_records(a, b.withColumn("child_frame_id", F.lit(None).cast("string")), name).count() == N
 
 
 @pytest.mark.parametrize("name", [n for n, s in model.REGISTRY.items() if s.nest])
@@ -111,7 +113,8 @@ def test_lookup_modes(spark):
 
 
 def test_half_precision_bits(spark):
-    v = np.array([0.0, 1.5, 65504.0, 1e-4, 200.0], "float32")
+    edges = [2.0**k * (1 + d) for k in range(-26, 17) for d in (-(2.0**-23), 0, 2.0**-23, 2.0**-11, 3 * 2.0**-11)]
+    v = np.array([0.0, 1.5, 65504.0, 65519.99, 65520.0, 1e9, np.inf, -np.inf, -3.3, 1e-4, 200.0, 3e-8, 2.9e-8, *edges], "float32")
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(v)], "i int, x double")
     got = [r.b for r in df.select("i", writers.float16_bits(F.col("x").cast("float")).alias("b")).orderBy("i").collect()]
     assert got == v.astype(np.float16).view(np.uint16).tolist()

@@ -57,25 +57,37 @@ def test_approximate_sync_over_batches(spark, stream):
     keyed = stream.withColumn("run", F.lit(1).cast("bigint"))
     out = live.run_available(live.approximate_sync_stream(keyed, "run", topics, 6, queue_size=3), "sets", "append")
     got = {tuple(r) for r in spark.read.parquet(out).select("t_0", "seq_0", "t_1", "seq_1", "t_2", "seq_2").collect()}
-    queues, want = [{}, {}, {}], set()
+    # Lists in order of arrival; sorting by stamp keeps that order among equal stamps.
+    waiting, want = {x: [] for x in topics}, set()
     for topic, s, t, _ in rows():
-        found = live.arrive(queues, topics.index(topic), t, s, 6, 3)
-        if found:
-            want.add(tuple(found))
+        waiting[topic] = sorted(waiting[topic] + [(t, s)])[-3:]
+        if (t, s) in waiting[topic] and all(waiting.values()):
+            near = {x: sorted(waiting[x], key=lambda m: (abs(m[0] - t), m[0], m[1]))[0] for x in topics} | {topic: (t, s)}
+            stamps = [m[0] for m in near.values()]
+            if max(stamps) - min(stamps) <= 6:
+                want.add(tuple(v for x in topics for v in near[x]))
+                waiting = {x: [m for m in waiting[x] if m != near[x]] for x in topics}
     assert got == want and len(got) > 5
     assert all(max(g[0], g[2], g[4]) - min(g[0], g[2], g[4]) <= 6 for g in got)
     assert len({g[1] for g in got}) == len(got)
 
 
 def test_queue_keeps_the_newest_stamps():
-    queues = [{}, {}]
+    queues = [set(), set()]
     for seq, t in enumerate([1, 2, 3, 4]):
         live.arrive(queues, 0, t, seq, 0, 2)
-    assert queues[0] == {3: 2, 4: 3}
-    assert live.arrive(queues, 0, 1, 9, 5, 2) is None and 1 not in queues[0]
+    assert queues[0] == {(3, 2), (4, 3)}
+    assert live.arrive(queues, 0, 1, 9, 5, 2) is None and (1, 9) not in queues[0]
     assert live.arrive(queues, 1, 4, 7, 0, 2) == [4, 3, 4, 7]
 
 
+def test_equal_stamps_of_a_topic_are_kept():
+    queues = [set(), set()]
+    for seq in (0, 1):
+        live.arrive(queues, 0, 5, seq, 0, 2)
+    assert [live.arrive(queues, 1, 5, seq, 0, 2) for seq in (2, 3)] == [[5, 0, 5, 2], [5, 1, 5, 3]]
+
+
 def test_status_and_gate(spark):
     catalog = spark.createDataFrame([("a", 10), ("b", 10), ("c", 10)], "topic string, max_age bigint")
     latest = spark.createDataFrame([("a", 90), ("b", 89)], "topic string, t bigint")
