@@ -36,7 +36,8 @@ def test_query_in_small_blocks(spark, con, name):
 
 
 def test_entry(spark):
-    assert set(entry(spark).columns) == {"idx", "target", "frame"}
+    rows = entry(spark)
+    assert set(rows.columns) == {"topic", "idx", "target", "match", "err"} and not rows.isEmpty()
 
 
 def test_every_sql_belongs_to_a_query():
