@@ -103,7 +103,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         ),
         lambda s: s.isNotNull(),
     )
-    dealt = rows.withColumn("seat", F.explode(seats)).select("seat.block", "seat.guest", "doc_id", "text").repartition(tasks, "block")
+    # A block that can't be null keeps filters for it off the shuffle, which every reader of these rows then shares.
+    block = F.coalesce(F.col("seat.block"), F.lit(0)).alias("block")
+    dealt = rows.withColumn("seat", F.explode(seats)).select(block, F.coalesce("seat.guest", F.lit(False)).alias("guest"), "doc_id", "text").repartition(tasks, "block")
     along = Window.partitionBy("block").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
     return dealt.select("block", F.row_number().over(along).cast("long").alias("no"), "guest", "doc_id", "text", F.lead("text").over(along).alias("next_text"))
 
