@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.ordered import dense_index
-from sensorloom.operators.skew import join_hot
+from sensorloom.operators.skew import join_skewed
 
 
 def absent(wanted: DataFrame, present: DataFrame, on: str) -> DataFrame:
@@ -77,7 +77,7 @@ def lookup(
     df: DataFrame, info: DataFrame, key: str, value: str, default, spread: list[str], strict: bool = False
 ) -> DataFrame:
     """Value of ``key`` or the default; ``strict`` fails on a missing key instead."""
-    found = join_hot(df, info.select(key, value), [key], spread)
+    found = join_skewed(df, info.select(key, value), [key], spread)
     if strict:
         message = F.concat(F.lit("missing key "), F.col(key).cast("string"))
         return found.withColumn(value, F.coalesce(F.col(value), F.raise_error(message)))

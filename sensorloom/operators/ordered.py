@@ -198,21 +198,30 @@ def running(
 
 
 def index_rows(
-    df: DataFrame, keys: list[str], order: list[str], name: str = "idx", block: Column | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    name: str = "idx",
+    block: Column | None = None,
+    splits: list | None = None,
 ) -> DataFrame:
     """Contiguous 0-based position of every row along ``order`` within its key."""
-    numbered = running(df, keys, order, {name: Scan("count", F.lit(1))}, block)
+    numbered = running(df, keys, order, {name: Scan("count", F.lit(1))}, block, splits)
     return numbered.withColumn(name, F.col(name) - 1)
 
 
 def dense_index(bounds: DataFrame, keys: list[str], lo: str, hi: str, name: str = "idx", chunk: int = 4096) -> DataFrame:
-    """One row per integer in ``[lo, hi]`` and key, generated in parallel chunks."""
+    """One row per integer in ``[lo, hi]`` and key, generated in parallel chunks.
+
+    Chunks are listed by group, so that no row holds the numbers of all chunks of a key.
+    """
     start, stop = F.col(lo).cast("bigint"), F.col(hi).cast("bigint")
-    chunks = (
-        bounds.filter(start <= stop)
-        .withColumn("_chunk", F.explode(F.sequence(F.floor(start / chunk), F.floor(stop / chunk))))
-        .repartition(*keys, "_chunk")
+    groups = bounds.filter(start <= stop).withColumn(
+        "_group", F.explode(F.sequence(F.floor(start / chunk**2), F.floor(stop / chunk**2)))
     )
+    low = F.greatest(F.floor(start / chunk), F.col("_group") * chunk)
+    high = F.least(F.floor(stop / chunk), F.col("_group") * chunk + (chunk - 1))
+    chunks = groups.withColumn("_chunk", F.explode(F.sequence(low, high))).drop("_group").repartition(*keys, "_chunk")
     first = F.greatest(start, F.col("_chunk") * chunk)
     final = F.least(stop, F.col("_chunk") * chunk + (chunk - 1))
     return chunks.withColumn(name, F.explode(F.sequence(first, final))).drop("_chunk")

@@ -127,9 +127,11 @@ def path_length(df: DataFrame, keys: list[str], order: list[str], position: list
     return stepped.groupBy(*keys).agg(F.coalesce(F.sum(step), F.lit(0.0)).alias(name))
 
 
-def until_total(df: DataFrame, keys: list[str], order: list[str], size: str, cap: int) -> DataFrame:
+def until_total(
+    df: DataFrame, keys: list[str], order: list[str], size: str, cap: int, splits: list | None = None
+) -> DataFrame:
     """Rows in order until their sizes reach ``cap``; the row that reaches it is kept."""
-    summed = running(df, keys, order, {"_before": Scan("sum", size, exclusive=True)})
+    summed = running(df, keys, order, {"_before": Scan("sum", size, exclusive=True)}, splits=splits)
     return summed.filter(F.coalesce(F.col("_before"), F.lit(0)) < cap).drop("_before")
 
 
@@ -139,9 +141,11 @@ def history(df: DataFrame, keys: list[str], order: list[str], velocity: list[str
     return counted.withColumn("speed", norm(*[F.col(c) for c in velocity]))
 
 
-def scatter_by_mask(points: DataFrame, features: DataFrame, keys: list[str], mask: str, pt: str, row: str) -> DataFrame:
+def scatter_by_mask(
+    points: DataFrame, features: DataFrame, keys: list[str], mask: str, pt: str, row: str, splits: list | None = None
+) -> DataFrame:
     """Give the k-th masked point the k-th feature row."""
-    ranked = running(points, keys, [pt], {"_k": Scan("sum", F.col(mask).cast("bigint"))})
+    ranked = running(points, keys, [pt], {"_k": Scan("sum", F.col(mask).cast("bigint"))}, splits=splits)
     slot = F.when(F.col(mask), F.col("_k") - 1)
     return ranked.withColumn(row, slot).drop("_k").join(features, [*keys, row], "left")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sensorloom.operators.asof import GRID_BLOCK, match_nearest, with_single
 from sensorloom.operators.ordered import index_rows, split_points
 from sensorloom.operators.skew import join_skewed
+from sensorloom.session import cut_lineage
 
 
 def choose_stamp(log_time: str, stamp: str, use_log_time: bool = False) -> Column:
@@ -67,9 +68,10 @@ def attach_payload(matches: DataFrame, messages: DataFrame, keys: list[str], pay
     """Give every matched step the payload of its stamp; of equal stamps the last logged wins.
 
     Winners are found on key columns alone.  Payloads are read last, and only those of
-    winning messages pass the join, so most of the log is never aggregated.
+    winning messages pass the join, so most of the log is never aggregated.  The matches are
+    stored first, since the wanted stamps, the count of hot ones and the result all need them.
     """
-    found = matches.filter(F.col("match").isNotNull())
+    found = cut_lineage(matches.filter(F.col("match").isNotNull()))
     stamps = messages.select(*keys, F.col("t").alias("match"), seq)
     wanted = stamps.join(found.select(*keys, "match").distinct(), [*keys, "match"], "left_semi")
     winners = wanted.groupBy(*keys, "match").agg(F.max(seq).alias("_win"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions import keys
 from sensorloom.functions.stamps import micros
 from sensorloom.operators import series
-from sensorloom.operators.ordered import index_rows
+from sensorloom.operators.ordered import index_rows, split_points
 from sensorloom.plans.registry import HOUR, LOG, query
 
 ROW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
@@ -91,7 +91,9 @@ def masked_scatter(t):
     marked = t.documents.select("doc_id").join(t.labels.select("doc_id", F.lit(True).alias("_m")), "doc_id", "left")
     points = marked.select("doc_id", F.coalesce("_m", F.lit(False)).alias("has"))
     features = index_rows(t.labels, [], ["doc_id"], "slot").select("slot", "quality", "toxic")
-    return series.scatter_by_mask(points, features, [], "has", "doc_id", "slot").select("doc_id", "slot", "quality", "toxic")
+    splits = split_points(t.documents.select("doc_id"), ["doc_id"])
+    out = series.scatter_by_mask(points, features, [], "has", "doc_id", "slot", splits)
+    return out.select("doc_id", "slot", "quality", "toxic")
 
 
 CAP = 30_000
@@ -105,7 +107,8 @@ SELECT l_orderkey, n FROM c WHERE before < {CAP}"""
 def cloud_cap(t):
     """Whole clouds in order until the total reaches the cap."""
     clouds = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    return series.until_total(clouds, [], ["l_orderkey"], "n", CAP)
+    splits = split_points(t.lineitem.select("l_orderkey"), ["l_orderkey"])
+    return series.until_total(clouds, [], ["l_orderkey"], "n", CAP, splits)
 
 
 @query(
@@ -126,8 +129,10 @@ SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY t) - 1 AS idx, t, v
 )
 def interp_series(t):
     """Raw increasing series per topic, kept whole for later interpolation."""
-    kept = series.strictly_increasing(t.log().select("topic", "seq", "t", "value"), ["topic"])
-    return index_rows(kept, ["topic"], ["t"]).select("topic", "idx", "t", "value")
+    log = t.log().select("topic", "seq", "t", "value")
+    kept = series.strictly_increasing(log, ["topic"])
+    splits = split_points(log.select("t"), ["t"])
+    return index_rows(kept, ["topic"], ["t"], splits=splits).select("topic", "idx", "t", "value")
 
 
 @query(
@@ -145,8 +150,7 @@ def positional_join(t):
 @query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders) WHERE idx < 100")
 def first_n(t):
     """The first hundred frames by index."""
-    ranked = index_rows(t.orders.select("o_orderkey", "o_totalprice"), [], ["o_orderkey"])
-    return ranked.filter(F.col("idx") < 100).select("o_orderkey", "o_totalprice")
+    return t.orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(100)
 
 
 @query(

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import stamps
 from sensorloom.operators import audit
-from sensorloom.plans.registry import LOG, query
+from sensorloom.operators.skew import join_hot
+from sensorloom.plans.export import export
+from sensorloom.plans.registry import HOUR, LOG, query
+from sensorloom.plans.sync_queries import BACK, backward
 from sensorloom.session import new_path, salts
 from sensorloom.sources import readers, writers
 
@@ -29,12 +32,95 @@ def dataset_roundtrip(t):
     return readers.messages(t.spark, _written(t)).select("run", "group", "name", "idx", "t", "value")
 
 
-@query("SELECT event_type AS run, true AS found FROM events GROUP BY event_type")
+@query("SELECT event_type AS run, 'site/run=' || event_type AS output, true AS found FROM events GROUP BY event_type")
 def discover_runs(t):
-    """Runs found below a root folder."""
+    """Runs found below a root folder, with the relative path of their output."""
     path = new_path(t.spark, "runs")
-    t.log().select(F.col("topic").alias("run"), "seq", "value").write.partitionBy("run").parquet(path)
-    return readers.runs(t.spark, path).select("run", (F.col("bytes") > 0).alias("found"))
+    t.log().select(F.col("topic").alias("run"), "seq", "value").write.partitionBy("run").parquet(f"{path}/site")
+    return readers.runs(t.spark, path).select("run", "output", (F.col("bytes") > 0).alias("found"))
+
+
+READ_FRAME = 100
+
+
+@query(
+    f"""SELECT l_returnflag AS run, 'lines' AS "group", l_linestatus AS name, l_orderkey AS idx, l_linenumber, l_extendedprice
+FROM lineitem WHERE l_orderkey = {READ_FRAME}"""
+)
+def read_frame(t):
+    """One frame of a written dataset; the index reaches the file scan."""
+    path = new_path(t.spark, "dataset")
+    records = t.lineitem.select(
+        F.col("l_returnflag").alias("run"), F.lit("lines").alias("group"), F.col("l_linestatus").alias("name"),
+        F.col("l_orderkey").alias("idx"), "l_linenumber", "l_extendedprice",
+    )
+    writers.write_dataset(records, path)
+    return readers.read_dataset(t.spark, path, READ_FRAME).select("run", "group", "name", "idx", "l_linenumber", "l_extendedprice")
+
+
+@query(f"WITH {LOG} SELECT topic AS child, 'map' AS parent, seq, t, value AS x FROM log")
+def tree_roundtrip(t):
+    """Frame tree and its stamped poses, written by edge and read back."""
+    path = new_path(t.spark, "tree")
+    log = t.log()
+    edges = log.select(F.col("topic").alias("child"), F.lit("map").alias("parent")).distinct()
+    writers.write_tree(edges, log.select(F.col("topic").alias("child"), "seq", "t", F.col("value").alias("x")), path)
+    edges, samples = readers.read_tree(t.spark, path)
+    return join_hot(samples, edges, ["child"], ["seq"], "inner").select("child", "parent", "seq", "t", "x")
+
+
+EXPORT_TOL = 12 * HOUR
+# The catalogue of the export: two types, and one topic that feeds two outputs.
+EXPORTED = [
+    {"group": "state", "name": "speed", "topic": "click", "type": "Float32"},
+    {"group": "state", "name": "speed_copy", "topic": "click", "type": "Float32"},
+    {"group": "control", "name": "drive", "topic": "purchase", "type": "Command"},
+]
+
+
+@query(
+    f"""WITH {BACK},
+k AS (SELECT idx, target FROM m WHERE topic IN ('click', 'purchase') GROUP BY idx, target HAVING bool_and(coalesce(err < {EXPORT_TOL}, false))),
+f AS (SELECT idx, row_number() OVER (ORDER BY target) - 1 AS frame FROM k),
+w AS (SELECT topic, t AS match, arg_max(value, seq) AS value, arg_max(CAST(json_extract_string(props, '$.k') AS DOUBLE), seq) AS wz FROM log GROUP BY topic, t),
+c AS (SELECT * FROM (VALUES ('state', 'speed', 'click'), ('state', 'speed_copy', 'click'), ('control', 'drive', 'purchase')) c("group", name, topic))
+SELECT "group", name, frame AS idx, match AS t, CASE WHEN topic = 'click' THEN value END AS data,
+  CASE WHEN topic = 'purchase' THEN value END AS vx, CASE WHEN topic = 'purchase' THEN wz END AS wz
+FROM m JOIN f USING (idx) JOIN w USING (topic, match) JOIN c USING (topic)"""
+)
+def export_dataset(t):
+    """Log exported by catalogue: synchronised, decoded by type, written and read back."""
+    path, log = new_path(t.spark, "export"), t.log()
+    k = F.get_json_object("props", "$.k").cast("double")
+    zero = F.lit(0.0)
+
+    def xyz(x, z):
+        return F.struct(x.alias("x"), zero.alias("y"), z.alias("z"))
+
+    payloads = {
+        "Float32": ("click", F.struct(F.col("value").alias("data"))),
+        "Command": ("purchase", F.struct(xyz(F.col("value"), zero).alias("linear"), xyz(zero, k).alias("angular"))),
+    }
+    messages = {
+        name: log.filter(F.col("topic") == topic).select("topic", "seq", "t", payload.alias("payload"))
+        for name, (topic, payload) in payloads.items()
+    }
+    export(messages, EXPORTED, HOUR, EXPORT_TOL, path, whole_log=log)
+    speed, drive = [readers.read_dataset(t.spark, f"{path}/{name}") for name in payloads]
+    both = speed.unionByName(drive, allowMissingColumns=True)
+    return both.select("group", "name", "idx", "t", "data", "vx", "wz")
+
+
+@query(
+    f"""WITH {BACK}
+SELECT topic, idx, coalesce(match / 1e6, -1) AS stamp, coalesce(err / 1e6, CAST('inf' AS DOUBLE)) AS err FROM m"""
+)
+def stamp_files(t):
+    """Matched stamps and errors per topic, written as text and read back by line number."""
+    path = new_path(t.spark, "stamps")
+    writers.write_stamps(backward(t).withColumnRenamed("idx", "frame"), path)
+    lines = readers.matrix(t.spark, path, 2, keys=("topic",))
+    return lines.select("topic", "idx", F.get("values", F.lit(0)).alias("stamp"), F.get("values", F.lit(1)).alias("err"))
 
 
 @query("SELECT CAST(s_nationkey AS BIGINT) AS idx, count(*) AS n_lines FROM supplier GROUP BY s_nationkey")

@@ -23,7 +23,8 @@ m AS (SELECT tg.topic, idx, target, log.t AS match, target - log.t AS err
       FROM tg ASOF LEFT JOIN log ON tg.topic = log.topic AND log.t <= tg.target)"""
 
 
-def _backward(t):
+def backward(t):
+    """Latest message per topic and hour, with its error; other query modules use it, too."""
     log = t.log()
     return asof.match_grid(log, asof.grid_bounds(log, [], "t", HOUR), TOPICS, HOUR)
 
@@ -41,9 +42,9 @@ def time_grid(t):
 
 
 @query(f"WITH {BACK} SELECT topic, idx, target, match, err FROM m")
-def sync_backward(t):
+def syncbackward(t):
     """Latest message of every topic at or before every hour."""
-    return _backward(t)
+    return backward(t)
 
 
 @query(
@@ -63,7 +64,7 @@ def sync_nearest(t):
 @query(f"WITH {BACK} SELECT topic, idx, target, match, err FROM m WHERE err < {TOL}")
 def sync_tolerance(t):
     """Matches strictly within the tolerance."""
-    return sync.within_tolerance(_backward(t), TOL)
+    return sync.within_tolerance(backward(t), TOL)
 
 
 @query(
@@ -72,7 +73,7 @@ SELECT idx, target, bool_and(coalesce(err < {TOL}, false)) AS valid FROM m GROUP
 )
 def valid_mask(t):
     """Steps at which every topic is in tolerance."""
-    return sync.valid_steps(_backward(t), TOL)
+    return sync.valid_steps(backward(t), TOL)
 
 
 @query(
@@ -94,7 +95,7 @@ FROM m, r GROUP BY topic"""
 )
 def sync_report(t):
     """Steps kept, and out of tolerance per topic."""
-    return sync.sync_report(_backward(t), TOL)
+    return sync.sync_report(backward(t), TOL)
 
 
 @query(
@@ -104,7 +105,7 @@ SELECT m.topic, idx, target, match, err, value, seq FROM m JOIN w USING (topic,
 )
 def attach_payload(t):
     """Matched steps with the payload of their stamp."""
-    return sync.attach_payload(_backward(t), t.log(), ["topic"], ["value", "seq"])
+    return sync.attach_payload(backward(t), t.log(), ["topic"], ["value", "seq"])
 
 
 PERIOD = 173 * SECOND
@@ -124,8 +125,10 @@ SELECT row_number() OVER (ORDER BY t) - 1 AS idx, t, match_seq, err FROM c WHERE
 def nearest_cutoff(t):
     """Frames with a message at most one minute away, numbered without gaps."""
     frames = t.orders.select((F.lit(BASE) + F.col("o_orderkey") * PERIOD).alias("t"))
-    found = asof.match_nearest(frames, t.log(), [], cutoff=60 * SECOND)
-    return index_rows(found.select("t", F.col("match.s").alias("match_seq"), "err"), [], ["t"])
+    log = t.log()
+    splits = split_points(frames.unionAll(log.select("t")), ["t"])
+    found = asof.match_nearest(frames, log, [], cutoff=60 * SECOND, splits=splits)
+    return index_rows(found.select("t", F.col("match.s").alias("match_seq"), "err"), [], ["t"], splits=splits)
 
 
 # The catalogue of the fan-out query: one topic feeds two outputs.
@@ -286,6 +289,25 @@ def interp_match_topic(t):
     return out.select("t", F.round("value", 6).alias("value"))
 
 
+@query(
+    f"""WITH {GRID}, views AS (SELECT * FROM log WHERE topic = 'view'),
+q0 AS (SELECT DISTINCT 'MATCH_TARGET' AS mode, target AS t FROM tg
+  UNION ALL SELECT DISTINCT 'MATCH_TOPIC', t FROM log WHERE topic = 'click' UNION ALL SELECT DISTINCT 'UNCHANGED', t FROM views),{_linear_sql('q0', '').replace("log", "views")}
+SELECT mode, t, round(raw, 6) AS value FROM i"""
+)
+def interp_modes(t):
+    """One topic at the stamps of the grid, of another topic and of its own."""
+    log = t.log()
+    clicks, views = log.filter(F.col("topic") == "click"), log.filter(F.col("topic") == "view")
+    grid = asof.time_grid(asof.grid_bounds(log, [], "t", HOUR), [], HOUR).select(F.col("target").alias("t"))
+    modes = [interp.MATCH_TARGET, interp.MATCH_TOPIC, interp.UNCHANGED]
+    asked = [interp.target_stamps(m, views, grid, clicks, []).withColumn("mode", F.lit(m)) for m in modes]
+    targets = asked[0].unionByName(asked[1]).unionByName(asked[2])
+    splits = split_points(log.select("t"), ["t"])
+    out = interp.interpolate(targets, views, [], ["value"], 2 * HOUR, splits=splits)
+    return targets.join(out, "t").select("mode", "t", F.round("value", 6).alias("value"))
+
+
 @query(
     f"""WITH {LOG} SELECT topic, run, max(seq) AS seq, arg_max(t, seq) AS t, arg_max(value, seq) AS value
 FROM log GROUP BY topic, run"""

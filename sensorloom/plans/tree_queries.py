@@ -284,6 +284,24 @@ def compose_path(t):
     return out.select("f1", "f2", *[(F.round(F.get("matrix", F.lit(i)), 6) + 0.0).alias(n) for n, i in cells.items()])
 
 
+@query(
+    f"""WITH {EDGES},
+p AS (SELECT r_name AS child, CAST(r_regionkey AS DOUBLE) * 0.1 AS a, CAST(r_regionkey AS DOUBLE) AS x, 1.0::DOUBLE AS y, 0.5::DOUBLE AS z FROM region
+  UNION ALL SELECT n_name, CAST(n_nationkey AS DOUBLE) * 0.01, CAST(n_nationkey AS DOUBLE), CAST(n_nationkey AS DOUBLE) * 0.5, 0.25::DOUBLE FROM nation
+  UNION ALL SELECT c_name, c_acctbal / 10000, c_acctbal / 100, c_acctbal / 200, c_acctbal / 1000 FROM customer),
+e AS (SELECT child, parent, x, y, z, 0.0::DOUBLE AS qx, 0.0::DOUBLE AS qy, sin(a / 2) AS qz, cos(a / 2) AS qw FROM edges JOIN p USING (child)
+  UNION ALL SELECT 'map_ned', 'map', 0, 0, 0, -0.5, -0.5, -0.5, 0.5)
+SELECT child, parent, true AS is_static, {", ".join(f"round({c}, 9) + 0.0 AS {c}" for c in ("x", "y", "z", "qx", "qy", "qz", "qw"))} FROM e"""
+)
+def camera_ned(t):
+    """The tree with a frame in north-east-down axes added to its root."""
+    posed = t.edges().withColumn("is_static", F.lit(True)).join(_posed_edges(t), "child")
+    out = tree.camera_ned_edge(posed, "map")
+    return out.select(
+        "child", "parent", "is_static", *[(F.round(c, 9) + 0.0).alias(c) for c in ("x", "y", "z", "qx", "qy", "qz", "qw")]
+    )
+
+
 def _sensor_transforms(t):
     """Transform of every sensor to the next one at each of its stamps."""
     log = t.log()

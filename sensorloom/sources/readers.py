@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,11 @@ def messages(spark: SparkSession, path: str, topics: list[str] | None = None) ->
 
 
 def runs(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Runs below a root, with their relative output path and file count."""
+    """Runs at any depth below a root, in the order of their relative output path.
+
+    A run is a folder with matching files; its name is that of the folder, without ``run=``.
+    """
+    base = re.sub(r"^\w+:(//[^/]*(?=/))?", "", root).rstrip("/")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -30,12 +35,13 @@ def runs(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    relative = F.regexp_extract("path", r"run=([^/]+)/", 1)
+    folder = F.regexp_extract("path", rf"\Q{base}\E/+(.+)/[^/]+$", 1)
     return (
-        files.select(relative.alias("run"), "length")
-        .filter(F.col("run") != "")
-        .groupBy("run")
+        files.select(folder.alias("output"), "length")
+        .filter(F.col("output") != "")
+        .groupBy(F.regexp_extract("output", r"(?:run=)?([^/]+)$", 1).alias("run"), "output")
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+        .orderBy("output")
     )
 
 
@@ -60,25 +66,29 @@ def read_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/edges"), spark.read.parquet(f"{path}/samples").drop("edge", "parent")
 
 
-def matrix(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """Whitespace-separated text matrix as ``idx, values``; row *i* of the files is index *i*.
+def matrix(spark: SparkSession, path: str, width: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Whitespace-separated text matrix as ``keys, idx, values``; row *i* of the files is index *i*.
 
-    Rows are numbered by their place in the files, block by block, so a large file is
-    never read as one value.
+    ``keys`` names folders that hold one matrix each.  Rows are numbered by their place in the
+    files, block by block, so a large file is never read as one value.
     """
+    keys = list(keys)
     lines = spark.read.text(path).select(
+        *keys,
         "value",
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_at"),
     )
     lines = lines.filter(F.trim("value") != "")
-    starts = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"))
-    before = running(starts, [], ["_file", "_start"], {"_before": Scan("sum", "_n", exclusive=True)})
+    place = [*keys, "_file", "_start"]
+    starts = lines.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    before = running(starts, keys, ["_file", "_start"], {"_before": Scan("sum", "_n", exclusive=True)})
     # A file block is bounded by the split size of the scan, so it fits one window.
-    inside = lines.withColumn("_k", F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_at")))
+    inside = lines.withColumn("_k", F.row_number().over(Window.partitionBy(*place).orderBy("_at")))
     numbers = F.transform(F.split(F.trim("value"), r"\s+"), lambda s: s.cast("double"))
-    return inside.join(before, ["_file", "_start"]).select(
+    return inside.join(before, place).select(
+        *keys,
         (F.coalesce("_before", F.lit(0)) + F.col("_k") - 1).cast("bigint").alias("idx"),
         F.when(F.size(numbers) == width, numbers)
         .otherwise(F.raise_error(F.lit(f"expected {width} numbers per line")).cast("array<double>"))

@@ -80,6 +80,31 @@ def test_matrix_over_several_blocks(spark, tmp_path):
         readers.matrix(spark, str(tmp_path), 2).collect()
 
 
+def test_matrices_by_folder(spark, tmp_path):
+    rows = np.arange(1200.0).reshape(600, 2)
+    for name, part in (("a", rows[:400]), ("b", rows[400:])):
+        (tmp_path / f"topic={name}").mkdir()
+        np.savetxt(tmp_path / f"topic={name}" / "part-0.txt", part)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = readers.matrix(spark, str(tmp_path), 2, keys=("topic",)).orderBy("topic", "idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.topic, r.idx) for r in got] == [("a", i) for i in range(400)] + [("b", i) for i in range(200)]
+    assert np.allclose([r["values"] for r in got], rows)
+
+
+def test_runs_at_any_depth(spark, tmp_path):
+    for folder in ("z", "site/run=b", "site/old/run=a (1)"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "x.parquet").write_bytes(b"123")
+    (tmp_path / "top.parquet").write_bytes(b"1")
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        got = readers.runs(spark, root).collect()
+        assert [r.output for r in got] == ["site/old/run=a (1)", "site/run=b", "z"]
+        assert [(r.run, r.n_files, r.bytes) for r in got] == [("a (1)", 1, 3), ("b", 1, 3), ("z", 1, 3)]
+
+
 def test_catalog(spark):
     rows = readers.catalog(spark, [{"name": "a", "topic": "/a", "type": "Imu"}], [{"group": "g", "name": "a", "topic": "/b", "type": "Path", "max_age": 1.0, "args": {"interpolation": "x", "n": 1}}])
     got = {(r.group, r.name): r for r in rows.collect()}

@@ -81,6 +81,12 @@ def test_dense_index_crosses_chunks(spark):
     assert {(r.k, r.n, r.a, r.z) for r in got.collect()} == {("a", 10_001, 0, 10_000), ("b", 3, 5, 7)}
 
 
+def test_dense_index_crosses_groups_of_chunks(spark):
+    b = spark.createDataFrame([("a", -5, 100), ("b", 17, 17)], "k string, lo bigint, hi bigint")
+    got = dense_index(b, ["k"], "lo", "hi", chunk=4).collect()
+    assert sorted((r.k, r.idx) for r in got) == [("a", i) for i in range(-5, 101)] + [("b", 17)]
+
+
 def test_order_statistics(spark, data, small_blocks):
     got = order_statistics(data, ["k"], "v", {"low": lambda n: F.lit(0), "mid": lambda n: F.floor(n / 2)})
     for r in got.collect():

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.operators import asof, interp, sync
-from sensorloom.plans.export import synchronise
+from sensorloom.plans.export import export, interpolate_type, synchronise
 
 LOG = "topic string, seq bigint, t bigint, value double"
 
@@ -155,3 +155,19 @@ def test_camera_topic(spark):
     topics = ["/cam/image_raw/compressed", "/cam/image/compressed", "/cam/compressed", "/cam"]
     df = spark.createDataFrame([(t,) for t in topics], "t string")
     assert {r[0] for r in df.select(sync.camera_info_topic(F.col("t"))).collect()} == {"/cam/camera_info"}
+
+
+def test_interpolation_by_type(spark):
+    rows = [(1, 0, 0.0, 0.0), (2, 10, 1.0, 2.0)]
+    series = spark.createDataFrame(rows, "seq bigint, t bigint, vx double, wz double")
+    at = spark.createDataFrame([(5,), (30,)], "t bigint")
+    got = {r.t: (r.vx, r.wz) for r in interpolate_type(at, series, "Command", [], 2).collect()}
+    assert got == {5: (0.5, 1.0), 30: (None, None)}
+    for name in ("Image", "Transform"):
+        with pytest.raises(ValueError):
+            interpolate_type(at, series, name, [], 2)
+
+
+def test_export_needs_messages_of_every_type(spark, tmp_path):
+    with pytest.raises(ValueError):
+        export({}, [{"name": "a", "topic": "a", "type": "Imu"}], 1, 1, str(tmp_path))
