@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash
-from sensorloom.llm.common import stored
+from sensorloom.llm import exact_dedup, jaccard, langid, mixing, packing, simhash
+from sensorloom.llm.common import located, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every component of near fingerprints."""
-    return simhash.near_dedup(docs)
+    """One document of every component of near fingerprints, then of those that stay one of every component of similar shingle sets."""
+    whole = located(docs)
+    first = stored(simhash.near_places(whole), "near-fingerprints")
+    kept = jaccard.near_places(whole, first)
+    return whole.join(kept, ["_file", "_row"], "left_semi").drop("_file", "_row")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -180,14 +180,19 @@ def near_groups(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     return prints.join(rooted.select("fp", "root").join(lows, "root").select("fp", "component_id"), "fp")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component, the one with the smallest id (null last), then place.
+def near_places(whole: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
+    """``_file, _row`` of the rows of a located frame that stay: of every component, the one with the smallest id (null last), then place.
 
     Documents without words have fingerprint 0 and are near-duplicates of each other.
     """
-    whole = located(docs)
     prints = stored(fingerprints(whole, id_col, text_col, shingle, ("_file", "_row")), "simhash-prints")
     groups = near_groups(prints, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "_file", "_row")).alias("keep")
-    kept = groups.groupBy("component_id").agg(first).select("keep._file", "keep._row")
+    return groups.groupBy("component_id").agg(first).select("keep._file", "keep._row")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stay by ``near_places``."""
+    whole = located(docs)
+    kept = near_places(whole, id_col, text_col, shingle, distance)
     return whole.join(kept, ["_file", "_row"], "left_semi").drop("_file", "_row")
