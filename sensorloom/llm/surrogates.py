@@ -1,7 +1,8 @@
 """Surrogates for personal data: keyed, consistent, of the same type, script and format.
 
 Entities are found by patterns and checks: mail addresses, phone numbers, IPv4 addresses, payment
-cards, bank accounts, keys and passwords, and names after a title, which tells their gender.
+cards, bank accounts, keys and passwords, and names after a title, which tells their gender, with
+all further mentions of these names in the same text.
 An entity's surrogate is drawn from a keyed hash of its type and canonical form, so it is the
 same wherever the entity occurs (coreference), also in another notation.  Surrogates are then
 checked over the whole corpus: none may equal an entity that occurs, and no two entities may
@@ -89,10 +90,30 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             start, words = m.start("name"), list(re.finditer(r"\S+", m.group("name")))
             gender = _GENDER[re.match(r"\w+", m.group()).group()]
             for i, w in enumerate(words):
-                given = i < len(words) - 1
-                out.append((start + w.start(), start + w.end(), f"given_{gender}" if given else "family", w.group().casefold()))
+                given, name = i < len(words) - 1, re.sub(r"['’]s$", "", w.group())
+                out.append((start + w.start(), start + w.start() + len(name), f"given_{gender}" if given else "family", name.casefold()))
         else:
             out.append((a, b, kind, m.group()))
+    return sorted(out + _bare(text, out)) if out else out
+
+
+def _bare(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Further mentions, without a title, of the names found in a text: the words written with a capital, outside other entities."""
+    names, forms = {}, set()
+    for a, b, kind, canonical in found:
+        if kind == "family" or kind.startswith("given_"):
+            names.setdefault(canonical, kind)
+            forms |= {canonical, text[a:b]}
+    if not names:
+        return []
+    taken, out, at = sorted((a, b) for a, b, *_ in found), [], 0
+    for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(forms, key=len, reverse=True)))})(?!\w)", text, re.IGNORECASE):
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        free = at == len(taken) or m.end() <= taken[at][0]
+        canonical = m.group().casefold()
+        if free and not m.group()[0].islower() and canonical in names:
+            out.append((*m.span(), names[canonical], canonical))
     return out
 
 

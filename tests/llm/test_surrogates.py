@@ -1,0 +1,21 @@
+"""Surrogates: bare mentions, the cheap test before the search, and checks of cards."""
+
+import re
+
+from sensorloom.llm import surrogates
+
+
+def texts_of(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_bare_mentions(documents):
+    text = "Anna came. Mrs Anna Schmidt said so; SCHMIDT's bag, Schmidt (and Anna), not Schmidtke, anna or x.Schmidt@a.org. Mr Weiß's car; Weiß, WEISS."
+    rows = [(1, text), (2, "Anna Schmidt has no title here")]
+    got = texts_of(surrogates.pseudonymise(documents(rows), b"k"))
+    assert got[2] == rows[1][1]
+    given, family = re.search(r"Mrs (\w+) (\w+) said", got[1]).groups()
+    other = re.search(r"Mr (\w+)'s car", got[1]).group(1)
+    assert len({given, family, other, "Anna", "Schmidt", "Weiß"}) == 6
+    assert got[1].startswith(f"{given} came. Mrs {given} {family} said so; {family.upper()}'s bag, {family} (and {given}), not Schmidtke, anna or ")
+    assert got[1].endswith(f" Mr {other}'s car; {other}, {other.upper()}.")
