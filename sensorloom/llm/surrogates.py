@@ -33,11 +33,12 @@ FIRST_ENDS = {"latin": {"f": "a", "m": "o", "n": "e"}, "cyrillic": {"f": "а", "
 
 _TITLE = "|".join(sorted({t for v in TITLES.values() for t in v.split()}, key=len, reverse=True))
 _GENDER = {t: g for g, v in TITLES.items() for t in v.split()}
+_SECRET = "token|secret|api_?key|password|passwd|pwd"
 _NAME = r"[^\W\d_a-zа-яα-ω]\w+(?:[-'’]\w+)?"
 PATTERNS = re.compile(
     rf"""(?P<mail>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
 |(?P<aws>\bAKIA[A-Z0-9]{{16}}\b)
-|(?P<secret>(?:\b(?:token|secret|api_?key|password|passwd|pwd))["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9_\-/+]{{8,}}))
+|(?P<secret>(?:\b(?ai:{_SECRET}))["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9_\-/+]{{8,}}))
 |(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
 |(?P<iban>\b[A-Z]{{2}}\d{{2}}(?:\s?[A-Z0-9]{{4}}){{2,7}}(?:\s?[A-Z0-9]{{1,4}})?\b)
 |(?P<card>(?<![\w.-])\d(?:[ -]?\d){{12,18}}(?![\w-]))
@@ -47,8 +48,9 @@ PATTERNS = re.compile(
 |(?P<person>\b(?:{_TITLE})\.?\s(?P<name>{_NAME}(?:\s{_NAME}){{0,2}}))""",
     re.VERBOSE,
 )
-# What a text with any entity has, for a cheap test in the scan.
-HINT = rf"[0-9@]|\b(?:{_TITLE})\b|\b(?:token|secret|api_?key|password|passwd|pwd)\b"
+# What a text with any entity has, for a cheap test in the scan, as a pattern of Java: every match
+# of PATTERNS has one.  Digits may be unknown to Java's older Unicode; borders are those of ASCII.
+HINT = rf"[\p{{Nd}}\p{{Cn}}@]|AKIA|(?<![a-zA-Z0-9_])(?:{_TITLE}|(?i:{_SECRET}))(?![a-zA-Z0-9_])"
 
 
 def luhn(digits: str) -> bool:
@@ -59,6 +61,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _digits(text: str) -> str:
+    """The digits of any script as those of ASCII."""
+    return "".join(str(int(c)) for c in text if c.isdecimal())
+
+
 def _iban_rest(code: str) -> int:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97
 
@@ -81,9 +88,9 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             if 15 <= len(code) <= 34 and _iban_rest(code) == 1:
                 out.append((a, b, "iban", code))
         elif kind == "card":
-            out.append((a, b, "card", re.sub(r"\D", "", m.group())))
+            out.append((a, b, "card", _digits(m.group())))
         elif kind in ("ssn", "phone", "phone2"):
-            digits = re.sub(r"\D", "", m.group())
+            digits = _digits(m.group())
             if 7 <= len(digits) <= 15:
                 out.append((a, b, "ssn" if kind == "ssn" else "phone", digits))
         elif kind == "person":
@@ -198,7 +205,7 @@ def render(surface: str, kind: str, found: str) -> str:
     """A surrogate in the notation of what it replaces."""
     if kind in ("card", "phone", "ssn"):
         digits = iter(found)
-        return "".join(next(digits) if c.isdigit() else c for c in surface)
+        return "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in surface)
     if kind == "iban":
         letters = iter(found)
         return "".join(c if c.isspace() else next(letters) for c in surface)
@@ -248,7 +255,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
     """``docs`` with surrogates in the text, and ``n_entities``, how many mentions were replaced.
 
     Texts without an entity stay as they are, null ones too; repeated rows are replaced alike.
-    Texts without a digit, an at sign, a title or the name of a secret skip the search.
+    Texts without a digit, an at sign, AKIA, a title or the name of a secret skip the search.
     """
     names = docs.columns
 
