@@ -35,6 +35,9 @@ _TITLE = "|".join(sorted({t for v in TITLES.values() for t in v.split()}, key=le
 _GENDER = {t: g for g, v in TITLES.items() for t in v.split()}
 _SECRET = "token|secret|api_?key|password|passwd|pwd"
 _NAME = r"[^\W\d_a-zа-яα-ω]\w+(?:[-'’]\w+)?"
+_NUMBER = r"""(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
+|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w]))
+|(?P<phone2>(?<![\w.])\+\d{8,15}(?!\w))"""
 PATTERNS = re.compile(
     rf"""(?P<mail>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
 |(?P<aws>\bAKIA[A-Z0-9]{{16}}\b)
@@ -42,12 +45,11 @@ PATTERNS = re.compile(
 |(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
 |(?P<iban>\b[A-Z]{{2}}\d{{2}}(?:\s?[A-Z0-9]{{4}}){{2,7}}(?:\s?[A-Z0-9]{{1,4}})?\b)
 |(?P<card>(?<![\w.-])\d(?:[ -]?\d){{12,18}}(?![\w-]))
-|(?P<ssn>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
-|(?P<phone>(?<![\w.])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{2,4}}(?:[ .-]\d{{2,4}}){{1,3}}(?![\w]))
-|(?P<phone2>(?<![\w.])\+\d{{8,15}}(?!\w))
+|{_NUMBER}
 |(?P<person>\b(?:{_TITLE})\.?\s(?P<name>{_NAME}(?:\s{_NAME}){{0,2}}))""",
     re.VERBOSE,
 )
+NUMBERS = re.compile(_NUMBER, re.VERBOSE)
 # What a text with any entity has, for a cheap test in the scan, as a pattern of Java: every match
 # of PATTERNS has one.  Digits may be unknown to Java's older Unicode; borders are those of ASCII.
 HINT = rf"[\p{{Nd}}\p{{Cn}}@]|AKIA|(?<![a-zA-Z0-9_])(?:{_TITLE}|(?i:{_SECRET}))(?![a-zA-Z0-9_])"
@@ -72,10 +74,16 @@ def _iban_rest(code: str) -> int:
 
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """Entities of a text in order: start, end, type, canonical form."""
-    out = []
-    for m in PATTERNS.finditer(text or ""):
-        kind, (a, b) = m.lastgroup, m.span()
-        kind = next(k for k in ("mail", "aws", "secret", "ip", "iban", "card", "ssn", "phone", "phone2", "person") if m.group(k))
+    text, out, at = text or "", [], 0
+    while m := PATTERNS.search(text, at):
+        if m.group("card") and not luhn(_digits(m.group())):
+            # Not a card; it may still be a number in the notation of a phone.
+            at, m = m.end(), NUMBERS.match(text, m.start())
+            if m is None:
+                continue
+        (a, b), groups = m.span(), m.groupdict()
+        at = b
+        kind = next(k for k in ("mail", "aws", "secret", "ip", "iban", "card", "ssn", "phone", "phone2", "person") if groups.get(k))
         if kind == "mail":
             local, domain = m.group().lower().rsplit("@", 1)
             out.append((a, a + len(local), "mail", f"{local}@{domain}"))

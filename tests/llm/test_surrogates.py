@@ -33,3 +33,12 @@ def test_hint_misses_no_entity(spark, documents):
         assert rows[i].n_entities == len(f) and all(t[a:b] not in rows[i].text for a, b, *_ in f)
     # Digits stay in their script.
     assert re.search("[٠-٩]{3}-[٠-٩]{4}", rows[1].text) and re.search("[０-９]{4}", rows[3].text)
+
+
+def test_cards_are_checked(documents):
+    decoys = ["order 4111111111111112 sent", "id 1234567890123, 9999999999999999999.", "rows 1111 2222 3333 4444 555 end"]
+    texts = [*decoys, "card 4111 1111 1111 1111 and 4111111111111112", "call 0049-170-1234-567"]
+    assert [[k for _, _, k, _ in surrogates.find(t)] for t in texts] == [[], [], [], ["card"], ["phone"]]
+    got = texts_of(surrogates.pseudonymise(documents(list(enumerate(texts))), b"k"))
+    assert [got[i] for i in range(3)] == decoys
+    assert "4111 1111 1111 1111" not in got[3] and got[3].endswith(" and 4111111111111112") and "170-1234" not in got[4]
