@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, langid, mixing, packing, simhash, surrogates, token_file, toxicity, weighted
+from sensorloom.llm import exact_dedup, langid, line_dedup, mixing, packing, simhash, surrogates, token_file, toxicity, weighted
 from sensorloom.llm.common import stored
 from sensorloom.llm.registry import query, table
 from sensorloom.session import new_path
@@ -87,3 +87,20 @@ def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of all documents with surrogates for personal data."""
     return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=SURROGATE_KEY)
+
+
+@query(
+    r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+many AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (key IN (FROM many)) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (key NOT IN (FROM many)), '')) AS kept_sha256
+FROM keyed GROUP BY doc_id"""
+)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents share."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
