@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact_dedup, langid, line_dedup, mixing, packing, simhash, surrogates, token_file, toxicity, weighted
+from sensorloom.llm import exact_dedup, langid, line_dedup, mixing, packing, runs, simhash, surrogates, token_file, toxicity, weighted
 from sensorloom.llm.common import stored
 from sensorloom.llm.registry import query, table
 from sensorloom.session import new_path
@@ -104,3 +104,38 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that ten documents share."""
     found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, the words from one on repeat with a period, both drawn from the identifier."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words"))
+    n = F.size("words")
+    placed = words.withColumn("a", (F.col("g") % F.when(n > 0, n)).cast("int"))
+    period = placed.withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int"))
+    turns = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), turns))
+    moved = F.concat(F.slice("words", 1, F.col("a")), F.slice(again, 1, n - F.col("a")))
+    planted = (F.col("h") % 10 == 0) & (n > 0)
+    return period.select("doc_id", F.when(planted, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest run, digest of all runs and collapsed text of every document."""
+    found = runs.periodic_runs(planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("by"), r["start"].alias("start"), r["period"].alias("period"))))
+    rows = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(rows, "\n"), F.lit("\n"))).otherwise("")
+    each = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("first"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length = -F.col("first.by")
+    return each.select(
+        "doc_id",
+        "n_runs",
+        F.col("first.start").alias("start"),
+        length.alias("length"),
+        F.col("first.period").alias("period"),
+        F.floor(1000 * length / F.col("first.period")).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
