@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +29,11 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_file`` (a hash of the path) and ``_row``, the place of every row's content.
 
-    A frame that has them already is left as it is; one that isn't read from files is written
-    to the shared folder first.
+    A frame that isn't read from files is written to the shared folder first.  Columns of these
+    names are an error: see ``set_aside``.
     """
-    if {"_file", "_row"} <= set(docs.columns):
-        return docs
+    if clash := {"_file", "_row"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns {sorted(clash)} are reserved here")
     place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     try:
         return docs.select("*", *place)
@@ -39,6 +41,25 @@ def located(docs: DataFrame) -> DataFrame:
         return stored(docs, "content").select("*", *place)
 
 
+def set_aside(docs: DataFrame, **roles: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """Rename all columns, so that none clashes with those an operator makes.
+
+    ``roles`` gives some columns names: ``set_aside(docs, text="body")`` calls the column ``body``
+    ``text``.  The second result brings a frame back to the columns of ``docs`` in their order, and
+    ``added`` ones after them; of a name that both have, the added column stays.
+    """
+    of = {column: role for role, column in roles.items()}
+    if missing := [c for c in of if c not in docs.columns]:
+        raise ValueError(f"no column {missing}")
+    names = [of.get(c, f"_own_{i}") for i, c in enumerate(docs.columns)]
+
+    def back(frame: DataFrame, *added: str) -> DataFrame:
+        kept = [F.col(mine).alias(c) for mine, c in zip(names, docs.columns) if c not in added]
+        return frame.select(*kept, *added)
+
+    return docs.select(*[F.col(f"`{c}`").alias(mine) for mine, c in zip(names, docs.columns)]), back
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Smallest node of every node's connected component, for nodes that have an edge.
 

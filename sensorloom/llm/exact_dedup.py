@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import located, stored
+from sensorloom.llm.common import located, set_aside, stored
 from sensorloom.session import new_path
 
 BLANKS = r"[\x20\x09-\x0D]"
@@ -114,7 +114,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    whole = located(docs)
-    groups = exact_groups(docs, id_col, text_col)
-    return whole.join(groups.filter("kept").select("_file", "_row"), ["_file", "_row"], "left_semi").drop("_file", "_row")
+    """The rows of ``docs`` that stay, with their columns, whatever their names."""
+    mine, back = set_aside(docs, doc_id=id_col, text=text_col)
+    groups = exact_groups(mine)
+    return back(located(mine).join(groups.filter("kept").select("_file", "_row"), ["_file", "_row"], "left_semi"))

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import set_aside
+
 HIDDEN = 12
 WINDOW = 64
 SAMPLE_PER_LANGUAGE = 800
@@ -231,7 +233,9 @@ def predict(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score``, its mean probability over all positions.
 
     A text that is null or has no letter is ``und`` with score 0.  Only the text is read.
+    Columns of ``docs`` of these two names are replaced; others stay, whatever their names.
     """
+    mine, back = set_aside(docs, text=text_col)
     labeller = Labeller(net)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -251,7 +255,7 @@ def predict(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
                 scores[some] = np.clip(p.max(axis=1), 0, 1) if labeller.languages != [UNDETERMINED] else 0
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return docs.withColumn("_label", label(F.col(text_col))).select("*", "_label.*").drop("_label")
+    return back(mine.withColumn("label", label(F.col("text"))).select("*", "label.*"), "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
@@ -262,7 +266,5 @@ def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
 
 def keep_identified(docs: DataFrame, net: Network, least: float = 0.35, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language the network can tell: not ``und``, and a score of at least ``least``."""
-    names = docs.columns
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
-    judged = predict(plain, net, "_text").filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return judged.select("_row.*")
+    mine, back = set_aside(docs, text=text_col)
+    return back(predict(mine, net).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)))

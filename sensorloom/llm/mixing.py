@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import SPACE, located, stored
+from sensorloom.llm.common import SPACE, located, set_aside, stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -132,9 +132,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the order of their place.  Draws depend on ids and sizes alone, so reruns agree.  An empty
     table gives an empty result; other columns aren't read.
     """
-    sized = located(docs).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(F.col(text_col)).alias("size"), "_file", "_row"
-    )
+    mine, _ = set_aside(docs, doc_id=id_col, text=text_col, source=source_col)
+    sized = located(mine).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(F.col("text")).alias("size"), "_file", "_row")
     sized = stored(sized, "mix-sizes")
     sizes = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
     copy = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("_file", "_row"))
@@ -154,7 +153,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
-    """The mix itself: rows of ``docs`` with their columns, each as often as it is taken."""
-    docs = located(docs)
-    copies = mix(docs, id_col, text_col, source_col, seed).filter("copies > 0").select("_file", "_row", F.col("copies").cast("int").alias("_copies"))
-    return docs.join(copies, ["_file", "_row"]).withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_again", "_copies", "_file", "_row")
+    """The mix itself: rows of ``docs`` with their columns, whatever their names, each as often as it is taken."""
+    mine, back = set_aside(docs, doc_id=id_col, text=text_col, source=source_col)
+    copies = mix(mine, seed=seed).filter("copies > 0").select("_file", "_row", F.col("copies").cast("int").alias("copies"))
+    return back(located(mine).join(copies, ["_file", "_row"]).withColumn("again", F.explode(F.sequence(F.lit(1), "copies"))))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import components, located, partitions, stored
+from sensorloom.llm.common import components, located, partitions, set_aside, stored
 
 BITS = 64
 SHINGLE = 4
@@ -192,7 +192,8 @@ def near_places(whole: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay by ``near_places``."""
-    whole = located(docs)
-    kept = near_places(whole, id_col, text_col, shingle, distance)
-    return whole.join(kept, ["_file", "_row"], "left_semi").drop("_file", "_row")
+    """The rows of ``docs`` that stay by ``near_places``, with their columns, whatever their names."""
+    mine, back = set_aside(docs, doc_id=id_col, text=text_col)
+    whole = located(mine)
+    kept = near_places(whole, shingle=shingle, distance=distance)
+    return back(whole.join(kept, ["_file", "_row"], "left_semi"))

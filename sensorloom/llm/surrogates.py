@@ -20,10 +20,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import located, stored
+from sensorloom.llm.common import located, set_aside, stored
+from sensorloom.operators.skew import join_skewed
 
 # Titles by gender, and alphabets by script.
-TITLES = {"f": "Mrs Ms Miss Madam Frau Mme Madame Mlle Sra Señora Srta", "m": "Mr Sir Herr M Monsieur Sr Señor", "n": "Dr Prof"}
+TITLES = {
+    "f": "Mrs Ms Miss Madam Frau Mme Madame Mlle Sra Señora Srta г-жа госпожа κυρία",
+    "m": "Mr Sir Herr M Monsieur Sr Señor г-н господин κύριος",
+    "n": "Dr Prof",
+}
+# Words with a capital that follow a title without being a name.
+NO_NAMES = """President Chairman Chairwoman Chair Speaker Minister Secretary Chancellor Ambassador Mayor Governor Senator Justice Judge
+General Director Professor Doctor Präsident Präsidentin Ministerin Kanzler Kanzlerin Bürgermeister Bürgermeisterin Professorin
+Doktor Président Présidente Ministre Maire Presidente Presidenta Ministro Ministra Alcalde Who What Where When Why How The This That A An
+And Or But Of In On At To For He She It They We You I Der Die Das Und Oder Le La Les Et Ou El Los Las Y""".split()
 ALPHABETS = {
     "latin": ("aeiou", "bcdfghjklmnprstvwz"),
     "cyrillic": ("аеиоу", "бвгдзклмнпрстфх"),
@@ -34,19 +44,19 @@ FIRST_ENDS = {"latin": {"f": "a", "m": "o", "n": "e"}, "cyrillic": {"f": "а", "
 _TITLE = "|".join(sorted({t for v in TITLES.values() for t in v.split()}, key=len, reverse=True))
 _GENDER = {t: g for g, v in TITLES.items() for t in v.split()}
 _SECRET = "token|secret|api_?key|password|passwd|pwd"
-_NAME = r"[^\W\d_a-zа-яα-ω]\w+(?:[-'’]\w+)?"
+_NAME = rf"(?!(?:{'|'.join(NO_NAMES)})(?![\w'’-]))[^\W\d_a-zа-яα-ω](?:\w+|['’]\w+)(?:[-'’]\w+)*"
 _NUMBER = r"""(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w]))
-|(?P<phone2>(?<![\w.])\+\d{8,15}(?!\w))"""
+|(?P<phone>(?<![\w.:/+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w]))
+|(?P<phone2>(?<![\w.:/+-])\+\d(?:[ .-]?\d){7,14}(?!\w))"""
 PATTERNS = re.compile(
-    rf"""(?P<mail>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
+    rf"""(?<![\w.%+-])[._%+-]*+(?P<mail>[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
 |(?P<aws>\bAKIA[A-Z0-9]{{16}}\b)
 |(?P<secret>(?:\b(?ai:{_SECRET}))["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9_\-/+]{{8,}}))
 |(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
 |(?P<iban>\b[A-Z]{{2}}\d{{2}}(?:\s?[A-Z0-9]{{4}}){{2,7}}(?:\s?[A-Z0-9]{{1,4}})?\b)
 |(?P<card>(?<![\w.-])\d(?:[ -]?\d){{12,18}}(?![\w-]))
 |{_NUMBER}
-|(?P<person>\b(?:{_TITLE})\.?\s(?P<name>{_NAME}(?:\s{_NAME}){{0,2}}))""",
+|(?P<person>\b(?P<title>{_TITLE})\.?\s(?P<name>{_NAME}(?:\s{_NAME}){{0,2}}))""",
     re.VERBOSE,
 )
 NUMBERS = re.compile(_NUMBER, re.VERBOSE)
@@ -72,6 +82,24 @@ def _iban_rest(code: str) -> int:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97
 
 
+_MONTH = re.compile(r"(?<!\d)(?:19|20)\d\d[-. ][01]\d(?!\d)")
+
+
+def is_phone(number: str) -> bool:
+    """Whether 7 to 15 grouped digits are written like a phone number.
+
+    They begin with a plus sign, have an area code in brackets, begin with 0, or are grouped by
+    3, 3 and 4.  Dates and rows of numbers aren't phones.
+    """
+    digits, groups = _digits(number), [len(g) for g in re.findall(r"\d+", number)]
+    if not 7 <= len(digits) <= 15:
+        return False
+    if number[0] == "+" or "(" in number:
+        return True
+    dated = tuple(groups[:3]) in ((4, 2, 2), (2, 2, 4)) or groups == [2, 2, 2] or _MONTH.search(number)
+    return not dated and (digits[0] == "0" or groups == [3, 3, 4])
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """Entities of a text in order: start, end, type, canonical form."""
     text, out, at = text or "", [], 0
@@ -81,11 +109,11 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             at, m = m.end(), NUMBERS.match(text, m.start())
             if m is None:
                 continue
-        (a, b), groups = m.span(), m.groupdict()
-        at = b
+        groups = m.groupdict()
         kind = next(k for k in ("mail", "aws", "secret", "ip", "iban", "card", "ssn", "phone", "phone2", "person") if groups.get(k))
+        (a, b), at = m.span(kind), m.end()
         if kind == "mail":
-            local, domain = m.group().lower().rsplit("@", 1)
+            local, domain = m.group("mail").lower().rsplit("@", 1)
             out.append((a, a + len(local), "mail", f"{local}@{domain}"))
             name, top = domain.rsplit(".", 1)
             out.append((a + len(local) + 1, a + len(local) + 1 + len(name), "domain", domain))
@@ -98,12 +126,13 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         elif kind == "card":
             out.append((a, b, "card", _digits(m.group())))
         elif kind in ("ssn", "phone", "phone2"):
-            digits = _digits(m.group())
-            if 7 <= len(digits) <= 15:
-                out.append((a, b, "ssn" if kind == "ssn" else "phone", digits))
+            if kind == "ssn" or is_phone(m.group()):
+                out.append((a, b, "ssn" if kind == "ssn" else "phone", _digits(m.group())))
+            else:  # another number may begin in it
+                at = a + re.match(r"\D*\d+", m.group()).end()
         elif kind == "person":
             start, words = m.start("name"), list(re.finditer(r"\S+", m.group("name")))
-            gender = _GENDER[re.match(r"\w+", m.group()).group()]
+            gender = _GENDER[m.group("title")]
             for i, w in enumerate(words):
                 given, name = i < len(words) - 1, re.sub(r"['’]s$", "", w.group())
                 out.append((start + w.start(), start + w.start() + len(name), f"given_{gender}" if given else "family", name.casefold()))
@@ -177,31 +206,38 @@ def _hex_or_like(draw: Draw, text: str) -> str:
     return "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[draw.below(36)] if c.isupper() or c.isdigit() else _like(draw, c) for c in text)
 
 
+LONGER = 16
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """The canonical form of an entity's surrogate; later attempts may be longer."""
+    """The canonical form of an entity's surrogate.
+
+    Later attempts are longer, so that a format with few values never runs out: names and mail
+    addresses from the fifth on, numbers and keys from the ``LONGER``-th on.
+    """
     draw = Draw(key, kind, canonical, str(attempt))
-    more = max(0, attempt - 4)  # a small space runs out: names, mail addresses grow
+    more, longer = max(0, attempt - 4), max(0, attempt - LONGER)
     if kind == "mail":
         return _like(draw, canonical.rsplit("@", 1)[0]) + _like(draw, "a" * more)
     if kind == "domain":
         return _like(draw, canonical.rsplit(".", 1)[0]) + _like(draw, "a" * more)
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4 + longer))
     if kind == "card":
-        body = canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:-1])
+        body = canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:-1] + "0" * longer)
         last = [d for d in "0123456789" if luhn(body + d) == luhn(canonical)]
         return body + last[draw.below(len(last))]
     if kind == "iban":
-        tail = _like(draw, canonical[4:]).upper()
+        tail = _like(draw, canonical[4:] + "0" * longer).upper()
         return canonical[:2] + f"{98 - _iban_rest(canonical[:2] + '00' + tail):02d}" + tail
     if kind in ("phone", "ssn"):
         # Leading digits (the country, or none) stay; no group starts with 0 where it didn't.
         stay = max(0, len(canonical) - 10)
-        return canonical[:stay] + "".join(str(1 + draw.below(9)) if c != "0" and i == 0 else str(draw.below(10)) for i, c in enumerate(canonical[stay:]))
+        return canonical[:stay] + "".join(str(1 + draw.below(9)) if c != "0" and i == 0 else str(draw.below(10)) for i, c in enumerate(canonical[stay:] + "0" * longer))
     if kind == "aws":
-        return "AKIA" + _hex_or_like(draw, "A" * (len(canonical) - 4))
+        return "AKIA" + _hex_or_like(draw, "A" * (len(canonical) - 4 + longer))
     if kind == "secret":
-        return _hex_or_like(draw, canonical)
+        return _hex_or_like(draw, canonical + "0" * longer)
     script = script_of(canonical)
     vowels, others = ALPHABETS[script]
     sounds = "".join(others[draw.below(len(others))] + vowels[draw.below(len(vowels))] for _ in range(max(1, len(canonical) // 2) + more))
@@ -213,10 +249,11 @@ def render(surface: str, kind: str, found: str) -> str:
     """A surrogate in the notation of what it replaces."""
     if kind in ("card", "phone", "ssn"):
         digits = iter(found)
-        return "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in surface)
+        shown = "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in surface)
+        return shown + "".join(digits)  # those of a longer surrogate
     if kind == "iban":
         letters = iter(found)
-        return "".join(c if c.isspace() else next(letters) for c in surface)
+        return "".join(c if c.isspace() else next(letters) for c in surface) + "".join(letters)
     if kind in ("mail", "domain"):
         return found.upper() if surface.isupper() else found
     if kind.startswith(("given", "family")):
@@ -252,10 +289,9 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         attempt += 1
         if todo.isEmpty():
             return done
-        if attempt > 64:
-            raise ValueError("a type's format has fewer values than the corpus has entities")
 
 
+HOT_MENTIONS = 1_000_000
 MENTIONS = "array<struct<start:int,stop:int,type:string,canonical:string>>"
 
 
@@ -264,8 +300,9 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
 
     Texts without an entity stay as they are, null ones too; repeated rows are replaced alike.
     Texts without a digit, an at sign, AKIA, a title or the name of a secret skip the search.
+    A column ``n_entities`` of ``docs`` is replaced; others stay, whatever their names.
     """
-    names = docs.columns
+    mine, back = set_aside(docs, text=text_col)
 
     @F.pandas_udf(MENTIONS)
     def mentions(texts: pd.Series) -> pd.Series:
@@ -282,17 +319,17 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
             out.append("".join(parts) + text[at:])
         return pd.Series(out, dtype=object)
 
-    places = located(docs)
-    text = F.col(text_col)
+    places, text = located(mine), F.col("text")
     hinted = text.isNotNull() & text.rlike(HINT)
     seen = places.filter(hinted).select("_file", "_row", F.explode(mentions(text)).alias("m")).select("_file", "_row", "m.*")
     seen = stored(seen, "surrogate-mentions")
     chosen = assign(seen.select("type", "canonical"), key)
-    per_row = seen.join(chosen, ["type", "canonical"]).groupBy("_file", "_row").agg(F.collect_list(F.struct("start", "stop", "type", "surrogate")).alias("_found"))
+    # A domain or name may be that of a third of all mentions.
+    replaced = join_skewed(seen, chosen, ["type", "canonical"], ["_file", "_row"], "inner", HOT_MENTIONS)
+    per_row = replaced.groupBy("_file", "_row").agg(F.collect_list(F.struct("start", "stop", "type", "surrogate")).alias("found"))
     some = places.filter(hinted).join(per_row, ["_file", "_row"], "left")
-    changed = F.when(F.col("_found").isNull(), text).otherwise(rewrite(F.coalesce(text, F.lit("")), F.coalesce("_found", F.array().cast("array<struct<start:int,stop:int,type:string,surrogate:string>>"))))
-    count = F.coalesce(F.size("_found"), F.lit(0))
-    some = some.withColumn("_new", changed).withColumn("n_entities", F.when(F.col("_found").isNull(), 0).otherwise(count))
-    some = some.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in names if c not in ("_file", "_row")], "n_entities")
-    rest = places.filter(~F.coalesce(hinted, F.lit(False))).drop("_file", "_row").withColumn("n_entities", F.lit(0))
-    return some.unionByName(rest)
+    none = F.col("found").isNull()
+    changed = F.when(none, text).otherwise(rewrite(F.coalesce(text, F.lit("")), F.coalesce("found", F.array().cast("array<struct<start:int,stop:int,type:string,surrogate:string>>"))))
+    some = some.withColumn("text", changed).withColumn("n_entities", F.when(none, 0).otherwise(F.coalesce(F.size("found"), F.lit(0))))
+    rest = places.filter(~F.coalesce(hinted, F.lit(False))).withColumn("n_entities", F.lit(0))
+    return back(some, "n_entities").unionByName(back(rest, "n_entities"))

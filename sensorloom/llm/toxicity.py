@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stored
+from sensorloom.llm.common import set_aside, stored
 
 SAMPLE_PER_LABEL = 3000
 SAMPLE_CHARS = 20_000
@@ -210,7 +210,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
 
 def score(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
-    """Add ``score``, the probability that a whole text is toxic.  Null and empty texts get the bias alone."""
+    """Add ``score``, the probability that a whole text is toxic.  Null and empty texts get the bias alone.
+
+    A column ``score`` of ``docs`` is replaced; others stay, whatever their names.
+    """
+    mine, back = set_aside(docs, text=text_col)
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -218,7 +222,7 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFra
         for texts in batches:
             yield pd.Series(1 / (1 + np.exp(-np.clip([logit(t) for t in texts], -500, 500))), dtype="float64")
 
-    return docs.withColumn("score", probability(F.col(text_col)))
+    return back(mine.withColumn("score", probability(F.col("text"))), "score")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:

@@ -42,3 +42,44 @@ def test_cards_are_checked(documents):
     got = texts_of(surrogates.pseudonymise(documents(list(enumerate(texts))), b"k"))
     assert [got[i] for i in range(3)] == decoys
     assert "4111 1111 1111 1111" not in got[3] and got[3].endswith(" and 4111111111111112") and "170-1234" not in got[4]
+
+
+def test_dates_and_rows_of_numbers_stay(documents):
+    decoys = ["on 2024-01-15 at", "am 10.12.2023 um", "rows 1200 1300 1400 1500", "100-200-300", "at 10:00 2024-01-15T10:00", "01-02-2024 10:30", "see 12.34.56", "1-2024-05 07", "v 10 20 30 40", "Mr President spoke. The President left, another President came", "Dr Who", "Prof. The", "Herr Präsident und"]
+    phones = ["+1 (774) 555-1544", "(030) 1234-5678", "030 1234 5678", "774-555-1544", "+4930123456", "+49 30 1234567"]
+    assert [surrogates.find(t) for t in decoys] == [[]] * len(decoys)
+    assert [[k for _, _, k, _ in surrogates.find(f"call {t} now")] for t in phones] == [["phone"]] * len(phones)
+    got = texts_of(surrogates.pseudonymise(documents(list(enumerate(decoys + phones))), b"k"))
+    assert [got[i] for i in range(len(decoys))] == decoys
+    assert all(re.sub(r"\d", "0", got[i + len(decoys)]) == re.sub(r"\d", "0", t) and got[i + len(decoys)] != t for i, t in enumerate(phones))
+
+
+def test_names_with_apostrophes_and_titles_of_other_scripts():
+    named = lambda t: [(k, c) for _, _, k, c in surrogates.find(t)]
+    assert named("Ms O'Brien's car") == [("family", "o'brien")]
+    assert named("Mr Sean O'Neill-Smith") == [("given_m", "sean"), ("family", "o'neill-smith")]
+    assert named("г-н Иванов пришёл, Иванов") == [("family", "иванов")] * 2
+    assert named("госпожа Анна Петрова") == [("given_f", "анна"), ("family", "петрова")]
+    assert named("Mr Theodor") == [("family", "theodor")]
+
+
+def test_long_blobs_take_linear_time():
+    import time
+
+    for blob in ("%41%42a" * 150_000, "a.b-c+" * 170_000, "12-" * 300_000, "Mr " * 300_000):
+        start = time.perf_counter()
+        surrogates.find(blob)
+        assert time.perf_counter() - start < 5
+    assert [k for _, _, k, _ in surrogates.find("x=%20joe@mail.org and ..ann@mail.org")] == ["mail", "domain"] * 2
+
+
+def test_formats_that_run_out_grow(spark):
+    rows = [("phone", f"{i:07d}") for i in range(10)] + [("card", "4111111111111111"), ("ip", "10.0.0.1"), ("aws", "AKIA" + "A" * 16), ("iban", "DE89370400440532013000")]
+    for kind, canonical in rows:
+        late = [surrogates.surrogate(b"k", kind, canonical, n) for n in range(40)]
+        assert len(late[15]) <= len(canonical) + 12 and len(late[39]) > len(late[15]) and len(set(late[17:])) == 23
+    # More entities than a format of one digit has values: all get surrogates, none of them real or shared.
+    few = [("secret", str(i)) for i in range(9)]
+    got = surrogates.assign(spark.createDataFrame(few, "type string, canonical string"), b"k").collect()
+    assert len(got) == 9 == len({r.surrogate for r in got}) and not {r.surrogate for r in got} & {c for _, c in few}
+    assert surrogates.render("030-1234", "phone", "030567899") == "030-567899"
