@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm import exact_dedup, jaccard, langid, mixing, packing, simhash
-from sensorloom.llm.common import located, stored
+from sensorloom.llm.common import located, set_aside, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +26,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every component of near fingerprints, then of those that stay one of every component of similar shingle sets."""
-    whole = located(docs)
+    mine, back = set_aside(docs, doc_id="doc_id", text="text")
+    whole = located(mine)
     first = stored(simhash.near_places(whole), "near-fingerprints")
     kept = jaccard.near_places(whole, first)
-    return whole.join(kept, ["_file", "_row"], "left_semi").drop("_file", "_row")
+    return back(whole.join(kept, ["_file", "_row"], "left_semi"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
