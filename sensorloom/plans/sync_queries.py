@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorloom.model import REGISTRY, registry_table
-from sensorloom.operators import asof, audit, interp, sync
+from sensorloom.operators import asof, audit, interp, queued, sync
 from sensorloom.operators.ordered import index_rows, split_points
 from sensorloom.operators.skew import join_hot
 from sensorloom.plans.export import synchronise
@@ -248,6 +248,45 @@ def approx_sync(t):
     return sync.approximate_sync(t.log(), ["run"], ["click", "view", "purchase"], SLOP)
 
 
+SYNCED, QUEUE = ["click", "view", "purchase"], 5
+
+
+def _queue_sync_sql() -> str:
+    """The rule message by message: one step per message of every run."""
+    n = len(SYNCED)
+    none = "CAST([] AS STRUCT(t BIGINT, s BIGINT)[])"
+    queued = [f"CASE WHEN m.i = {i} THEN list_sort(list_append(q{i}, own))[-{QUEUE}:] ELSE q{i} END AS a{i}" for i in range(n)]
+    near = [
+        f"CASE WHEN i = {i} THEN own ELSE (SELECT {{'t': c.t, 's': c.s}} FROM (SELECT list_sort(list_transform(a{i}, lambda x: {{'d': abs(x.t - own.t), 't': x.t, 's': x.s}}))[1] AS c)) END AS c{i}"
+        for i in range(n)
+    ]
+    stamps = ", ".join(f"c{i}.t" for i in range(n))
+    full = " AND ".join(f"len(a{i}) > 0" for i in range(n))
+    held = "list_contains(CASE i " + " ".join(f"WHEN {i} THEN a{i}" for i in range(n)) + " END, own)"
+    left = ", ".join(f"CASE WHEN hit THEN list_filter(a{i}, lambda x: x <> c{i}) ELSE a{i} END" for i in range(n))
+    kinds = " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(SYNCED))
+    return f"""WITH RECURSIVE {LOG},
+m AS (SELECT run, {{'t': t, 's': seq}} AS own, CASE topic {kinds} END AS i, row_number() OVER (PARTITION BY run ORDER BY seq) AS n
+  FROM log WHERE topic IN ({", ".join(f"'{x}'" for x in SYNCED)})),
+st AS (
+  SELECT run, 0::BIGINT AS n, {", ".join(f"{none} AS q{i}" for i in range(n))}, {none} AS match FROM m GROUP BY run
+  UNION ALL
+  SELECT run, n, {left}, CASE WHEN hit THEN [{", ".join(f"c{i}" for i in range(n))}] ELSE {none} END FROM (
+    SELECT *, {held} AND {full} AND greatest({stamps}) - least({stamps}) <= {SLOP} AS hit FROM (
+      SELECT *, {", ".join(near)} FROM (
+        SELECT m.run, m.n, m.i, m.own, {", ".join(queued)} FROM st JOIN m ON m.run = st.run AND m.n = st.n + 1))))
+SELECT run, {", ".join(f"match[{i + 1}].t AS t_{i}, match[{i + 1}].s AS seq_{i}" for i in range(n))} FROM st WHERE len(match) > 0"""
+
+
+QUEUE_SYNC = _queue_sync_sql()
+
+
+@query(QUEUE_SYNC)
+def approx_sync_queue(t):
+    """Sets of click, view and purchase by queues of five in arrival order."""
+    return queued.queue_sync(t.log(), ["run"], SYNCED, SLOP, QUEUE)[0]
+
+
 def _linear_sql(targets: str, key: str) -> str:
     on = f"q.{key} = log.{key} AND " if key else ""
     on2 = f"p.{key} = log.{key} AND " if key else ""

@@ -66,6 +66,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a derived table that nothing reads any more, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df):
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sensorloom.operators.queued import forget, queue_sync
 from sensorloom.operators.series import thin
 from sensorloom.operators.skew import join_hot
-from sensorloom.session import new_path
+from sensorloom.session import new_path, remove
 
 
 def read_log(spark: SparkSession, folder: str, file_glob: str, schema, files_per_trigger: int = 64) -> DataFrame:
@@ -36,19 +36,41 @@ def latest(stream: DataFrame, keys: list[str], payload: list[str], seq: str = "s
     return newest.select(*keys, "_l.*")
 
 
+@dataclass(frozen=True)
+class Place:
+    """Where a stream keeps its output, its progress and its state: starting again there goes on where it ended."""
+
+    out: str
+    checkpoint: str
+    states: str
+
+    @staticmethod
+    def new(spark: SparkSession, name: str) -> Place:
+        return Place(*[new_path(spark, f"{name}{part}") for part in ("", "-offsets", "-state")])
+
+
+def replay(log: DataFrame, part: str, folder: str, run: Callable[[], object]) -> None:
+    """Append the log to ``folder`` part by part, as it would arrive, and call ``run`` after each."""
+    for (number,) in sorted(log.select(part).distinct().collect()):
+        log.filter(F.col(part) == number).drop(part).write.mode("append").parquet(folder)
+        run()
+
+
 def start(
     df: DataFrame,
     name: str,
     mode: str,
     write: Callable[[DataFrame, int, str], None] | None = None,
     every: str | None = None,
+    place: Place | None = None,
 ) -> tuple[StreamingQuery, str]:
     """Start a stream that writes one table per micro-batch below the returned folder.
 
     It polls ``every`` interval, or stops after what is available now.  A batch that is run
     again after a failure overwrites its own folder, so results stay exact.
     """
-    out, checkpoint = new_path(df.sparkSession, name), new_path(df.sparkSession, f"{name}-offsets")
+    place = place or Place.new(df.sparkSession, name)
+    out, checkpoint = place.out, place.checkpoint
 
     def save(batch: DataFrame, batch_id: int) -> None:
         target = f"{out}/batch={batch_id}"
@@ -62,9 +84,11 @@ def start(
     return writer.start(), out
 
 
-def run_available(df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None] | None = None) -> str:
+def run_available(
+    df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None] | None = None, place: Place | None = None
+) -> str:
     """Process what is available now and return the output folder."""
-    query, out = start(df, name, mode, write)
+    query, out = start(df, name, mode, write, place=place)
     query.awaitTermination()
     return out
 
@@ -109,15 +133,15 @@ def newest_per_window(stream: DataFrame, time: str, dt: str, delay: str, keys: l
     return newest.select(F.col("w.start").alias("start"), *keys, "_l.*")
 
 
-def thin_available(stream: DataFrame, key: str, gap: int, name: str = "thin") -> str:
+def thin_available(stream: DataFrame, key: str, gap: int, name: str = "thin", place: Place | None = None) -> str:
     """Greedy minimum-gap thinning across micro-batches; returns the folder of kept rows.
 
     Every micro-batch runs the batch operator on the rows at least ``gap`` after the last kept
     stamp of their key, so a hot key is thinned by many tasks.  The last stamps are stored per
-    micro-batch, and a repeated batch starts again from the state before it.
+    micro-batch, and a repeated batch starts again from the state before it; older states are removed.
     """
-    spark = stream.sparkSession
-    states = new_path(spark, f"{name}-state")
+    spark, place = stream.sparkSession, place or Place.new(stream.sparkSession, name)
+    states = place.states
 
     def write(batch: DataFrame, batch_id: int, target: str) -> None:
         rows = batch.select(key, "seq", "t")
@@ -131,58 +155,31 @@ def thin_available(stream: DataFrame, key: str, gap: int, name: str = "thin") ->
         if last is not None:
             kept = kept.unionByName(last).groupBy(key).agg(F.max("last").alias("last"))
         kept.write.mode("overwrite").parquet(f"{states}/{batch_id}")
+        remove(spark, f"{states}/{batch_id - 2}")
 
-    return run_available(stream, name, "append", write)
+    return run_available(stream, name, "append", write, place)
 
 
-def approximate_sync_stream(
-    stream: DataFrame, key: str, topics: list[str], slop: int, queue_size: int = 5, key_type: str = "bigint"
-) -> DataFrame:
-    """Sets of one message per topic with a spread of at most ``slop``, as messages arrive.
+def queue_sync_available(
+    stream: DataFrame, keys: list[str], topics: list[str], slop: int, queue_size: int = 5, late: int = 0, name: str = "sets", place: Place | None = None
+) -> str:
+    """Sets of one message per topic with a spread of at most ``slop``, as messages arrive; returns their folder.
 
-    Every topic keeps its ``queue_size`` newest unused messages as state.  An arriving message
-    is combined with the nearest queued message of every other topic; used ones are removed.
+    Every micro-batch runs the batch operator from the queues the last one left, so a run that
+    holds most messages is matched by many tasks.  The queues are stored per micro-batch, and a
+    repeated batch starts from those before it.  Messages more than ``slop + late`` older than the newest
+    one can't be matched by arrivals at most ``late`` behind it; they expire, and with them
+    the state of runs that have ended.
     """
-    n = len(topics)
-    columns = [c for i in range(n) for c in (f"t_{i}", f"seq_{i}")]
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queues = [set() for _ in range(n)]
-        if state.exists:
-            for i, t, s in zip(*state.get):
-                queues[i].add((t, s))
-        rows = pd.concat(list(batches)).sort_values("seq")
-        sets = []
-        for topic, t, seq in zip(rows["topic"], rows["t"], rows["seq"]):
-            match = arrive(queues, topics.index(topic), int(t), int(seq), slop, queue_size)
-            if match:
-                sets.append((k[0], *match))
-        left = [(i, t, s) for i, q in enumerate(queues) for t, s in sorted(q)]
-        state.update(tuple([list(c) for c in zip(*left)] if left else [[], [], []]))
-        yield pd.DataFrame(sets, columns=[key, *columns])
-
-    out = f"{key} {key_type}, " + ", ".join(f"{c} bigint" for c in columns)
-    return (
-        stream.filter(F.col("topic").isin(list(topics)))
-        .select(key, "topic", "seq", "t")
-        .groupBy(key)
-        .applyInPandasWithState(
-            step, out, "topic array<int>, t array<bigint>, seq array<bigint>", "append", GroupStateTimeout.NoTimeout
-        )
-    )
+    spark, place = stream.sparkSession, place or Place.new(stream.sparkSession, name)
 
-
-def arrive(queues: list[set], topic: int, t: int, seq: int, slop: int, queue_size: int) -> list[int] | None:
-    """Queue one message, by stamp and arrival, and return the set it completes, if any."""
-    own = (t, seq)
-    queues[topic].add(own)
-    while len(queues[topic]) > queue_size:
-        queues[topic].remove(min(queues[topic]))
-    if own not in queues[topic] or not all(queues):
-        return None
-    chosen = [own if i == topic else min(q, key=lambda c: (abs(c[0] - t), c)) for i, q in enumerate(queues)]
-    if max(chosen)[0] - min(chosen)[0] > slop:
-        return None
-    for q, c in zip(queues, chosen):
-        q.remove(c)
-    return [v for c in chosen for v in c]
+    def write(batch: DataFrame, batch_id: int, target: str) -> None:
+        entry = spark.read.parquet(f"{place.states}/{batch_id - 1}") if batch_id > 0 else None
+        sets, state = queue_sync(batch.select(*keys, "topic", "seq", "t"), keys, topics, slop, queue_size, entry)
+        sets.write.mode("overwrite").parquet(target)
+        newest = batch.agg(F.max("t")).first()[0]
+        kept = state if newest is None else forget(state, newest - slop - late)
+        kept.write.mode("overwrite").parquet(f"{place.states}/{batch_id}")
+        remove(spark, f"{place.states}/{batch_id - 2}")
+
+    return run_available(stream, name, "append", write, place)

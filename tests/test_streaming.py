@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom.operators.queued import arrive
 from sensorloom.streaming import live
 
 SCHEMA = "topic string, seq bigint, t bigint, value double"
@@ -55,7 +56,7 @@ def test_thinning_over_batches_equals_the_sequential_rule(spark, stream, small_b
 def test_approximate_sync_over_batches(spark, stream):
     topics = ["hot", "b", "c"]
     keyed = stream.withColumn("run", F.lit(1).cast("bigint"))
-    out = live.run_available(live.approximate_sync_stream(keyed, "run", topics, 6, queue_size=3), "sets", "append")
+    out = live.queue_sync_available(keyed, ["run"], topics, 6, queue_size=3, late=3)
     got = {tuple(r) for r in spark.read.parquet(out).select("t_0", "seq_0", "t_1", "seq_1", "t_2", "seq_2").collect()}
     # Lists in order of arrival; sorting by stamp keeps that order among equal stamps.
     waiting, want = {x: [] for x in topics}, set()
@@ -75,17 +76,17 @@ def test_approximate_sync_over_batches(spark, stream):
 def test_queue_keeps_the_newest_stamps():
     queues = [set(), set()]
     for seq, t in enumerate([1, 2, 3, 4]):
-        live.arrive(queues, 0, t, seq, 0, 2)
+        arrive(queues, 0, t, seq, 0, 2)
     assert queues[0] == {(3, 2), (4, 3)}
-    assert live.arrive(queues, 0, 1, 9, 5, 2) is None and (1, 9) not in queues[0]
-    assert live.arrive(queues, 1, 4, 7, 0, 2) == [4, 3, 4, 7]
+    assert arrive(queues, 0, 1, 9, 5, 2) is None and (1, 9) not in queues[0]
+    assert arrive(queues, 1, 4, 7, 0, 2) == [4, 3, 4, 7]
 
 
 def test_equal_stamps_of_a_topic_are_kept():
     queues = [set(), set()]
     for seq in (0, 1):
-        live.arrive(queues, 0, 5, seq, 0, 2)
-    assert [live.arrive(queues, 1, 5, seq, 0, 2) for seq in (2, 3)] == [[5, 0, 5, 2], [5, 1, 5, 3]]
+        arrive(queues, 0, 5, seq, 0, 2)
+    assert [arrive(queues, 1, 5, seq, 0, 2) for seq in (2, 3)] == [[5, 0, 5, 2], [5, 1, 5, 3]]
 
 
 def test_status_and_gate(spark):
