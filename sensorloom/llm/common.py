@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.session import new_path
+from sensorloom.session import new_path, shared_dir
 
 # White space and words of the contracts, as patterns of Java and of RE2.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -26,6 +26,18 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        below = shared_dir(spark).split(":", 1)[-1].strip("/") + "/"
+        for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+            if below not in folder:
+                raise ValueError(f"{folder} is not a table of this session")
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_file`` (a hash of the path) and ``_row``, the place of every row's content.
 
@@ -75,9 +87,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         # Every node's smallest neighbour (or itself), then where that one points.
         both = edges.select(F.col("b").alias("node"), F.col("a").alias("to")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("to")))
-        low = stored(both.groupBy("node").agg(F.min("to").alias("root")), name)
-        low = stored(_point_on(low, low), name)
-        tree = low if tree is None else stored(_point_on(tree, low), name)
+        first = stored(both.groupBy("node").agg(F.min("to").alias("root")), name)
+        low = stored(_point_on(first, first), name)
+        before, tree = [first, edges], low if tree is None else stored(_point_on(was := tree, low), name)
+        if tree is not low:
+            before.append(was)
         # Edges between nodes that still point apart.
         edges = stored(
             edges.join(low.select(F.col("node").alias("a"), F.col("root").alias("_a")), "a")
@@ -87,6 +101,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct(),
             name,
         )
+        discard(*before, *([low] if tree is not low else []))
         if edges.isEmpty():
             return tree
 
