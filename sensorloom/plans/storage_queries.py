@@ -12,6 +12,7 @@ from sensorloom.plans.registry import HOUR, LOG, query
 from sensorloom.plans.sync_queries import BACK, backward
 from sensorloom.session import new_path, salts
 from sensorloom.sources import readers, writers
+from sensorloom.sources.frames import FrameStore
 
 
 def _records(t):
@@ -176,3 +177,38 @@ def reencode_verify(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     rows.write.option("compression", "zstd").parquet(path)
     return audit.difference(rows, t.spark.read.parquet(path))
+
+
+@query("SELECT o_custkey % 3 AS run, o_orderkey AS idx, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_orderkey % 7 = 0)")
+def read_pruned(t):
+    """Asked frames of a dataset, from the files that hold them."""
+    store = FrameStore(t.spark, new_path(t.spark, "frames"), ["run"], block=64)
+    store.upsert(t.orders.select((F.col("o_custkey") % 3).alias("run"), F.col("o_orderkey").alias("idx"), "o_totalprice"))
+    asked = t.lineitem.filter((F.col("l_quantity") == 50) & (F.col("l_orderkey") % 7 == 0)).select(F.col("l_orderkey").alias("idx"))
+    return store.read_frames(asked)
+
+
+@query(
+    f"""WITH {LOG}
+SELECT topic, seq AS idx, t, CASE WHEN seq % 1000 < 100 THEN -value ELSE value END AS value FROM log WHERE seq % 3 > 0 OR seq % 1000 < 100"""
+)
+def dataset_upsert(t):
+    """Frames written into an existing dataset, replacing and adding; a write that dies before its commit leaves no trace."""
+    store = FrameStore(t.spark, new_path(t.spark, "frames"), ["topic"], block=256)
+    rows = t.log().select("topic", F.col("seq").alias("idx"), "t", "value")
+    store.upsert(rows.filter("idx % 3 > 0"))
+    # What a killed writer leaves: files of data that no commit names.
+    lost = store._blocked(rows.withColumn("value", F.lit(0.0)))
+    lost.write.parquet(f"{store.path}/data/killed")
+    store.upsert(rows.filter("idx % 1000 < 100").withColumn("value", -F.col("value")))
+    return store.read().select("topic", "idx", "t", "value")
+
+
+@query(f"WITH {LOG} SELECT topic, seq AS idx, CASE WHEN seq % 2 = 0 THEN 1 ELSE 2 END AS attempt FROM log")
+def resume_commit(t):
+    """An interrupted run resumed: frames of the first attempt stay, the others come from the second."""
+    store = FrameStore(t.spark, new_path(t.spark, "frames"), ["topic"])
+    rows = t.log().select("topic", F.col("seq").alias("idx"))
+    store.upsert(rows.filter("idx % 2 = 0").withColumn("attempt", F.lit(1)))
+    store.resume(rows.withColumn("attempt", F.lit(2)))
+    return store.read()
