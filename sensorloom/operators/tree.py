@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensorloom.functions.geometry import CAMERA_TO_NED, chain, pose_matrix, rigid_inverse
+from sensorloom.functions.geometry import CAMERA_TO_NED, chain, matmul, pose_matrix, rigid_inverse
 from sensorloom.operators.asof import with_single
 from sensorloom.operators.interp import interpolate
+from sensorloom.operators.lifting import BOUNDS, PRODUCT, ancestors, common_ancestor, inverse_or_null, product, relate
 from sensorloom.operators.ordered import split_points
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
@@ -87,11 +88,6 @@ def _settle(paths: DataFrame) -> tuple[DataFrame, int]:
     return stored, seen.get["n_open"]
 
 
-def depths(paths: DataFrame) -> DataFrame:
-    """Depth of every node below its root, 0-based."""
-    return paths.select("node", "root", (F.size("path") - 1).alias("depth"))
-
-
 def branch_paths(pairs: DataFrame, paths: DataFrame) -> DataFrame:
     """For pairs ``(f1, f2)`` the nodes below their lowest common ancestor on either side.
 
@@ -132,28 +128,29 @@ def edge_bounds(samples: DataFrame, keys: list[str], tol: float, is_static: Colu
     )
 
 
-def path_interval(branches: DataFrame, bounds: DataFrame, pair: list[str]) -> DataFrame:
-    """Interval in which all edges between two frames exist.
+def path_interval(pairs: DataFrame, edges: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Interval in which all edges between two frames exist, per distinct pair ``f1, f2``.
 
     Unlimited for one and the same frame, empty (inf, -inf) when the frames are unconnected.
-    ``bounds`` is keyed by the child frame in column ``frame``.
+    ``bounds`` is keyed by the child frame in column ``frame``; an edge without is unlimited.
     """
-    steps = branches.select(*pair, F.explode(F.concat("up", "down")).alias("frame"))
-    joined = join_hot(steps, bounds, ["frame"], pair, "inner")
-    cut = joined.groupBy(*pair).agg(F.max("t_min").alias("t_min"), F.min("t_max").alias("t_max"))
-    out = branches.select(*pair, F.col("up").isNotNull().alias("connected")).join(cut, pair, "left")
-    return out.select(
-        *pair,
-        F.when(F.col("connected"), F.coalesce("t_min", F.lit(-INF))).otherwise(F.lit(INF)).alias("t_min"),
-        F.when(F.col("connected"), F.coalesce("t_max", F.lit(INF))).otherwise(F.lit(-INF)).alias("t_max"),
+    limits = bounds.select(F.col("frame").alias("child"), "t_min", "t_max")
+    table = ancestors(edges.select("child", "parent").join(limits, "child", "left"), BOUNDS)
+    cut = common_ancestor(pairs, table)
+    met = F.col("lca").isNotNull()
+    return cut.select(
+        "f1",
+        "f2",
+        F.when(met, F.coalesce("t_min", F.lit(-INF))).otherwise(F.lit(INF)).alias("t_min"),
+        F.when(met, F.coalesce("t_max", F.lit(INF))).otherwise(F.lit(-INF)).alias("t_max"),
     )
 
 
-def frames_interval(asked: DataFrame, edges: DataFrame, paths: DataFrame, bounds: DataFrame) -> DataFrame:
+def frames_interval(asked: DataFrame, edges: DataFrame, bounds: DataFrame) -> DataFrame:
     """Interval in which all asked frames can be related, as one row; unknown frames are ignored."""
     known = asked.select("frame").distinct().join(frames(edges), "frame", "left_semi")
     pairs = with_single(known, known.agg(F.min("frame").alias("f2"))).withColumnRenamed("frame", "f1")
-    cut = path_interval(branch_paths(pairs, paths), bounds, ["f1", "f2"])
+    cut = path_interval(pairs, edges, bounds)
     return cut.agg(
         F.coalesce(F.max("t_min"), F.lit(-INF)).alias("t_min"), F.coalesce(F.min("t_max"), F.lit(INF)).alias("t_max")
     )
@@ -190,11 +187,14 @@ def compose_steps(steps: DataFrame, key: list[str]) -> DataFrame:
     return ordered.select(*key, F.when(F.size("_m") == F.col("_hops"), product).alias("matrix"))
 
 
-def chain_transform(branches: DataFrame, statics: DataFrame, key: list[str]) -> DataFrame:
-    """Matrix from ``f1`` to ``f2`` over static edges: up to the common ancestor, then down."""
-    steps = path_steps(branches.filter(F.col("up").isNotNull()), key)
-    joined = join_hot(steps, statics.select("frame", "matrix"), ["frame"], [*key, "pos"])
-    return compose_steps(joined, key)
+def chain_transform(pairs: DataFrame, edges: DataFrame, statics: DataFrame) -> DataFrame:
+    """Pairs with the matrix from ``f1`` to ``f2`` over static edges, null where there is no such path."""
+    return relate(pairs, ancestors(static_edges(edges, statics), PRODUCT))
+
+
+def static_edges(edges: DataFrame, statics: DataFrame) -> DataFrame:
+    """Edges whose ``frame`` has a matrix, with it."""
+    return edges.select("child", "parent").join(statics.select(F.col("frame").alias("child"), "matrix"), "child")
 
 
 def static_matrices(edges: DataFrame, frame: str = "child") -> DataFrame:
@@ -275,24 +275,39 @@ def apply_calibration(old: DataFrame, calib: DataFrame) -> DataFrame:
     )
 
 
-def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
+def transform_at(queries: DataFrame, edges: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
     """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every query row.
 
     ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
-    one.  Paths are resolved once per pair of frames and all stamps are interpolated in bulk.
-    Null where a frame is unconnected or has no pose within ``tol``.
+    one.  Static edges are multiplied once per frame, so that paths name dynamic edges only; they are
+    resolved once per pair of frames and all stamps are interpolated in bulk.  Null where a frame is
+    unconnected or has no pose within ``tol``.
     """
-    branches = cut_lineage(branch_paths(queries.select("f1", "f2").distinct(), paths))
-    connected = branches.filter(F.col("up").isNotNull())
-    asked = join_hot(queries.select("f1", "f2", "t").distinct(), connected, ["f1", "f2"], ["t"], "inner")
+    fixed = ancestors(static_edges(edges, statics), PRODUCT).tops.select("node", "top", "matrix")
+
+    def hung(df: DataFrame, frame: str, top: str, matrix: str) -> DataFrame:
+        """The frame's static top (itself if none) and the matrix from there, null for none."""
+        f = fixed.select(F.col("node").alias(frame), F.col("top").alias(top), F.col("matrix").alias(matrix))
+        return df.join(f, frame, "left").withColumn(top, F.coalesce(top, frame))
+
+    dynamic = edges.select("child", "parent").join(statics.select(F.col("frame").alias("child")), "child", "left_anti")
+    dynamic = hung(dynamic, "parent", "_above", "before").select("child", F.col("_above").alias("parent"), "before")
+    pairs = hung(hung(queries.select("f1", "f2").distinct(), "f1", "_t1", "m1"), "f2", "_t2", "m2")
+    ends = pairs.select(F.col("f1").alias("q1"), F.col("f2").alias("q2"), "m1", "m2", F.col("_t1").alias("f1"), F.col("_t2").alias("f2"))
+    found = branch_paths(ends, root_paths(dynamic)).filter(F.col("up").isNotNull())
+    branches = cut_lineage(found.select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), "m1", "m2", "up", "down"))
+
+    asked = queries.select("f1", "f2", "t").distinct().join(branches.select("f1", "f2", "up", "down"), ["f1", "f2"])
     steps = path_steps(asked, ["f1", "f2", "t"])
     wanted = steps.filter(F.col("frame").isNotNull()).select("frame", "t").distinct()
-    moving_only = wanted.join(statics.select("frame"), "frame", "left_anti")
     xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
     splits = split_points(queries.select("t").unionAll(samples.select("t")), ["t"])
-    moving = interpolate(moving_only, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
+    moving = interpolate(wanted, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
     moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("_moving"))
-    fixed = statics.select("frame", F.col("matrix").alias("_fixed"))
-    placed = join_hot(steps, fixed, ["frame"], ["t", "f1", "f2"]).join(moving, ["frame", "t"], "left")
-    product = compose_steps(placed.withColumn("matrix", F.coalesce("_fixed", "_moving")), ["f1", "f2", "t"])
-    return queries.join(product, ["f1", "f2", "t"], "left")
+    moving = moving.join(dynamic.select(F.col("child").alias("frame"), "before"), "frame")
+    edge = F.when(F.col("before").isNull(), F.col("_moving")).otherwise(matmul(F.col("before"), F.col("_moving")))
+    placed = steps.join(moving.select("frame", "t", edge.alias("matrix")), ["frame", "t"], "left")
+    between = compose_steps(placed, ["f1", "f2", "t"])
+    out = queries.join(between, ["f1", "f2", "t"], "left").join(branches.select("f1", "f2", "m1", "m2"), ["f1", "f2"], "left")
+    whole = product(inverse_or_null(F.col("m1")), F.col("matrix"), F.col("m2"))
+    return out.withColumn("matrix", F.when(F.col("matrix").isNotNull(), whole)).drop("m1", "m2")

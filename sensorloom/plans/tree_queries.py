@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import functions as F
 
 from sensorloom.functions.geometry import euler_quaternion, matrix_position, matrix_quaternion
-from sensorloom.operators import asof, sync, tree
+from sensorloom.operators import asof, lifting, sync, tree
+from sensorloom.operators.ordered import Scan, running
 from sensorloom.plans.export import synchronise
 from sensorloom.plans.registry import EDGES, HOUR, LOG, SECOND, TOPIC_ROWS, TOPICS, query
 from sensorloom.session import cut_lineage
@@ -31,7 +34,7 @@ NEXT = "pairs AS (SELECT a.c_name AS f1, b.c_name AS f2 FROM customer a JOIN cus
 @query(f"WITH {PATHS} SELECT node, 'map' AS root, CAST(len(path) - 1 AS INTEGER) AS depth FROM paths")
 def tree_depth(t):
     """Depth of every frame below its root."""
-    return tree.depths(tree.root_paths(t.edges()))
+    return lifting.depths(lifting.ancestors(t.edges()))
 
 
 @query(
@@ -143,6 +146,55 @@ def edge_bounds(t):
     return tree.edge_bounds(t.log(), ["run"], float(HALF_SECOND), F.col("run") % 10 == 0)
 
 
+def _chains(t):
+    """Every message's frame hangs below that of the topic's previous message, the first below map, turned and shifted."""
+    log = t.log().select("topic", "seq", "value")
+    before = running(log, ["topic"], ["seq"], {"prev": Scan("lag", "seq")})
+    yaw, zero = (F.col("seq") % 7 - 3) * 0.01, F.lit(0.0)
+    q = euler_quaternion(zero, zero, yaw)
+    return before.select(
+        F.col("seq").cast("string").alias("child"), F.coalesce(F.col("prev").cast("string"), F.lit("map")).alias("parent"),
+        (F.col("seq") % 5).cast("double").alias("x"), (F.col("seq") % 3 - 1).cast("double").alias("y"), F.lit(0.25).alias("z"),
+        *[c.alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))],
+    )
+
+
+CHAINS = f"""{LOG},
+c AS (SELECT topic, seq, seq % 5 AS dx, seq % 3 - 1 AS dy, (seq % 7 - 3) * CAST(0.01 AS DOUBLE) AS yaw, row_number() OVER w AS depth,
+  coalesce(sum((seq % 7 - 3) * CAST(0.01 AS DOUBLE)) OVER (PARTITION BY topic ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+  FROM log WINDOW w AS (PARTITION BY topic ORDER BY seq))"""
+
+
+@query(
+    f"""WITH {CHAINS}, n AS (SELECT a.seq AS s1, b.seq AS s2, a.topic = b.topic AS same, a.depth AS d1, b.depth AS d2 FROM c a JOIN c b ON b.seq = a.seq + 1)
+SELECT CAST(s1 AS VARCHAR) AS f1, CAST(s2 AS VARCHAR) AS f2, CASE WHEN same THEN CAST(s1 AS VARCHAR) ELSE 'map' END AS lca,
+  CAST(CASE WHEN same THEN d1 ELSE 0 END AS INTEGER) AS lca_depth, CAST(CASE WHEN same THEN d2 - d1 ELSE d1 + d2 END AS BIGINT) AS hops FROM n"""
+)
+def chain_ancestor(t):
+    """Lowest common ancestor of neighbouring messages in chains as deep as a topic has messages, and the edges between."""
+    edges = _chains(t).select("child", "parent", F.lit(1).cast("bigint").alias("hops"))
+    seq = t.log().select("seq")
+    pairs = seq.join(seq.select((F.col("seq") - 1).alias("seq")), "seq").select(
+        F.col("seq").cast("string").alias("f1"), (F.col("seq") + 1).cast("string").alias("f2")
+    )
+    return lifting.common_ancestor(pairs, lifting.ancestors(edges, {"hops": operator.add}))
+
+
+@query(
+    f"""WITH {CHAINS}
+SELECT CAST(seq AS VARCHAR) AS node, CAST(depth - 1 AS INTEGER) AS depth,
+  round(sum(cos(above) * dx - sin(above) * dy) OVER w, 3) + 0.0 AS x, round(sum(sin(above) * dx + cos(above) * dy) OVER w, 3) + 0.0 AS y,
+  round(0.25::DOUBLE * depth, 3) + 0.0 AS z, round(cos(above + yaw), 6) + 0.0 AS m00 FROM c WINDOW w AS (PARTITION BY topic ORDER BY seq)"""
+)
+def chain_pose(t):
+    """Pose of every message's frame in the map, along chains as deep as a topic has messages."""
+    chains = _chains(t)
+    table = lifting.ancestors(tree.static_edges(chains, tree.static_matrices(chains)), lifting.PRODUCT)
+    x, y, z = matrix_position(F.col("matrix"))
+    cells = {"x": F.round(x, 3), "y": F.round(y, 3), "z": F.round(z, 3), "m00": F.round(F.get("matrix", F.lit(0)), 6)}
+    return table.tops.select("node", (F.col("steps") - 1).cast("int").alias("depth"), *[(c + 0.0).alias(n) for n, c in cells.items()])
+
+
 def _user(run):
     return F.concat(F.lit("u"), run.cast("string"))
 
@@ -186,8 +238,7 @@ UNION ALL SELECT 'u' || run, 'u' || run, CAST('-inf' AS DOUBLE), CAST('inf' AS D
 )
 def tf_interval(t):
     """Interval in which neighbouring sensors can be related; unlimited for one frame, empty if unconnected."""
-    branches = tree.branch_paths(_sensor_pairs(t), tree.root_paths(_sensor_edges(t)))
-    return tree.path_interval(branches, _sensor_bounds(t), ["f1", "f2"])
+    return tree.path_interval(_sensor_pairs(t), _sensor_edges(t), _sensor_bounds(t))
 
 
 @query(f"WITH {BOUNDS} SELECT max(lo) AS t_min, min(hi) AS t_max FROM bd")
@@ -195,7 +246,7 @@ def tf_interval_list(t):
     """Interval in which all sensors can be related; unknown frames do not count."""
     edges = _sensor_edges(t)
     asked = edges.select(F.col("child").alias("frame")).union(t.region.select("r_name"))
-    return tree.frames_interval(asked, edges, tree.root_paths(edges), _sensor_bounds(t))
+    return tree.frames_interval(asked, edges, _sensor_bounds(t))
 
 
 @query(
@@ -210,9 +261,7 @@ SELECT idx, target, row_number() OVER (ORDER BY target) - 1 AS frame FROM k"""
 def export_frames(t):
     """Frames of a synchronised export: topics in tolerance while all sensors can be related."""
     edges = _sensor_edges(t)
-    interval = tree.frames_interval(
-        edges.select(F.col("child").alias("frame")), edges, tree.root_paths(edges), _sensor_bounds(t)
-    )
+    interval = tree.frames_interval(edges.select(F.col("child").alias("frame")), edges, _sensor_bounds(t))
     done = synchronise(t.log(), TOPICS, HOUR, 12 * HOUR, interval=interval)
     return done.frames.select("idx", "target", "frame")
 
@@ -226,9 +275,7 @@ SELECT min(idx) FILTER (WHERE s + idx * {HOUR} > t_min) AS first_idx, max(idx) F
 def interval_marks(t):
     """First and last grid step inside the interval in which all sensors can be related."""
     edges = _sensor_edges(t)
-    interval = tree.frames_interval(
-        edges.select(F.col("child").alias("frame")), edges, tree.root_paths(edges), _sensor_bounds(t)
-    )
+    interval = tree.frames_interval(edges.select(F.col("child").alias("frame")), edges, _sensor_bounds(t))
     grid = asof.time_grid(asof.grid_bounds(t.log(), [], "t", HOUR), [], HOUR)
     return sync.interval_edges(asof.with_single(grid, interval), F.col("t_min"), F.col("t_max"))
 
@@ -278,8 +325,7 @@ FROM pairs JOIN w p ON p.node = f1 JOIN w q ON q.node = f2"""
 )
 def compose_path(t):
     """Transform between neighbouring customers along the tree."""
-    branches = tree.branch_paths(_next_customers(t), tree.root_paths(t.edges()))
-    out = tree.chain_transform(branches, tree.static_matrices(_posed_edges(t)), ["f1", "f2"])
+    out = tree.chain_transform(_next_customers(t), t.edges(), tree.static_matrices(_posed_edges(t)))
     cells = {"m00": 0, "m10": 4, "x": 3, "y": 7, "z": 11}
     return out.select("f1", "f2", *[(F.round(F.get("matrix", F.lit(i)), 6) + 0.0).alias(n) for n, i in cells.items()])
 
@@ -316,8 +362,7 @@ def _sensor_transforms(t):
         groups.select("child", "x", zero.alias("y"), one.alias("z"), zero.alias("qx"), zero.alias("qy"), zero.alias("qz"), one.alias("qw"))
     )
     asked = log.select(_user(F.col("run")).alias("f1"), _user(F.col("run") + 1).alias("f2"), "t", "seq")
-    paths = tree.root_paths(_sensor_edges(t))
-    return tree.transform_at(asked, paths, samples, fixed, HALF_SECOND)
+    return tree.transform_at(asked, _sensor_edges(t), samples, fixed, HALF_SECOND)
 
 
 SENSOR = f"""{LOG}, s AS (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, run + 1 AS nrun FROM log),

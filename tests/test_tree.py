@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.functions import geometry as g
-from sensorloom.operators import tree
+from sensorloom.operators import lifting, tree
 
 # Two roots; c is deep, s is static among dynamic frames.
 EDGES = [("a", "map"), ("b", "a"), ("c", "b"), ("d", "a"), ("s", "c"), ("x", "odom"), ("y", "x")]
@@ -19,11 +19,11 @@ def paths(edges):
     return tree.root_paths(edges)
 
 
-def test_root_paths(paths):
+def test_root_paths(edges, paths):
     got = {r.node: (r.root, r.path, r.cyclic) for r in paths.collect()}
     assert got["s"] == ("map", ["a", "b", "c", "s"], False)
     assert got["y"] == ("odom", ["x", "y"], False) and got["a"] == ("map", ["a"], False)
-    assert {r.node: r.depth for r in tree.depths(paths).collect()} == {"a": 0, "b": 1, "c": 2, "d": 1, "s": 3, "x": 0, "y": 1}
+    assert {r.node: r.depth for r in lifting.depths(lifting.ancestors(edges)).collect()} == {"a": 0, "b": 1, "c": 2, "d": 1, "s": 3, "x": 0, "y": 1}
 
 
 def test_long_chain(spark):
@@ -49,13 +49,13 @@ def test_branches(spark, paths):
     assert got[("y", "c")] == (None, None, None) == got[("nowhere", "a")]
 
 
-def test_intervals(spark, edges, paths):
+def test_intervals(spark, edges):
     rows = [("a", 0.0, 100.0), ("b", 10.0, 90.0), ("c", 5.0, 80.0), ("d", 20.0, 95.0), ("s", -tree.INF, tree.INF), ("x", 0.0, 1.0), ("y", 0.0, 1.0)]
     bounds = spark.createDataFrame(rows, "frame string, t_min double, t_max double")
     pairs = spark.createDataFrame([("s", "d"), ("b", "b"), ("y", "c")], "f1 string, f2 string")
-    got = {(r.f1, r.f2): (r.t_min, r.t_max) for r in tree.path_interval(tree.branch_paths(pairs, paths), bounds, ["f1", "f2"]).collect()}
+    got = {(r.f1, r.f2): (r.t_min, r.t_max) for r in tree.path_interval(pairs, edges, bounds).collect()}
     assert got == {("s", "d"): (20.0, 80.0), ("b", "b"): (-tree.INF, tree.INF), ("y", "c"): (tree.INF, -tree.INF)}
-    ask = lambda *f: tuple(tree.frames_interval(spark.createDataFrame([(x,) for x in f], "frame string"), edges, paths, bounds).first())
+    ask = lambda *f: tuple(tree.frames_interval(spark.createDataFrame([(x,) for x in f], "frame string"), edges, bounds).first())
     assert ask("s", "b", "unknown") == (5.0, 80.0)
     assert ask("s", "y") == (tree.INF, -tree.INF)
     assert ask("d", "d") == (-tree.INF, tree.INF)
@@ -94,7 +94,7 @@ def matrix(x, y, z, qx, qy, qz, qw):
     return m
 
 
-def test_transform_at_matches_numpy(spark, paths, small_blocks):
+def test_transform_at_matches_numpy(spark, edges, small_blocks):
     rng = np.random.default_rng(4)
     poses = {(f, t): [*rng.normal(size=3), *rng.normal(size=4)] for f in "abcd" for t in (0, 100)}
     poses = {k: [*v[:3], *(np.array(v[3:]) / np.linalg.norm(v[3:]))] for k, v in poses.items()}
@@ -103,7 +103,7 @@ def test_transform_at_matches_numpy(spark, paths, small_blocks):
     fixed = list(map(float, [1, 2, 3, 0.1, 0.2, 0.3, 0.9]))
     statics = tree.static_matrices(spark.createDataFrame([("s", *fixed)], "child string, x double, y double, z double, qx double, qy double, qz double, qw double"))
     asked = spark.createDataFrame([("s", "d", 0), ("s", "d", 40), ("map", "s", 100), ("b", "b", 40), ("s", "d", 999), ("y", "s", 0)], "f1 string, f2 string, t bigint")
-    got = {(r.f1, r.f2, r.t): r.matrix for r in tree.transform_at(asked, paths, samples, statics, 20).collect()}
+    got = {(r.f1, r.f2, r.t): r.matrix for r in tree.transform_at(asked, edges, samples, statics, 20).collect()}
 
     def at(f, t):
         if f == "s":
