@@ -108,7 +108,8 @@ def rigid_inverse(m: Column) -> Column:
 
 def chain(matrices: Column) -> Column:
     """Ordered product of an array of matrices; identity when empty."""
-    return F.aggregate(matrices, F.lit(IDENTITY), matmul)
+    rest = F.slice(matrices, F.lit(2), F.size(matrices))
+    return F.when(F.size(matrices) == 0, F.lit(IDENTITY)).otherwise(F.aggregate(rest, F.get(matrices, F.lit(0)), matmul))
 
 
 def transform_point(m: Column, x: Column, y: Column, z: Column) -> list[Column]:

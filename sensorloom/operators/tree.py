@@ -174,7 +174,7 @@ def path_steps(branches: DataFrame, key: list[str]) -> DataFrame:
 
 
 def compose_steps(steps: DataFrame, key: list[str]) -> DataFrame:
-    """Product of the ``matrix`` of every step per key; null when a step lacks one.
+    """Product of the ``matrix`` of every step per key, null when a step lacks one, and whether it is ``known``.
 
     Edges on the way up count inversely.  At most one tree branch per side is gathered.
     """
@@ -183,8 +183,9 @@ def compose_steps(steps: DataFrame, key: list[str]) -> DataFrame:
         F.sort_array(F.collect_list(F.when(F.col("matrix").isNotNull(), F.struct("pos", m.alias("m"))))).alias("_m"),
         F.count("pos").alias("_hops"),
     )
-    product = chain(F.transform("_m", lambda s: s.getField("m")))
-    return ordered.select(*key, F.when(F.size("_m") == F.col("_hops"), product).alias("matrix"))
+    matrix = chain(F.transform("_m", lambda s: s.getField("m")))
+    known = F.size("_m") == F.col("_hops")
+    return ordered.select(*key, known.alias("known"), F.when(known, matrix).alias("matrix"))
 
 
 def chain_transform(pairs: DataFrame, edges: DataFrame, statics: DataFrame) -> DataFrame:
@@ -281,7 +282,7 @@ def transform_at(queries: DataFrame, edges: DataFrame, samples: DataFrame, stati
     ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
     one.  Static edges are multiplied once per frame, so that paths name dynamic edges only; they are
     resolved once per pair of frames and all stamps are interpolated in bulk.  Null where a frame is
-    unconnected or has no pose within ``tol``.
+    unconnected or has no pose within ``tol``; filter such rows by ``known``, which costs no product.
     """
     fixed = ancestors(static_edges(edges, statics), PRODUCT).tops.select("node", "top", "matrix")
 
@@ -310,4 +311,6 @@ def transform_at(queries: DataFrame, edges: DataFrame, samples: DataFrame, stati
     between = compose_steps(placed, ["f1", "f2", "t"])
     out = queries.join(between, ["f1", "f2", "t"], "left").join(branches.select("f1", "f2", "m1", "m2"), ["f1", "f2"], "left")
     whole = product(inverse_or_null(F.col("m1")), F.col("matrix"), F.col("m2"))
-    return out.withColumn("matrix", F.when(F.col("matrix").isNotNull(), whole)).drop("m1", "m2")
+    whole = F.when(F.col("m1").isNull() & F.col("m2").isNull(), F.col("matrix")).otherwise(whole)
+    known = F.coalesce("known", F.lit(False))
+    return out.withColumns({"known": known, "matrix": F.when(known, whole)}).drop("m1", "m2")

@@ -382,7 +382,7 @@ SELECT seq, round((nrun % 10 + x2) - (run % 10 + value), 6) + 0.0 AS x, round(y2
 )
 def transform_at(t):
     """Offset to the next sensor at each message, where it can be interpolated."""
-    out = _sensor_transforms(t).filter(F.col("matrix").isNotNull())
+    out = _sensor_transforms(t).filter("known")
     x, y, _ = matrix_position(F.col("matrix"))
     return out.select("seq", (F.round(x, 6) + 0.0).alias("x"), (F.round(y, 6) + 0.0).alias("y"))
 
