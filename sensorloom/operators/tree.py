@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensorloom.functions.geometry import CAMERA_TO_NED, chain, matmul, pose_matrix, rigid_inverse
+from sensorloom.functions.geometry import CAMERA_TO_NED, chain, pose_matrix, rigid_inverse
 from sensorloom.operators.asof import with_single
 from sensorloom.operators.interp import interpolate
-from sensorloom.operators.lifting import BOUNDS, PRODUCT, ancestors, common_ancestor, inverse_or_null, product, relate
+from sensorloom.operators.lifting import BOUNDS, PRODUCT, ancestors, common_ancestor, relate
 from sensorloom.operators.ordered import split_points
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
@@ -276,41 +276,24 @@ def apply_calibration(old: DataFrame, calib: DataFrame) -> DataFrame:
     )
 
 
-def transform_at(queries: DataFrame, edges: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
+def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, statics: DataFrame, tol: int) -> DataFrame:
     """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every query row.
 
     ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
-    one.  Static edges are multiplied once per frame, so that paths name dynamic edges only; they are
-    resolved once per pair of frames and all stamps are interpolated in bulk.  Null where a frame is
-    unconnected or has no pose within ``tol``; filter such rows by ``known``, which costs no product.
+    one.  Paths are resolved once per pair of frames and all stamps are interpolated in bulk.
+    Null where a frame is unconnected or has no pose within ``tol``; filter such rows by ``known``, which costs no product.
     """
-    fixed = ancestors(static_edges(edges, statics), PRODUCT).tops.select("node", "top", "matrix")
-
-    def hung(df: DataFrame, frame: str, top: str, matrix: str) -> DataFrame:
-        """The frame's static top (itself if none) and the matrix from there, null for none."""
-        f = fixed.select(F.col("node").alias(frame), F.col("top").alias(top), F.col("matrix").alias(matrix))
-        return df.join(f, frame, "left").withColumn(top, F.coalesce(top, frame))
-
-    dynamic = edges.select("child", "parent").join(statics.select(F.col("frame").alias("child")), "child", "left_anti")
-    dynamic = hung(dynamic, "parent", "_above", "before").select("child", F.col("_above").alias("parent"), "before")
-    pairs = hung(hung(queries.select("f1", "f2").distinct(), "f1", "_t1", "m1"), "f2", "_t2", "m2")
-    ends = pairs.select(F.col("f1").alias("q1"), F.col("f2").alias("q2"), "m1", "m2", F.col("_t1").alias("f1"), F.col("_t2").alias("f2"))
-    found = branch_paths(ends, root_paths(dynamic)).filter(F.col("up").isNotNull())
-    branches = cut_lineage(found.select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), "m1", "m2", "up", "down"))
-
-    asked = queries.select("f1", "f2", "t").distinct().join(branches.select("f1", "f2", "up", "down"), ["f1", "f2"])
+    branches = cut_lineage(branch_paths(queries.select("f1", "f2").distinct(), paths))
+    connected = branches.filter(F.col("up").isNotNull())
+    asked = join_hot(queries.select("f1", "f2", "t").distinct(), connected, ["f1", "f2"], ["t"], "inner")
     steps = path_steps(asked, ["f1", "f2", "t"])
     wanted = steps.filter(F.col("frame").isNotNull()).select("frame", "t").distinct()
+    moving_only = wanted.join(statics.select("frame"), "frame", "left_anti")
     xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
     splits = split_points(queries.select("t").unionAll(samples.select("t")), ["t"])
-    moving = interpolate(wanted, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
+    moving = interpolate(moving_only, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
     moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("_moving"))
-    moving = moving.join(dynamic.select(F.col("child").alias("frame"), "before"), "frame")
-    edge = F.when(F.col("before").isNull(), F.col("_moving")).otherwise(matmul(F.col("before"), F.col("_moving")))
-    placed = steps.join(moving.select("frame", "t", edge.alias("matrix")), ["frame", "t"], "left")
-    between = compose_steps(placed, ["f1", "f2", "t"])
-    out = queries.join(between, ["f1", "f2", "t"], "left").join(branches.select("f1", "f2", "m1", "m2"), ["f1", "f2"], "left")
-    whole = product(inverse_or_null(F.col("m1")), F.col("matrix"), F.col("m2"))
-    whole = F.when(F.col("m1").isNull() & F.col("m2").isNull(), F.col("matrix")).otherwise(whole)
-    known = F.coalesce("known", F.lit(False))
-    return out.withColumns({"known": known, "matrix": F.when(known, whole)}).drop("m1", "m2")
+    fixed = statics.select("frame", F.col("matrix").alias("_fixed"))
+    placed = join_hot(steps, fixed, ["frame"], ["t", "f1", "f2"]).join(moving, ["frame", "t"], "left")
+    product = compose_steps(placed.withColumn("matrix", F.coalesce("_fixed", "_moving")), ["f1", "f2", "t"])
+    return queries.join(product, ["f1", "f2", "t"], "left")
