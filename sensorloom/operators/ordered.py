@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorloom.operators.ranks import by_refinement, order_bits
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage, rows_per_block
 
@@ -230,11 +231,18 @@ def dense_index(bounds: DataFrame, keys: list[str], lo: str, hi: str, name: str
 def order_statistics(df: DataFrame, keys: list[str], value: str, picks: dict) -> DataFrame:
     """Exact values at given 0-based ranks per key; ``picks`` maps a name to ``n -> rank``.
 
-    Equal values are counted first, so a hot key shrinks before the shuffle, and ranks come
-    from a block scan, so no key is sorted in one task.
+    Numbers and times of more than one block's rows are ranked by histograms of their bits
+    (``ranks.by_refinement``).  Otherwise equal values are counted first, so a hot key shrinks
+    before the shuffle, and ranks come from a block scan, so no key is sorted in one task.
     """
     df = df.filter(F.col(value).isNotNull())
-    splits = split_points(df, [value])
+    bits = order_bits(F.col(value), df.schema[value].dataType)
+    if bits is None:
+        splits = split_points(df, [value])
+    elif df.count() <= rows_per_block(df.sparkSession):
+        splits = []
+    else:
+        return by_refinement(df, keys, value, bits, picks)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     total = counts.groupBy(*keys).agg(F.sum("_c").alias("n"))
     ranked = running(counts, keys, [value], {"_upto": Scan("sum", "_c")}, splits=splits)
