@@ -8,7 +8,7 @@ from sensorloom.functions import geometry as g
 from sensorloom.operators import audit, cloud
 from sensorloom.operators.interp import interpolate
 from sensorloom.plans.export import depth_frames
-from sensorloom.plans.registry import query, vectors_sql
+from sensorloom.plans.registry import components, query, vectors_sql
 from sensorloom.sources.writers import float16_bits
 
 # Fixed values of the registered queries: camera, image size and depth limit.
@@ -24,12 +24,17 @@ s AS (SELECT *, CAST(round_even(uu, 0) AS INTEGER) AS u, CAST(round_even(vv, 0)
 seen AS (SELECT * FROM s WHERE u < {WIDTH} AND v < {HEIGHT})"""
 
 
-def _points(t):
-    return t.vectors(8).select(
+def cloud_points(embeddings):
+    """embeddings, or a stream of them, as points."""
+    return components(embeddings, 8).select(
         "vec_id", "label", F.col("e0").alias("x"), F.col("e1").alias("y"), (F.col("e2") * 10).alias("z")
     )
 
 
+def _points(t):
+    return cloud_points(t.embeddings)
+
+
 def _seen(t):
     return cloud.in_view(_points(t), WIDTH, HEIGHT, *CAMERA, MAX_DEPTH)
 

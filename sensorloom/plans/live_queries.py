@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorloom.functions.stamps import micros
+from sensorloom.plans.cloud_queries import ORIGIN, VOXEL, cloud_points
 from sensorloom.plans.registry import HOUR, LOG, TOPIC_ROWS, TOPICS, query
 from sensorloom.plans.sync_queries import QUEUE, QUEUE_SYNC, SLOP, SYNCED
 from sensorloom.session import new_path
@@ -30,10 +31,16 @@ def _parts(log):
     return F.floor((micros("ts") - first) * PARTS / (last - first + 1)).cast("int")
 
 
-def _arrived(t, log, run, part=None):
-    """Output of a stream that is started anew, from its stored state, for each of the parts in which ``log`` arrives."""
+def _feed(t, log, part, run):
+    """Place of a stream that is started anew, from its stored state, for each of the parts in which ``log`` arrives."""
     folder, place = new_path(t.spark, "feed"), live.Place.new(t.spark, "live")
-    live.replay(log.withColumn("part", _parts(log) if part is None else part), "part", folder, lambda: run(_stream(t, folder, "*.parquet"), place))
+    live.replay(log.withColumn("part", part), "part", folder, lambda: run(folder, place))
+    return place
+
+
+def _arrived(t, log, run, part=None):
+    """Output of such a stream of messages; by default they arrive in the order of time."""
+    place = _feed(t, log, _parts(log) if part is None else part, lambda folder, place: run(_stream(t, folder, "*.parquet"), place))
     return t.spark.read.parquet(place.out)
 
 
@@ -114,3 +121,37 @@ def stream_approx_sync(t):
     return _arrived(
         t, t.events, lambda stream, place: live.queue_sync_available(stream, ["run"], SYNCED, SLOP, QUEUE, name="sets", place=place)
     ).drop("batch")
+
+
+PERIOD = 6 * HOUR
+MAX_AGE = {topic: (i + 1) * HOUR // 2 for i, topic in enumerate(TOPICS)}
+AGE_ROWS = "(VALUES " + ", ".join(f"('{topic}', {age})" for topic, age in MAX_AGE.items()) + ") AS ages(topic, age)"
+
+
+@query(
+    f"""WITH {LOG}, m AS (SELECT topic, (t + {PERIOD - 1}) // {PERIOD} * {PERIOD} AS tick, max(seq) AS seq FROM log GROUP BY ALL),
+k AS (SELECT unnest(range((SELECT min(tick) FROM m), (SELECT max(t) FROM log), {PERIOD})) AS tick),
+g AS (SELECT tick, topic, age, max(m.seq) OVER (PARTITION BY topic ORDER BY tick) AS seq FROM k CROSS JOIN {AGE_ROWS} LEFT JOIN m USING (topic, tick)),
+s AS (SELECT tick, g.topic, t, value, coalesce(tick - t <= age, false) AS fresh FROM g LEFT JOIN log USING (seq))
+SELECT tick, bool_and(fresh) AS ready, CAST(count(*) FILTER (WHERE fresh) AS INTEGER) AS n_fresh, """
+    + ", ".join(f"max(CASE WHEN topic = '{x}' THEN value END) AS {x}, max(CASE WHEN topic = '{x}' THEN t END) AS {x}_t" for x in TOPICS)
+    + " FROM s GROUP BY tick"
+)
+def stream_ticks(t):
+    """Snapshot and freshness gate every six hours of the log's time, as messages arrive in four files one after another."""
+    return _arrived(t, t.events, lambda stream, place: live.ticks_available(stream, MAX_AGE, PERIOD, place=place)).drop("batch")
+
+
+@query(
+    f"""WITH {VOXEL} SELECT ix, iy, iz, count(*) AS hits, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, min(z) AS min_z, max(z) AS max_z,
+min(vec_id) AS first_update, max(vec_id) AS last_update FROM c GROUP BY ix, iy, iz"""
+)
+def stream_voxels(t):
+    """Hits, bounds and update times per voxel as points arrive in four files; the map is compacted after every second one."""
+
+    def run(folder, place):
+        vectors = live.read_log(t.spark, folder, "*.parquet", t.embeddings.schema)
+        live.voxels_available(cloud_points(vectors), ORIGIN, 0.2, "vec_id", compact=2, place=place)
+
+    place = _feed(t, t.embeddings, F.pmod("vec_id", F.lit(PARTS)), run)
+    return live.read_voxels(t.spark, place)

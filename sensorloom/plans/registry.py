@@ -31,6 +31,11 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+def components(embeddings: DataFrame, n: int) -> DataFrame:
+    """The first components of vectors as double columns ``e0 …``."""
+    return embeddings.selectExpr("vec_id", "label", *[f"cast(embedding[{i}] as double) as e{i}" for i in range(n)])
+
+
 class Tables:
     """The given tables by name, and the reading of some as sensor data."""
 
@@ -56,9 +61,7 @@ class Tables:
 
     def vectors(self, n: int = 64) -> DataFrame:
         """embeddings with the first components as double columns ``e0 …``."""
-        return self.embeddings.selectExpr(
-            "vec_id", "label", *[f"cast(embedding[{i}] as double) as e{i}" for i in range(n)]
-        )
+        return components(self.embeddings, n)
 
     def edges(self) -> DataFrame:
         """Frame tree map > region > nation > customer."""

@@ -72,6 +72,13 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
+
 def cut_lineage(df):
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)

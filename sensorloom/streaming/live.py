@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sensorloom.operators.cloud import voxels
 from sensorloom.operators.queued import forget, queue_sync
 from sensorloom.operators.series import thin
 from sensorloom.operators.skew import join_hot
-from sensorloom.session import new_path, remove
+from sensorloom.operators.ticks import collapse, newest_per_tick, tick_table
+from sensorloom.session import names_below, new_path, remove
 
 
 def read_log(spark: SparkSession, folder: str, file_glob: str, schema, files_per_trigger: int = 64) -> DataFrame:
@@ -183,3 +186,94 @@ def queue_sync_available(
         remove(spark, f"{place.states}/{batch_id - 2}")
 
     return run_available(stream, name, "append", write, place)
+
+
+def ticks_available(stream: DataFrame, max_age: dict[str, int], period: int, late: int = 0, name: str = "ticks", place: Place | None = None) -> str:
+    """Poll the log every ``period`` of its own time: snapshot and freshness gate per tick (``ticks.tick_table``).
+
+    Polling begins at the first message.  A tick is written once a message more than ``late``
+    newer than it has arrived; what arrives after that shows from the next tick on.  The
+    state is a row per topic, and one per topic and tick that is still open; a repeated
+    micro-batch starts from the state before it.
+    """
+    spark, place = stream.sparkSession, place or Place.new(stream.sparkSession, name)
+
+    def write(batch: DataFrame, batch_id: int, target: str) -> None:
+        newest = newest_per_tick(batch.filter(F.col("topic").isin(list(max_age))), period)
+        closed = reached = None
+        if batch_id > 0:
+            state = spark.read.parquet(f"{place.states}/{batch_id - 1}")
+            closed, reached = state.agg(F.max("closed"), F.max("reached")).first()
+            newest = newest.unionByName(state.drop("closed", "reached"))
+        begin = newest.agg(F.min("tick")).first()[0]
+        stamps = [x for x in (reached, batch.agg(F.max("t")).first()[0]) if x is not None]
+        if begin is None:
+            first, last = 0, -period
+        else:
+            reached = max(stamps)
+            first = begin if closed is None else closed + period
+            last = max((reached - late - 1) // period * period, first - period)
+        tick_table(newest, max_age, first, last, period).write.mode("overwrite").parquet(target)
+        closed = last if begin is not None and last >= first else closed
+        kept = newest if closed is None else newest.withColumn("tick", F.greatest("tick", F.lit(closed)))
+        marks = {"closed": F.lit(closed).cast("bigint"), "reached": F.lit(reached).cast("bigint")}
+        collapse(kept).withColumns(marks).write.mode("overwrite").parquet(f"{place.states}/{batch_id}")
+        remove(spark, f"{place.states}/{batch_id - 2}")
+
+    return run_available(stream, name, "append", write, place)
+
+
+# The voxel map is kept on disk.
+DISK_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def voxels_available(
+    points: DataFrame, origin: tuple, resolution: float, stamp: str = "t", compact: int = 16, name: str = "voxels", place: Place | None = None
+) -> Place:
+    """Keep hits, bounds and update times per voxel as points arrive; ``read_voxels`` reads the map.
+
+    The totals are streaming state; a micro-batch writes the voxels that it touched.  After every
+    ``compact`` micro-batches the map is written whole as a base, and what lies before the base
+    before that is removed, so readers that began earlier keep their files.
+    """
+    spark, place = points.sparkSession, place or Place.new(points.sparkSession, name)
+
+    def write(batch: DataFrame, batch_id: int, target: str) -> None:
+        batch.write.mode("overwrite").parquet(target)
+        if (batch_id + 1) % compact == 0:
+            _voxel_rows(spark, place, batch_id - 1, batch_id).write.mode("overwrite").parquet(f"{place.states}/{batch_id}")
+            before = batch_id - compact
+            remove(spark, f"{place.states}/{before - compact}")
+            for old in range(max(before - compact + 1, 0), before + 1):
+                remove(spark, f"{place.out}/batch={old}")
+
+    former = {k: spark.conf.get(k, None) for k in DISK_STATE}
+    try:
+        for k, v in DISK_STATE.items():
+            spark.conf.set(k, v)
+        run_available(voxels(points, [], origin, resolution, stamp), name, "update", write, place)
+    finally:
+        for k, v in former.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return place
+
+
+def _voxel_rows(spark: SparkSession, place: Place, upto_base: int, upto: int) -> DataFrame:
+    """Newest row per voxel: of the last whole base up to one batch, and of the batches after it up to another."""
+    bases = [int(b) for b in names_below(spark, place.states) if b.isdigit() and int(b) <= upto_base]
+    whole = [b for b in bases if "_SUCCESS" in names_below(spark, f"{place.states}/{b}")]
+    base = max(whole, default=-1)
+    later = [n for n in names_below(spark, place.out) if n.startswith("batch=") and base < int(n[6:]) <= upto]
+    parts = [spark.read.parquet(f"{place.out}/{n}").withColumn("_batch", F.lit(int(n[6:]))) for n in later]
+    if base >= 0:
+        parts.append(spark.read.parquet(f"{place.states}/{base}").withColumn("_batch", F.lit(base)))
+    rows = reduce(DataFrame.unionByName, parts)
+    cell = ["ix", "iy", "iz"]
+    rest = [c for c in rows.columns if c not in (*cell, "_batch")]
+    return rows.groupBy(*cell).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_l")).select(*cell, "_l.*")
+
+
+def read_voxels(spark: SparkSession, place: Place) -> DataFrame:
+    """The voxel map as of the last finished micro-batch."""
+    done = [int(n[6:]) for n in names_below(spark, place.out) if n.startswith("batch=") and "_SUCCESS" in names_below(spark, f"{place.out}/{n}")]
+    return _voxel_rows(spark, place, max(done), max(done))
