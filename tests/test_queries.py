@@ -12,7 +12,7 @@ QUERIES, SQL = queries(), oracle_sql()
 # Queries whose plans use ordered scans.
 SCANNED = """nearest_cutoff stereo_zip approx_sync interp_linear interp_match_topic thin_min_gap monotone_filter path_length rle_keys
 masked_scatter cloud_cap running_history interp_series positional_join first_n stride_sample interp_pose rank_clip depth_percentile
-frame_numbers transform_at stream_thin reindex interp_modes stamp_files export_dataset""".split()
+frame_numbers transform_at stream_thin reindex interp_modes stamp_files export_dataset adaptive_clip stream_ticks""".split()
 
 
 @pytest.fixture(scope="module")

@@ -1,9 +1,12 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom.operators import cloud
 from sensorloom.operators.queued import arrive
+from sensorloom.operators.ticks import newest_per_tick, tick_table
 from sensorloom.streaming import live
 
 SCHEMA = "topic string, seq bigint, t bigint, value double"
@@ -109,3 +112,61 @@ def test_windows(spark, tmp_path):
     out = live.run_available(live.newest_per_window(s, "ts", "10 seconds", "5 seconds", ["topic"], ["value"]), "w", "update")
     got = {(r.start.second, r.value) for r in live.read_updates(spark, out, ["start", "topic"], ["seq", "value"]).collect()}
     assert got == {(0, 2.0), (10, 3.0)}
+
+
+AGES = {"hot": 3, "b": 9, "c": 20, "never": 5}
+
+
+def shown(messages, tick, period):
+    """Row of a tick by brute force: value and stamp per topic, and how many are fresh."""
+    seen = {topic: (t, v) for topic, _, t, v in sorted(messages, key=lambda m: m[1]) if -(-t // period) * period <= tick}
+    fresh = sum(x in seen and tick - seen[x][0] <= age for x, age in AGES.items())
+    return (tick, fresh == len(AGES), fresh, *[part for x in AGES for part in (seen.get(x, (None, None))[1], seen.get(x, (None, None))[0])])
+
+
+@pytest.mark.parametrize("late", [0, 4])
+def test_ticks_over_batches(spark, stream, late):
+    period, want, first, closed = 7, [], None, None
+    for end in (50, 100, 150):
+        arrived = rows()[:end]
+        if first is None:
+            first = min(-(-m[2] // period) * period for m in arrived)
+        tick = first if closed is None else closed + period
+        while tick < max(m[2] for m in arrived) - late:
+            want.append(shown(arrived, tick, period))
+            tick, closed = tick + period, tick
+    got = spark.read.parquet(live.ticks_available(stream, AGES, period, late)).drop("batch")
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == want and len(want) > 20
+
+
+def test_ticks_in_small_blocks(spark, small_blocks):
+    log = spark.createDataFrame(rows(), SCHEMA)
+    got = tick_table(newest_per_tick(log, 3), AGES, 0, 300, 3).orderBy("tick").collect()
+    assert [tuple(r) for r in got] == [shown(rows(), tick, 3) for tick in range(0, 301, 3)]
+    everywhere = tick_table(newest_per_tick(log.filter("topic = 'c'"), 3), {"c": 1000}, 300, 303, 3).collect()
+    assert [r.ready for r in everywhere] == [True, True]
+
+
+def test_ticks_without_messages_of_the_topics(spark, stream):
+    assert spark.read.parquet(live.ticks_available(stream, {"never": 1}, 10)).isEmpty()
+
+
+def test_voxel_map_over_batches(spark, tmp_path):
+    folder, r = str(tmp_path / "points"), random.Random(4)
+    points = [(i, r.random() * 3, r.random() * 2, r.random()) for i in range(300)]
+    schema, place = "t bigint, x double, y double, z double", live.Place.new(spark, "map")
+    for i in range(6):
+        part = spark.createDataFrame(points[50 * i : 50 * (i + 1)], schema)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        # A stream that is started again goes on from its state.
+        feed = live.read_log(spark, folder, "*.parquet", part.schema)
+        live.voxels_available(feed, (0.0, 0.0, 0.0), 0.5, compact=2, place=place)
+        known = spark.createDataFrame(points[: 50 * (i + 1)], schema)
+        want = sorted(map(tuple, cloud.voxels(known, [], (0.0, 0.0, 0.0), 0.5).collect()))
+        assert sorted(map(tuple, live.read_voxels(spark, place).collect())) == want
+    assert live.names_below(spark, place.states) == ["3", "5"]
+    assert [n for n in live.names_below(spark, place.out) if n.startswith("batch=")] == ["batch=4", "batch=5"]
+    # A base that was not finished is not read.
+    (Path(place.states.removeprefix("file:")) / "5" / "_SUCCESS").unlink()
+    assert sorted(map(tuple, live.read_voxels(spark, place).collect())) == want
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").find("RocksDB") < 0
