@@ -123,8 +123,12 @@ c AS (SELECT t, CASE WHEN nt IS NULL THEN ps WHEN pt IS NULL THEN ns
 SELECT row_number() OVER (ORDER BY t) - 1 AS idx, t, match_seq, err FROM c WHERE err <= {60 * SECOND}"""
 )
 def nearest_cutoff(t):
-    """Frames with a message at most one minute away, numbered without gaps."""
-    frames = t.orders.select((F.lit(BASE) + F.col("o_orderkey") * PERIOD).alias("t"))
+    """Frames with a message at most one minute away, numbered without gaps.
+
+    A frame whose stamp lies beyond the 64-bit range is far from every message.
+    """
+    stamp = F.try_add(F.lit(BASE), F.try_multiply(F.col("o_orderkey"), F.lit(PERIOD)))
+    frames = t.orders.select(stamp.alias("t")).filter(F.col("t").isNotNull())
     log = t.log()
     splits = split_points(frames.unionAll(log.select("t")), ["t"])
     found = asof.match_nearest(frames, log, [], cutoff=60 * SECOND, splits=splits)

@@ -171,3 +171,18 @@ def test_interpolation_by_type(spark):
 def test_export_needs_messages_of_every_type(spark, tmp_path):
     with pytest.raises(ValueError):
         export({}, [{"name": "a", "topic": "a", "type": "Imu"}], 1, 1, str(tmp_path))
+
+
+def test_frames_beyond_the_range_of_stamps_match_nothing(spark, tmp_path):
+    """Keys of copies shifted by a million million: the stamp of such a frame would need more than 64 bits."""
+    from sensorloom.plans.sync_queries import BASE, PERIOD, nearest_cutoff
+    from sensorloom.plans.registry import Tables
+
+    spark.createDataFrame([(0,), (2,), (10**12,), (-(10**12),), (None,)], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    events = spark.createDataFrame(
+        [(7, BASE + 5, 1, "view", 0.0, "{}"), (8, BASE + 2 * PERIOD - 4, 1, "view", 0.0, "{}")],
+        "event_id bigint, t bigint, user_id bigint, event_type string, value double, props string",
+    )
+    events.withColumn("ts", F.timestamp_micros("t").cast("timestamp_ntz")).drop("t").write.parquet(f"{tmp_path}/events.parquet")
+    got = [tuple(r) for r in nearest_cutoff(Tables(spark, str(tmp_path))).select("idx", "t", "match_seq", "err").sort("idx").collect()]
+    assert got == [(0, BASE, 7, 5), (1, BASE + 2 * PERIOD, 8, 4)]
