@@ -6,7 +6,7 @@ import operator
 
 from pyspark.sql import functions as F
 
-from sensorloom.functions.geometry import euler_quaternion, matrix_position, matrix_quaternion
+from sensorloom.functions.geometry import euler_quaternion, matrix_position, matrix_quaternion, pose_matrix
 from sensorloom.operators import asof, lifting, sync, tree
 from sensorloom.operators.ordered import Scan, running
 from sensorloom.plans.export import synchronise
@@ -153,7 +153,7 @@ def _chains(t):
     yaw, zero = (F.col("seq") % 7 - 3) * 0.01, F.lit(0.0)
     q = euler_quaternion(zero, zero, yaw)
     return before.select(
-        F.col("seq").cast("string").alias("child"), F.coalesce(F.col("prev").cast("string"), F.lit("map")).alias("parent"),
+        "seq", F.col("seq").cast("string").alias("child"), F.coalesce(F.col("prev").cast("string"), F.lit("map")).alias("parent"),
         (F.col("seq") % 5).cast("double").alias("x"), (F.col("seq") % 3 - 1).cast("double").alias("y"), F.lit(0.25).alias("z"),
         *[c.alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))],
     )
@@ -172,12 +172,12 @@ SELECT CAST(s1 AS VARCHAR) AS f1, CAST(s2 AS VARCHAR) AS f2, CASE WHEN same THEN
 )
 def chain_ancestor(t):
     """Lowest common ancestor of neighbouring messages in chains as deep as a topic has messages, and the edges between."""
-    edges = _chains(t).select("child", "parent", F.lit(1).cast("bigint").alias("hops"))
+    edges = cut_lineage(_chains(t).select("child", "parent", F.lit(1).cast("bigint").alias("hops"), "seq"))
     seq = t.log().select("seq")
     pairs = seq.join(seq.select((F.col("seq") - 1).alias("seq")), "seq").select(
         F.col("seq").cast("string").alias("f1"), (F.col("seq") + 1).cast("string").alias("f2")
     )
-    return lifting.common_ancestor(pairs, lifting.ancestors(edges, {"hops": operator.add}))
+    return lifting.common_ancestor(pairs, lifting.ancestors(edges, {"hops": operator.add}, order=["seq"]))
 
 
 @query(
@@ -188,8 +188,9 @@ SELECT CAST(seq AS VARCHAR) AS node, CAST(depth - 1 AS INTEGER) AS depth,
 )
 def chain_pose(t):
     """Pose of every message's frame in the map, along chains as deep as a topic has messages."""
-    chains = _chains(t)
-    table = lifting.ancestors(tree.static_edges(chains, tree.static_matrices(chains)), lifting.PRODUCT)
+    pose = [F.col(c) for c in ("x", "y", "z", "qx", "qy", "qz", "qw")]
+    edges = _chains(t).select("child", "parent", "seq", pose_matrix(*pose).alias("matrix"))
+    table = lifting.ancestors(edges, lifting.PRODUCT, order=["seq"])
     x, y, z = matrix_position(F.col("matrix"))
     cells = {"x": F.round(x, 3), "y": F.round(y, 3), "z": F.round(z, 3), "m00": F.round(F.get("matrix", F.lit(0)), 6)}
     return table.tops.select("node", (F.col("steps") - 1).cast("int").alias("depth"), *[(c + 0.0).alias(n) for n, c in cells.items()])

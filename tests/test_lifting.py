@@ -115,3 +115,42 @@ def test_products_match_numpy_and_stop_at_missing_matrices(spark):
         n_paths += 1
         assert np.allclose(np.array(got[(a, b)]).reshape(4, 4), m)
     assert n_paths > 50
+
+
+def in_order(spark, rows, kinds):
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"{kinds}, pos int").repartition(3)
+
+
+@pytest.mark.parametrize("block_rows, seed", [(9, 2), (1000, 3)])
+def test_paths_followed_in_blocks_give_the_same_table(spark, block_rows, seed):
+    """Blocks that hold some frames, and all; a tenth of the frames lies far from its parent, some values are null."""
+    rng = random.Random(seed)
+    edges = [(c, p if rng.random() < 0.9 else f"n{rng.randrange(int(c[1:]))}") for c, p in random_forest(120, seed)]
+    edges += [("p", "q"), ("q", "r"), ("r", "p"), ("t", "p"), ("z", "z"), ("w", "z"), ("v", "w"), ("a", None), (None, "b")]
+    rng.shuffle(edges)
+    rows = [(c, p, rng.randint(1, 9) if rng.random() < 0.95 else None, rng.choice([1.5, 2.0, None])) for c, p in edges]
+    table = in_order(spark, rows, "child string, parent string, cost int, low double")
+    folds = {"cost": operator.add, "low": F.greatest}
+    plain, blocks = lifting.ancestors(table, folds), lifting.ancestors(table, folds, ["pos"], block_rows)
+    assert sorted(map(tuple, blocks.tops.select(plain.tops.columns).collect()), key=str) == sorted(map(tuple, plain.tops.collect()), key=str)
+    names = sorted({x for e in edges for x in e if x} | {"unknown"})
+    asked = spark.createDataFrame([(rng.choice(names), rng.choice(names)) for _ in range(300)], "f1 string, f2 string")
+    got = [sorted(map(tuple, lifting.common_ancestor(asked, x).collect()), key=str) for x in (plain, blocks)]
+    assert got[0] == got[1] and len(got[0]) > 250
+    assert len(blocks.levels) == blocks.tops.agg(F.max("steps")).first()[0].bit_length()
+
+
+def test_long_chain_in_order_takes_no_level_and_few_rounds(spark, monkeypatch):
+    """Only parents in other blocks are doubled, and neighbours need no jump of more than one edge."""
+    n, stored = 300_000, []
+    monkeypatch.setattr(lifting, "_stored", lambda state, jump, real=lifting._stored: stored.append(real(state, jump)) or stored[-1])
+    edges = spark.range(n).select(
+        F.concat(F.lit("n"), F.col("id") + 1).alias("child"), F.concat(F.lit("n"), "id").alias("parent"), F.lit(1).cast("bigint").alias("hops"), "id"
+    )
+    table = lifting.ancestors(edges, {"hops": operator.add}, order=["id"])
+    assert table.tops.filter(F.col("steps") != F.expr("cast(substr(node, 2) as bigint)")).count() == 0
+    assert all(state.count() <= 20 for state, _, _ in stored) and len(stored) <= 6
+    asked = [("n300000", "n299999"), ("n5", "n6"), ("n0", "n7")]
+    got = {(r.f1, r.f2): (r.lca, r.lca_depth, r.hops) for r in lifting.common_ancestor(spark.createDataFrame(asked, "f1 string, f2 string"), table).collect()}
+    assert got == {asked[0]: ("n299999", 299999, 1), asked[1]: ("n5", 5, 1), asked[2]: ("n0", 0, 7)}
+    assert len(table.built) == 1
