@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensorloom.functions.geometry import CAMERA_TO_NED, chain, pose_matrix, rigid_inverse
+from sensorloom.functions.geometry import CAMERA_TO_NED, pose_matrix
 from sensorloom.operators.asof import with_single
-from sensorloom.operators.interp import interpolate
+from sensorloom.operators.legs import around, compose, hot_frames, pair_legs
 from sensorloom.operators.lifting import BOUNDS, PRODUCT, ancestors, common_ancestor, relate
-from sensorloom.operators.ordered import split_points
 from sensorloom.operators.skew import join_hot
 from sensorloom.session import cut_lineage
 
@@ -173,21 +172,6 @@ def path_steps(branches: DataFrame, key: list[str]) -> DataFrame:
     return branches.select(*key, F.posexplode_outer(hops).alias("pos", "hop")).select(*key, "pos", "hop.frame", "hop.up")
 
 
-def compose_steps(steps: DataFrame, key: list[str]) -> DataFrame:
-    """Product of the ``matrix`` of every step per key, null when a step lacks one, and whether it is ``known``.
-
-    Edges on the way up count inversely.  At most one tree branch per side is gathered.
-    """
-    m = F.when(F.col("up"), rigid_inverse(F.col("matrix"))).otherwise(F.col("matrix"))
-    ordered = steps.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("matrix").isNotNull(), F.struct("pos", m.alias("m"))))).alias("_m"),
-        F.count("pos").alias("_hops"),
-    )
-    matrix = chain(F.transform("_m", lambda s: s.getField("m")))
-    known = F.size("_m") == F.col("_hops")
-    return ordered.select(*key, known.alias("known"), F.when(known, matrix).alias("matrix"))
-
-
 def chain_transform(pairs: DataFrame, edges: DataFrame, statics: DataFrame) -> DataFrame:
     """Pairs with the matrix from ``f1`` to ``f2`` over static edges, null where there is no such path."""
     return relate(pairs, ancestors(static_edges(edges, statics), PRODUCT))
@@ -280,20 +264,17 @@ def transform_at(queries: DataFrame, paths: DataFrame, samples: DataFrame, stati
     """Matrix from ``f1`` to ``f2`` at stamp ``t`` for every query row.
 
     ``samples`` holds stamped poses per dynamic ``frame``, ``statics`` a matrix per static
-    one.  Paths are resolved once per pair of frames and all stamps are interpolated in bulk.
+    one.  Paths are resolved and their static edges multiplied once per pair of frames; all stamps are interpolated in bulk.
     Null where a frame is unconnected or has no pose within ``tol``; filter such rows by ``known``, which costs no product.
     """
-    branches = cut_lineage(branch_paths(queries.select("f1", "f2").distinct(), paths))
-    connected = branches.filter(F.col("up").isNotNull())
-    asked = join_hot(queries.select("f1", "f2", "t").distinct(), connected, ["f1", "f2"], ["t"], "inner")
-    steps = path_steps(asked, ["f1", "f2", "t"])
-    wanted = steps.filter(F.col("frame").isNotNull()).select("frame", "t").distinct()
-    moving_only = wanted.join(statics.select("frame"), "frame", "left_anti")
-    xyz, quat = ["x", "y", "z"], ["qx", "qy", "qz", "qw"]
-    splits = split_points(queries.select("t").unionAll(samples.select("t")), ["t"])
-    moving = interpolate(moving_only, samples, ["frame"], xyz, tol, quat, splits=splits).filter(F.col("x").isNotNull())
-    moving = moving.select("frame", "t", pose_matrix(*[F.col(c) for c in (*xyz, *quat)]).alias("_moving"))
-    fixed = statics.select("frame", F.col("matrix").alias("_fixed"))
-    placed = join_hot(steps, fixed, ["frame"], ["t", "f1", "f2"]).join(moving, ["frame", "t"], "left")
-    product = compose_steps(placed.withColumn("matrix", F.coalesce("_fixed", "_moving")), ["f1", "f2", "t"])
+    asked = queries.select("f1", "f2", "t").filter(F.col("t").isNotNull())
+    branches = branch_paths(asked.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("_n")), paths)
+    steps = path_steps(branches.filter(F.col("up").isNotNull()), ["f1", "f2", "_n"])
+    legs = cut_lineage(pair_legs(steps, statics))
+    hot = hot_frames(legs, samples)
+    wanted = join_hot(asked.distinct(), legs.drop("_n"), ["f1", "f2"], ["t"], "inner")
+    placed, still = around(wanted.filter(F.col("frame").isNotNull()), samples, hot, asked.select("t")), F.col("frame").isNull()
+    if not legs.filter(still).isEmpty():
+        placed = placed.unionByName(wanted.filter(still), allowMissingColumns=True)
+    product = compose(placed, tol)
     return queries.join(product, ["f1", "f2", "t"], "left")

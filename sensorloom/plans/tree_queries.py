@@ -362,7 +362,7 @@ def _sensor_transforms(t):
     fixed = tree.static_matrices(
         groups.select("child", "x", zero.alias("y"), one.alias("z"), zero.alias("qx"), zero.alias("qy"), zero.alias("qz"), one.alias("qw"))
     )
-    asked = log.select(_user(F.col("run")).alias("f1"), _user(F.col("run") + 1).alias("f2"), "t", "seq")
+    asked = log.select(_user(F.col("run")).alias("f1"), _user(F.col("run") + 1).alias("f2"), "t", "seq", "value")
     paths = tree.root_paths(_sensor_edges(t))
     return tree.transform_at(asked, paths, samples, fixed, HALF_SECOND)
 
@@ -395,8 +395,8 @@ SELECT seq, value AS odom_x, round((nrun % 10 + x2) - (run % 10 + value), 6) + 0
 )
 def pose_lookup(t):
     """Odometry of each message with the camera pose at its stamp, null if unknown."""
-    out = _sensor_transforms(t).join(t.log().select("seq", F.col("value").alias("odom_x")), "seq")
+    out = _sensor_transforms(t)
     x = matrix_position(F.col("matrix"))[0]
     return out.select(
-        "seq", "odom_x", (F.round(x, 6) + 0.0).alias("cam_x"), F.round(matrix_quaternion(F.col("matrix"))[3], 6).alias("cam_qw")
+        "seq", F.col("value").alias("odom_x"), (F.round(x, 6) + 0.0).alias("cam_x"), F.round(matrix_quaternion(F.col("matrix"))[3], 6).alias("cam_qw")
     )
