@@ -2,21 +2,22 @@
 
 A byte-level BPE never joins pieces across a lone blank or line feed that stands between two
 other characters, nor across the border of a word and a final punctuation mark.  A text is cut
-there, every piece is encoded once, and its ids come from a bounded cache afterwards.  Texts
-with other white space at a cut, or with a special token's string, are encoded as a whole.
+there, every piece is encoded once, all new ones of a text in one go, and its ids come from a
+bounded cache afterwards.  Texts with other white space at a cut, or with a special token's
+string, are encoded as a whole.
 The tests hold both ways against each other.
 """
 
 from __future__ import annotations
 
 import os
-from struct import pack
+from collections.abc import Iterable
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 MARKS = ".,;:!?"
 
 
@@ -49,38 +50,51 @@ class Encoder:
         self.entries = entries
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.marks = {m: self.whole(m) for m in MARKS + "\n"}
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.marks = {m: self.whole(m) for m in MARKS}
+        # Ids whose token begins with a blank or a line feed.
+        spaces = tuple(_byte_letters()[b] for b in b" \n")
+        vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary_ids.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary_ids.items() if token.startswith(spaces)]] = True
 
     def whole(self, text: str) -> bytes:
         return _ids(self.tokenizer.encode(text, add_special_tokens=False))
 
-    def _word(self, text: str) -> bytes:
-        """Ids of letters with at most one blank before them, which are one unit of the merges."""
-        found = self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))
-        return pack(f"<{len(found)}I", *[t.id for t in found])
-
-    def _piece(self, piece: str) -> bytes:
-        feed = piece[0] == "\n"
-        body = piece[1:] if feed else piece
-        if not body.isalpha():
-            return self.whole(piece if feed else " " + piece)
-        return self.marks["\n"] + self._word(body) if feed else self._word(" " + body)
-
-    def _learn(self, piece: str) -> bytes:
-        """Ids of a piece that is not at hand; raises ``KeyError`` where it can't stand alone."""
-        ids = self.old.get(piece)
-        if ids is None:
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Keep the ids of pieces that are not at hand; raises ``KeyError`` where one can't stand alone.
+
+        New pieces, without a final mark, are encoded as one text.  They have white space at their start only, so
+        the ids of each begin at one that stands for it.
+        """
+        new, marked = {}, []
+        for piece in pieces:
+            ids = self.old.get(piece)
+            if ids is not None:
+                self.young[piece] = ids
+                continue
             body = piece[1:] if piece[:1] == "\n" else piece
             if not body or body.split() != [body]:
                 raise KeyError(piece)
-            if len(body) > 1 and body[-1] in MARKS and body[-2].isalpha():
-                word = piece[:-1]
-                ids = (self.young.get(word) or self._learn(word)) + self.marks[body[-1]]
-            else:
-                ids = self._piece(piece)
-        self.young[piece] = ids
-        return ids
+            if body[-1] in MARKS and body[-2:-1].isalpha():
+                marked.append(piece)
+                piece = piece[:-1]
+                if piece in self.young:
+                    continue
+                ids = self.old.get(piece)
+                if ids is not None:
+                    self.young[piece] = ids
+                    continue
+            new[piece] = None
+        if new:
+            joined = "".join([p if p[0] == "\n" else " " + p for p in new])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), len(ids) * 4]
+            if len(ends) != len(new) + 1 or ends[0]:
+                raise KeyError("pieces and white space differ in number")
+            ids = ids.tobytes()
+            self.young.update(zip(new, [ids[a:b] for a, b in zip(ends, ends[1:])]))
+        for piece in marked:
+            self.young[piece] = self.young[piece[:-1]] + self.marks[piece[-1]]
 
     def text(self, text: str | None) -> bytes:
         """Ids of a text; a null text counts as empty."""
@@ -95,7 +109,8 @@ class Encoder:
                 raise KeyError
             found = list(map(self.young.get, pieces))
             if None in found:
-                found = [ids or self._learn(piece) for ids, piece in zip(found, pieces)]
+                self._learn(dict.fromkeys(piece for ids, piece in zip(found, pieces) if ids is None))
+                found = list(map(self.young.get, pieces))
             return (self.whole(head) if head else b"") + b"".join(found)
         except KeyError:
             return self.whole(text)

@@ -28,6 +28,26 @@ def test_encoder_matches_library(text):
     assert np.frombuffer(FAST.text(text), "<u4").tolist() == ids_of(text)[:-1]
 
 
+class Counted:
+    """A tokenizer that counts what is asked of it."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, 0
+
+    def __getattr__(self, name):
+        self.calls += 1
+        return getattr(self.inner, name)
+
+
+def test_new_pieces_of_a_text_are_encoded_in_one_go():
+    fast = Encoder(default_vocabulary())
+    fast.tokenizer = Counted(fast.tokenizer)
+    text = "start " + " ".join(f"w{i}x w{i}x, word{chr(97 + i % 26)};\nq{i}'s {i}. é{i}²" for i in range(50)) * 3
+    assert np.frombuffer(fast.text(text), "<u4").tolist() == ids_of(text)[:-1]
+    assert fast.tokenizer.calls <= 2
+    assert np.frombuffer(fast.text(text), "<u4").tolist() == ids_of(text)[:-1] and fast.tokenizer.calls <= 3
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5000), min_size=1, max_size=300))
 def test_elias_fano(values):
