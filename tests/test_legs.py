@@ -61,3 +61,15 @@ def test_hot_frames_and_nulls(spark, paths, statics):
     assert x[5] == [round(20 + 1 + 0.28 * 25, 9), round(3 + 3 + 0.96 * 25, 9)]
     assert plain[6] == (False, None) and plain[92] == (False, None) and plain[94] == (None, None) == plain[95]
     assert np.allclose(plain[91][1], np.eye(4).ravel()) and x[90] == [0.0, 1.0] and x[93] == [None, None]
+
+
+def test_paths_across_batches(spark):
+    pose = "struct<t:bigint,x:double,y:double,z:double,qx:double,qy:double,qz:double,qw:double>"
+    rows = [("r", "f", t, k, False, f"n{k}", False, None, (t, 1.0, float(k), 0.0, *UNIT), None) for t in range(9) for k in range(t + 1)]
+    given = spark.createDataFrame(rows, f"f1 string, f2 string, t bigint, leg bigint, lacks boolean, frame string, up boolean, fixed array<double>, prev {pose}, next {pose}")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {r.t: (r.known, r.matrix[3], r.matrix[7]) for r in legs.compose(given, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {t: (True, t + 1.0, t * (t + 1) / 2) for t in range(9)}
