@@ -2,8 +2,8 @@
 
 A document is a bag of words, each weighted by how often it occurs.  For every sample ``i`` a
 term has two Gamma(2, 1) numbers ``r`` and ``c`` and a uniform ``b``, all drawn from a hash of the
-term; with weight ``w`` it gets ``t = floor(ln w / r + b)`` and ``ln a = ln c - r (t - b + 1)``.
-The sample is the ``(term, t)`` with the smallest ``a``.  Two documents agree in a sample with a
+term; with weight ``w`` it gets ``t = floor(ln w / r + b)`` and ``a = c exp(-r (t - b + 1))``.
+The sample is the ``(term, t)`` with the smallest ``a``, which is known by that ``a``.  Two documents agree in a sample with a
 probability equal to their generalised Jaccard similarity, the sum of the smaller weights over
 the sum of the larger.
 
@@ -25,22 +25,23 @@ LANE = 8
 TASKS = 4
 
 
-def _uniform(term: Column, sample: Column, number: int) -> Column:
-    """A number in (0, 1) that depends on the term, the sample and its own number."""
-    bits = F.shiftrightunsigned(F.xxhash64(term, sample, F.lit(number)), 12)
-    return (bits.cast("double") + F.lit(0.5)) * F.lit(2.0**-52)
+def _gamma(bits: Column) -> Column:
+    """A Gamma(2, 1) number: the negative logarithm of a product of two uniform ones, of 32 bits each."""
+    high, low = F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit(0xFFFFFFFF))
+    return -F.ln((high.cast("double") + F.lit(0.5)) * (low.cast("double") + F.lit(0.5)) * F.lit(2.0**-64))
 
 
-def sample_of(term: Column, log_weight: Column, sample: Column) -> Column:
-    """One long per sample: the order of ``ln a`` above, a hash of (term, t) below; its minimum is the sample."""
-    r = -F.ln(_uniform(term, sample, 1) * _uniform(term, sample, 2))
-    log_c = F.ln(-F.ln(_uniform(term, sample, 3) * _uniform(term, sample, 4)))
-    b = _uniform(term, sample, 5)
+def sample_of(key: Column, log_weight: Column, number: int) -> Column:
+    """The number ``a`` above, for sample ``number`` of a lane; the smallest one is the sample and stands for its ``(term, t)``.
+
+    ``key`` is a hash of the term and the lane, of which three more give all draws.
+    """
+    draws = [((3 * number + i + 1) * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for i in range(3)]
+    bits = [F.xxhash64(key.bitwiseXOR(F.lit(d))) for d in draws]
+    r, c = _gamma(bits[0]), _gamma(bits[1])
+    b = (F.shiftrightunsigned(bits[2], 12).cast("double") + F.lit(0.5)) * F.lit(2.0**-52)
     t = F.floor(log_weight / r + b)
-    log_a = log_c - r * (t - b + F.lit(1.0))
-    # ln a lies within a few hundred of zero; 32 bits of it leave ties to the hash.
-    order = F.floor(F.greatest(F.lit(-1024.0), F.least(F.lit(1023.0), log_a)) * F.lit(float(1 << 21))).cast("long")
-    return F.shiftleft(order, 32).bitwiseOR(F.xxhash64(term, t, sample).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return c * F.exp(r * (b - F.lit(1.0) - t))
 
 
 def _terms(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,20 +51,21 @@ def _terms(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """Samples of every text: rows ``block, item, signature`` (an array of ``SAMPLES`` longs) from ``block, item, text``.
+    """Samples of every text: rows ``block, item, signature`` (``SAMPLES`` numbers of 32 bits) from ``block, item, text``.
 
     ``texts`` should already be dealt by ``block``; nothing is shuffled then.  Texts without words
     have no row.
     """
     shared = _terms(texts, ["block", "item"]).groupBy("block", "term", "weight").agg(F.collect_list("item").alias("items"))
     lanes = shared.withColumn("log_weight", F.ln("weight")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // LANE - 1))))
+    keyed = lanes.select("block", "items", "lane", "log_weight", F.xxhash64("term", "lane").alias("key"))
     numbers = [f"s{j}" for j in range(LANE)]
-    drawn = lanes.select("block", "items", "lane", *[sample_of(F.col("term"), F.col("log_weight"), F.col("lane") * LANE + j).alias(n) for j, n in enumerate(numbers)])
+    drawn = keyed.select("block", "items", "lane", *[sample_of(F.col("key"), F.col("log_weight"), j).alias(n) for j, n in enumerate(numbers)])
     rows = drawn.select("block", "lane", F.explode("items").alias("item"), *numbers)
     least = rows.groupBy("block", "item", "lane").agg(*[F.min(n).alias(n) for n in numbers])
-    lists = least.groupBy("block", "item").agg(F.array_sort(F.collect_list(F.struct("lane", F.array(*numbers).alias("v")))).alias("lanes"))
-    low = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))
-    return lists.select("block", "item", F.transform(F.flatten("lanes.v"), low).alias("signature"))
+    digits = F.array(*[F.xxhash64(n).bitwiseAND(F.lit(0xFFFFFFFF)) for n in numbers])
+    lists = least.groupBy("block", "item").agg(F.array_sort(F.collect_list(F.struct("lane", digits.alias("v")))).alias("lanes"))
+    return lists.select("block", "item", F.flatten("lanes.v").alias("signature"))
 
 
 def as_text(signature: Column) -> Column:

@@ -178,3 +178,23 @@ def test_weighted_sampling(documents):
     assert found == Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got)
     assert np.sqrt(np.mean(np.square(wrong))) < 0.07 and abs(np.mean(wrong)) < 0.02
     assert weighted.fingerprint_with_edits(documents([])).count() == 0
+
+
+def test_weighted_draws(spark):
+    """A term is the sample as often as its weight says; a draw takes three hashes and two logarithms."""
+    bags = spark.range(20_000).select("id", F.explode(F.array(F.lit(1), F.lit(3), F.lit(6))).alias("weight"))
+    drawn = bags.select("id", "weight", weighted.sample_of(F.xxhash64("id", "weight"), F.ln("weight"), 5).alias("a"))
+    first = drawn.groupBy("id").agg(F.min_by("weight", "a").alias("weight")).groupBy("weight").count().collect()
+    assert all(abs(r["count"] / 20_000 - r["weight"] / 10) < 0.015 for r in first) and len(first) == 3
+    plan = spark.range(1).select("id", F.ln("id").alias("w")).select(weighted.sample_of(F.col("id"), F.col("w"), 5).alias("a"))._jdf.queryExecution().analyzed().toString().split("\n")[0]
+
+    def calls(name):
+        found = set()
+        for m in re.finditer(rf"\b{name}\(", plan):
+            depth, end = 1, m.end()
+            while depth:
+                depth, end = depth + {"(": 1, ")": -1}.get(plan[end], 0), end + 1
+            found.add(plan[m.start() : end])
+        return len(found)
+
+    assert calls("xxhash64") == 3 and calls("ln") == 2
