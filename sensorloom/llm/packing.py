@@ -132,8 +132,9 @@ def encode_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int
             return out
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.text(text.as_py()) + end
+            texts = (t.as_py() for t in batch.column(1))
+            for name, ids in zip(batch.column(0).to_pylist(), tokens.texts(texts)):
+                ids += end
                 for a in range(0, len(ids), step):
                     piece = ids[a : a + step]
                     n = len(piece) // 4

@@ -111,8 +111,9 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], COLUMNS)
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.text(text.as_py()) + end
+            texts = (t.as_py() for t in batch.column(1))
+            for name, ids in zip(batch.column(0).to_pylist(), tokens.texts(texts)):
+                ids += end
                 names.append(name)
                 held.append(ids)
                 ends.append((ends[-1] if ends else 0) + len(ids) // 4)

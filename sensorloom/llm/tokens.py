@@ -2,8 +2,8 @@
 
 A byte-level BPE never joins pieces across a lone blank or line feed that stands between two
 other characters, nor across the border of a word and a final punctuation mark.  A text is cut
-there, every piece is encoded once, all new ones of a text in one go, and its ids come from a
-bounded cache afterwards.  Texts with other white space at a cut, or with a special token's
+there, every piece is encoded once, all new ones of a group of texts in one go, and its ids come
+from a bounded cache afterwards.  Texts with other white space at a cut, or with a special token's
 string, are encoded as a whole.
 The tests hold both ways against each other.
 """
@@ -11,14 +11,20 @@ The tests hold both ways against each other.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_ENTRIES = 600_000
-MARKS = ".,;:!?"
+CACHE_ENTRIES = 300_000
+MARKS = tuple(".,;:!?")
+# Characters of texts that are encoded together.
+GROUP = 1 << 21
+# Below it are Latin letters alone, on which all versions of Unicode agree.
+LETTERS_END = 0x250
 
 
 def default_vocabulary() -> str:
@@ -39,6 +45,23 @@ def _ids(encoding) -> bytes:
     return np.array(encoding.ids, "<u4").tobytes()
 
 
+def _letters(tokenizer, vocabulary: str):
+    """The same model for pieces of letters alone, which the pattern of a byte-level vocabulary leaves whole: cut at blanks.
+
+    Pieces come to it once each, so it keeps no cache.  None where the vocabulary cuts by another rule.
+    """
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    cut = tokenizer.pre_tokenizer
+    if tokenizer.normalizer is not None or not isinstance(cut, ByteLevel) or not cut.use_regex or cut.add_prefix_space:
+        return None
+    letters = Tokenizer.from_file(vocabulary)
+    letters.pre_tokenizer = Sequence([Split(" ", "merged_with_next"), ByteLevel(add_prefix_space=False, use_regex=False)])
+    letters.model._resize_cache(0)
+    return letters
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -51,6 +74,7 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.marks = {m: self.whole(m) for m in MARKS}
+        self.letters = _letters(self.tokenizer, vocabulary)
         # Ids whose token begins with a blank or a line feed.
         spaces = tuple(_byte_letters()[b] for b in b" \n")
         vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -61,59 +85,96 @@ class Encoder:
         return _ids(self.tokenizer.encode(text, add_special_tokens=False))
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        """Keep the ids of pieces that are not at hand; raises ``KeyError`` where one can't stand alone.
+        """Keep the ids of pieces that are not at hand, but for those that can't stand alone.
 
         New pieces, without a final mark, are encoded as one text.  They have white space at their start only, so
         the ids of each begin at one that stands for it.
         """
+        young, old = self.young, self.old
         new, marked = {}, []
         for piece in pieces:
-            ids = self.old.get(piece)
+            ids = old.get(piece)
             if ids is not None:
-                self.young[piece] = ids
+                young[piece] = ids
                 continue
-            body = piece[1:] if piece[:1] == "\n" else piece
-            if not body or body.split() != [body]:
-                raise KeyError(piece)
-            if body[-1] in MARKS and body[-2:-1].isalpha():
+            if piece[-1:] in MARKS and piece[-2:-1].isalpha():
                 marked.append(piece)
                 piece = piece[:-1]
-                if piece in self.young:
+                if piece in young:
                     continue
-                ids = self.old.get(piece)
+                ids = old.get(piece)
                 if ids is not None:
-                    self.young[piece] = ids
+                    young[piece] = ids
                     continue
             new[piece] = None
-        if new:
-            joined = "".join([p if p[0] == "\n" else " " + p for p in new])
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), len(ids) * 4]
-            if len(ends) != len(new) + 1 or ends[0]:
-                raise KeyError("pieces and white space differ in number")
-            ids = ids.tobytes()
-            self.young.update(zip(new, [ids[a:b] for a, b in zip(ends, ends[1:])]))
+        plain = [p for p in new if p.isalpha()] if self.letters else []
+        joined = " ".join(plain)
+        if not joined.isascii() and np.frombuffer(joined.encode("utf-32-le"), "<u4").max() >= LETTERS_END:
+            plain = [p for p in plain if max(p) < chr(LETTERS_END)]
+        if plain:
+            self._split(self.letters, plain)
+        if len(plain) < len(new):
+            rest = [p for p in new if p not in young]
+            bodies = [p[1:] if p[:1] == "\n" else p for p in rest]
+            if " ".join(bodies).split() != bodies:
+                rest = [p for p, body in zip(rest, bodies) if body.split() == [body]]
+            self._split(self.tokenizer, rest)
         for piece in marked:
-            self.young[piece] = self.young[piece[:-1]] + self.marks[piece[-1]]
-
-    def text(self, text: str | None) -> bytes:
-        """Ids of a text; a null text counts as empty."""
-        if not text:
-            return b""
+            if (ids := young.get(piece[:-1])) is not None:
+                young[piece] = ids + self.marks[piece[-1]]
+
+    def _split(self, tokenizer, pieces: list[str]) -> None:
+        """Encode pieces as one text and keep the ids of each, unless pieces and white space differ in number."""
+        joined = "".join([p if p[0] == "\n" else " " + p for p in pieces])
+        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), len(ids) * 4]
+        if len(ends) == len(pieces) + 1 and not ends[0]:
+            ids = ids.tobytes()
+            self.young.update(zip(pieces, [ids[a:b] for a, b in zip(ends, ends[1:])]))
+
+    def texts(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of texts, in their order; those of a group are looked up, and their new pieces encoded, in one go."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= GROUP or len(group) >= GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        if group:
+            yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
         # A piece starts with its line feed, or stands for one with a blank before it; only the first has neither.
-        head, *pieces = (" " + text.replace("\n", " \n")).split(" ")[1:]
-        try:
-            if head.split() != [head] * bool(head) or any(s in text for s in self.special):
-                raise KeyError
-            found = list(map(self.young.get, pieces))
-            if None in found:
-                self._learn(dict.fromkeys(piece for ids, piece in zip(found, pieces) if ids is None))
-                found = list(map(self.young.get, pieces))
-            return (self.whole(head) if head else b"") + b"".join(found)
-        except KeyError:
-            return self.whole(text)
+        parts = pc.split_pattern(pa.array([text.replace("\n", " \n") for text in texts], pa.large_string()), " ")
+        first, parts = parts.offsets.to_numpy()[:-1], parts.flatten()
+        heads, others = parts.take(pa.array(first)).to_pylist(), np.ones(len(parts), bool)
+        others[first] = False
+        pieces = parts.filter(pa.array(others)).dictionary_encode()
+        # Looked up once per different piece.
+        names = pieces.dictionary.to_pylist()
+        known = list(map(self.young.get, names))
+        if None in known:
+            self._learn([name for name, ids in zip(names, known) if ids is None])
+            known = list(map(self.young.get, names))
+        found = pa.array(known, pa.large_binary()).take(pieces.indices)
+        ids, starts = found.buffers()[2], np.frombuffer(found.buffers()[1], "<i8")
+        ids = memoryview(ids) if ids else b""
+        ends = np.append(first, len(parts)) - np.arange(len(texts) + 1)
+        lost = np.append(0, np.cumsum(found.is_null().to_numpy(zero_copy_only=False)))[ends]
+        out = []
+        for text, head, a, b, odd in zip(texts, heads, starts[ends[:-1]].tolist(), starts[ends[1:]].tolist(), (np.diff(lost) > 0).tolist()):
+            if odd or head.split() != [head] * bool(head) or any(s in text for s in self.special):
+                out.append(self.whole(text))
+            else:
+                out.append((self.whole(head) if head else b"") + ids[a:b])
+        return out
+
+    def text(self, text: str | None) -> bytes:
+        """Ids of a text; a null text counts as empty."""
+        return self._group([text or ""])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}

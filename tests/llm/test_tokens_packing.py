@@ -124,3 +124,21 @@ def test_pack(documents, rows):
     by_sequence = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packed}
     for r in got:
         assert zlib.crc32(by_sequence[r.sequence_id][r.offset : r.offset + r.length].tobytes()) == r.ids_crc32
+
+
+def test_groups_of_texts(monkeypatch):
+    """New pieces of many texts are encoded in at most two goes, and odd texts of a group don't change the others."""
+    from sensorloom.llm import tokens
+
+    odd = ["a  b", "\tx", "x　y", "ʼn ɐb", "don't go", "été, Zoë.", "12 a1", "é ́", "\r\n", "a\n\nb", "<|endoftext|> x", None, ""]
+    fresh = Encoder(default_vocabulary(), entries=50)
+    want = [FAST.whole(t or "") for t in odd]
+    assert list(fresh.texts(odd)) == want and [fresh.text(t) for t in odd] == want and not list(fresh.texts([]))
+    monkeypatch.setattr(tokens, "GROUP", 30)
+    assert list(fresh.texts(odd * 5)) == want * 5
+    monkeypatch.undo()
+    calls = []
+    split = fresh._split
+    monkeypatch.setattr(fresh, "_split", lambda tokenizer, pieces: (calls.append(len(pieces)), split(tokenizer, pieces)))
+    texts = [f"word{i}, other{i} letters{'abcdefghij'[i % 10]}\nend" for i in range(200)]
+    assert list(fresh.texts(texts)) == [FAST.whole(t) for t in texts] and len(calls) <= 2
