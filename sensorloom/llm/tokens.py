@@ -143,6 +143,8 @@ class Encoder:
                 group, size = [], 0
         if group:
             yield from self._group(group)
+        # Workers live on through stages that need no encoder.
+        pa.default_memory_pool().release_unused()
 
     def _group(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > self.entries:
