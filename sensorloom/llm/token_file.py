@@ -26,6 +26,8 @@ BLOCK_IDS = 1 << 18
 BLOCK_DOCS = 1 << 16
 END_ID = 0
 SELECT_EVERY = 64
+# Pieces per generation of the encoder's cache: no other stage needs the workers' memory here.
+CACHE = 600_000
 
 SCHEMA = """part int, block int, first long, n_ids long, doc_ids array<long>, low_bits int, low binary, high binary,
 index binary, width int, ids binary"""
@@ -98,7 +100,7 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str | None = None,
     placed = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = encoder(vocabulary), TaskContext.get().partitionId()
+        tokens, part = encoder(vocabulary, CACHE), TaskContext.get().partitionId()
         width = 2 if tokens.tokenizer.get_vocab_size() <= 1 << 16 else 4
         end = np.array([END_ID], "<u4").tobytes()
         names, ends, held, first, block = [], [], [], 0, 0

@@ -179,11 +179,11 @@ class Encoder:
         return self._group([text or ""])[0]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, entries: int = CACHE_ENTRIES) -> Encoder:
     """The encoder of this worker process; Spark reuses workers, and so their caches."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    if (vocabulary, entries) not in _ENCODERS:
+        _ENCODERS[vocabulary, entries] = Encoder(vocabulary, entries)
+    return _ENCODERS[vocabulary, entries]
