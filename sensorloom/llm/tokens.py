@@ -3,7 +3,7 @@
 A byte-level BPE never joins pieces across a lone blank or line feed that stands between two
 other characters, nor across the border of a word and a final punctuation mark.  A text is cut
 there, every piece is encoded once, all new ones of a group of texts in one go, and its ids come
-from a bounded cache afterwards.  Texts with other white space at a cut, or with a special token's
+from a bounded cache of Arrow columns afterwards.  Texts with other white space at a cut, or with a special token's
 string, are encoded as a whole.
 The tests hold both ways against each other.
 """
@@ -19,10 +19,12 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 900_000
 MARKS = tuple(".,;:!?")
 # Characters of texts that are encoded together.
-GROUP = 1 << 21
+GROUP = 1 << 22
+# New pieces that are encoded as one text: the library takes about 100 bytes a token.
+TOGETHER = 1 << 15
 # Below it are Latin letters alone, on which all versions of Unicode agree.
 LETTERS_END = 0x250
 
@@ -71,8 +73,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.entries = entries
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # Pieces at hand, their ids, and the number of the group that had each last.
+        self.names, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.met, self.groups = np.zeros(0, np.int32), 0
+        self.learnt: dict[str, bytes] = {}
         self.marks = {m: self.whole(m) for m in MARKS}
         self.letters = _letters(self.tokenizer, vocabulary)
         # Ids whose token begins with a blank or a line feed.
@@ -84,29 +88,15 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return _ids(self.tokenizer.encode(text, add_special_tokens=False))
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Keep the ids of pieces that are not at hand, but for those that can't stand alone.
+    def _learn(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids of different pieces, but for those that can't stand alone.
 
-        New pieces, without a final mark, are encoded as one text.  They have white space at their start only, so
+        Pieces, without a final mark, are encoded as one text.  They have white space at their start only, so
         the ids of each begin at one that stands for it.
         """
-        young, old = self.young, self.old
-        new, marked = {}, []
-        for piece in pieces:
-            ids = old.get(piece)
-            if ids is not None:
-                young[piece] = ids
-                continue
-            if piece[-1:] in MARKS and piece[-2:-1].isalpha():
-                marked.append(piece)
-                piece = piece[:-1]
-                if piece in young:
-                    continue
-                ids = old.get(piece)
-                if ids is not None:
-                    young[piece] = ids
-                    continue
-            new[piece] = None
+        marked = [piece[-1:] in MARKS and piece[-2:-1].isalpha() for piece in pieces]
+        bodies = [piece[:-1] if mark else piece for piece, mark in zip(pieces, marked)]
+        new = dict.fromkeys(bodies)
         plain = [p for p in new if p.isalpha()] if self.letters else []
         joined = " ".join(plain)
         if not joined.isascii() and np.frombuffer(joined.encode("utf-32-le"), "<u4").max() >= LETTERS_END:
@@ -114,23 +104,23 @@ class Encoder:
         if plain:
             self._split(self.letters, plain)
         if len(plain) < len(new):
-            rest = [p for p in new if p not in young]
-            bodies = [p[1:] if p[:1] == "\n" else p for p in rest]
-            if " ".join(bodies).split() != bodies:
-                rest = [p for p, body in zip(rest, bodies) if body.split() == [body]]
+            rest = [p for p in new if p not in self.learnt]
+            alone = [p[1:] if p[:1] == "\n" else p for p in rest]
+            if " ".join(alone).split() != alone:
+                rest = [p for p, body in zip(rest, alone) if body.split() == [body]]
             self._split(self.tokenizer, rest)
-        for piece in marked:
-            if (ids := young.get(piece[:-1])) is not None:
-                young[piece] = ids + self.marks[piece[-1]]
+        ids = list(map(self.learnt.get, bodies))
+        self.learnt = {}
+        return [i + self.marks[piece[-1]] if mark and i is not None else i for piece, mark, i in zip(pieces, marked, ids)]
 
     def _split(self, tokenizer, pieces: list[str]) -> None:
-        """Encode pieces as one text and keep the ids of each, unless pieces and white space differ in number."""
+        """Encode pieces as one text and note the ids of each, unless pieces and white space differ in number."""
         joined = "".join([p if p[0] == "\n" else " " + p for p in pieces])
         ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), len(ids) * 4]
         if len(ends) == len(pieces) + 1 and not ends[0]:
             ids = ids.tobytes()
-            self.young.update(zip(pieces, [ids[a:b] for a, b in zip(ends, ends[1:])]))
+            self.learnt.update(zip(pieces, [ids[a:b] for a, b in zip(ends, ends[1:])]))
 
     def texts(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of texts, in their order; those of a group are looked up, and their new pieces encoded, in one go."""
@@ -147,24 +137,16 @@ class Encoder:
         pa.default_memory_pool().release_unused()
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) > self.entries:
-            self.old, self.young = self.young, {}
         # A piece starts with its line feed, or stands for one with a blank before it; only the first has neither.
         parts = pc.split_pattern(pa.array([text.replace("\n", " \n") for text in texts], pa.large_string()), " ")
         first, parts = parts.offsets.to_numpy()[:-1], parts.flatten()
         heads, others = parts.take(pa.array(first)).to_pylist(), np.ones(len(parts), bool)
         others[first] = False
-        pieces = parts.filter(pa.array(others)).dictionary_encode()
-        # Looked up once per different piece.
-        names = pieces.dictionary.to_pylist()
-        known = list(map(self.young.get, names))
-        if None in known:
-            self._learn([name for name, ids in zip(names, known) if ids is None])
-            known = list(map(self.young.get, names))
-        found = pa.array(known, pa.large_binary()).take(pieces.indices)
+        ends = np.append(first, len(parts)) - np.arange(len(texts) + 1)
+        parts = parts.filter(pa.array(others))
+        found = self._look_up(parts)
         ids, starts = found.buffers()[2], np.frombuffer(found.buffers()[1], "<i8")
         ids = memoryview(ids) if ids else b""
-        ends = np.append(first, len(parts)) - np.arange(len(texts) + 1)
         lost = np.append(0, np.cumsum(found.is_null().to_numpy(zero_copy_only=False)))[ends]
         out = []
         for text, head, a, b, odd in zip(texts, heads, starts[ends[:-1]].tolist(), starts[ends[1:]].tolist(), (np.diff(lost) > 0).tolist()):
@@ -174,6 +156,27 @@ class Encoder:
                 out.append((self.whole(head) if head else b"") + ids[a:b])
         return out
 
+    def _look_up(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces, null where one can't stand alone; of those that were met the latest are kept."""
+        if not len(pieces):
+            return self.ids.take(pa.array([], pa.int64()))
+        known = len(self.names)
+        # Pieces at hand come first in the dictionary, in their order.
+        coded = pa.chunked_array([self.names, pieces]).dictionary_encode().chunks[-1]
+        places, names = coded.indices, coded.dictionary
+        new = (names.slice(at, TOGETHER).to_pylist() for at in range(known, len(names), TOGETHER))
+        ids = pa.concat_arrays([self.ids, *[pa.array(self._learn(some), pa.large_binary()) for some in new]])
+        met = np.append(self.met, np.zeros(len(names) - known, np.int32))
+        self.groups += 1
+        met[places.to_numpy()] = self.groups
+        kept = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False))
+        if len(kept) > self.entries:
+            kept = np.sort(kept[np.argpartition(-met[kept], self.entries)[: self.entries]])
+        self.names, self.ids, self.met = names, ids, met
+        if len(kept) < len(names):
+            self.names, self.ids, self.met = names.take(pa.array(kept)), ids.take(pa.array(kept)), met[kept]
+        return ids.take(places)
+
     def text(self, text: str | None) -> bytes:
         """Ids of a text; a null text counts as empty."""
         return self._group([text or ""])[0]

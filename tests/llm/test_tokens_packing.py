@@ -142,3 +142,14 @@ def test_groups_of_texts(monkeypatch):
     monkeypatch.setattr(fresh, "_split", lambda tokenizer, pieces: (calls.append(len(pieces)), split(tokenizer, pieces)))
     texts = [f"word{i}, other{i} letters{'abcdefghij'[i % 10]}\nend" for i in range(200)]
     assert list(fresh.texts(texts)) == [FAST.whole(t) for t in texts] and len(calls) <= 2
+
+
+def test_pieces_met_last_stay(monkeypatch):
+    fresh = Encoder(default_vocabulary(), entries=300)
+    asked, learn = [], fresh._learn
+    monkeypatch.setattr(fresh, "_learn", lambda pieces: asked.extend(pieces) or learn(pieces))
+    often = "x " + " ".join(f"o{i}" for i in range(200))
+    for k in range(20):
+        text = f"{often} " + " ".join(f"s{k}x{i}," for i in range(100))
+        assert fresh.text(text) == fresh.whole(text)
+    assert sum(p.startswith("o") for p in asked) == 200 and len(fresh.names) == len(fresh.ids) == 300
