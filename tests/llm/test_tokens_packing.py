@@ -1,9 +1,11 @@
 """Tokens, token files and packing against the plain library and brute force."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,6 +146,17 @@ def test_groups_of_texts(monkeypatch):
     assert list(fresh.texts(texts)) == [FAST.whole(t) for t in texts] and len(calls) <= 2
 
 
+def test_pieces_at_hand_take_few_bytes():
+    fresh = Encoder(default_vocabulary())
+    text = " ".join(f"piece{i}" for i in range(50_000))
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    assert fresh.text(text) == fresh.whole(text)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * 50_000
+
+
 def test_pieces_met_last_stay(monkeypatch):
     fresh = Encoder(default_vocabulary(), entries=300)
     asked, learn = [], fresh._learn
